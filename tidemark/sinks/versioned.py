@@ -79,29 +79,33 @@ class VersionedTable:
                 "schema": df.schema.jsonValue(),
                 "buckets": self._write(df, version),
                 "state": current["state"] if state is None else state,
-                "batch_id": current.get("batch_id"),
+                "batches": current.get("batches", {}),
             }
         )
 
     def merge(
         self,
-        batch: DataFrame,
+        rows: DataFrame,
         order: list[str],
         deleted: str | None = None,
         state: dict | None = None,
-        batch_id: int | None = None,
+        batch: tuple[str, int] | None = None,
     ) -> bool:
         """Upsert the last row per key; rows whose `deleted` column is true remove their key.
 
-        `order` columns may be extra to the table's. A batch id that was committed before is skipped,
-        which makes replays harmless.
+        `order` columns may be extra to the table's. `batch` is (writer, number): a number this writer
+        committed before is skipped, which makes replays harmless.
         """
         current = self.manifest()
         if current is None:
             raise LookupError("load the table with replace() first")
-        if batch_id is not None and current.get("batch_id") is not None and batch_id <= current["batch_id"]:
-            return False
-        final = cut_lineage(keep_one(batch, self.keys, order, "last"))
+        done = dict(current.get("batches", {}))
+        if batch is not None:
+            writer, number = batch
+            if number <= done.get(writer, -1):
+                return False
+            done[writer] = number
+        final = cut_lineage(keep_one(rows, self.keys, order, "last"))
         touched = {r[0] for r in final.select(self._bucket().alias("b")).distinct().collect()}
         buckets = {b: v for b, v in current["buckets"].items() if int(b) not in touched}
         version = current["version"] + 1
@@ -116,7 +120,7 @@ class VersionedTable:
                 "schema": current["schema"],
                 "buckets": buckets,
                 "state": current["state"] if state is None else {**current["state"], **state},
-                "batch_id": current.get("batch_id") if batch_id is None else batch_id,
+                "batches": done,
             }
         )
         return True

@@ -13,6 +13,7 @@ from tidemark.functions.coercion import implied_cents
 from tidemark.functions.dates import yymmdd
 from tidemark.functions.text import narrative_fields
 from tidemark.operators.ordering import carry_forward, continuation_groups
+from tidemark.session import cut_lineage
 
 _ORDER = ["block", "seq"]
 
@@ -45,7 +46,8 @@ def records(lines: DataFrame) -> DataFrame:
 def transactions(lines: DataFrame) -> DataFrame:
     """One row per transaction with the file, group and account it stands under."""
     part = F.transform(F.split("content", ","), lambda x: F.trim(x))
-    rows = records(lines).withColumn("f", part)
+    # Each scan reads its input twice (rows and block summaries), so the levels are cut apart.
+    rows = cut_lineage(records(lines)).withColumn("f", part)
     at = lambda i: F.get("f", F.lit(i))
     file_head = F.struct(
         at(0).alias("sender_id"), at(1).alias("receiver_id"), yymmdd(at(2)).alias("file_date"), at(3).alias("file_creation_time")
@@ -64,7 +66,7 @@ def transactions(lines: DataFrame) -> DataFrame:
         balance_map(F.concat(F.array(own_segment), F.col("continuations"))).alias("balances"),
     )
     placed = carry_forward(
-        upper, ["file"], _ORDER, F.col("block"), {"account_ctx": F.when(F.col("code") == "03", account_head)}
+        cut_lineage(upper), ["file"], _ORDER, F.col("block"), {"account_ctx": F.when(F.col("code") == "03", account_head)}
     )
     funds = at(2)
     base = F.when(funds == "S", 6).when(funds.isin("D", "V"), 5).otherwise(3)

@@ -42,21 +42,21 @@ def drain_into(stream: DataFrame, write, checkpoint: str, mode: str = "append")
     query.awaitTermination()
 
 
-def upsert_into(table: VersionedTable, order: list[str]):
-    """Batch writer: at-least-once delivery becomes exactly-once by key and batch id."""
+def upsert_into(table: VersionedTable, order: list[str], writer: str):
+    """Batch writer: at-least-once delivery becomes exactly-once by key and batch number."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.merge(batch, order, batch_id=batch_id)
+        table.merge(batch, order, batch=(writer, batch_id))
 
     return write
 
 
-def apply_changes_into(table: VersionedTable, order: list[str], op: str = "op"):
+def apply_changes_into(table: VersionedTable, order: list[str], writer: str, op: str = "op"):
     """Batch writer for a change log: last operation per key, deletes included."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         final = last_change(batch, table.keys, order, op).withColumn("_gone", F.col(op) == "D")
-        table.merge(final, order, deleted="_gone", batch_id=batch_id)
+        table.merge(final, order, deleted="_gone", batch=(writer, batch_id))
 
     return write
 
