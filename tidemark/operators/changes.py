@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.ordering import keep_one
+from tidemark.session import cut_lineage, small_side
+
+SPAN = 100_000
 
 
 def last_change(log: DataFrame, keys: list[str], order: list[str], op: str = "op") -> DataFrame:
@@ -15,10 +18,11 @@ def last_change(log: DataFrame, keys: list[str], order: list[str], op: str = "op
 def apply_log(target: DataFrame, log: DataFrame, keys: list[str], order: list[str], op: str = "op") -> DataFrame:
     """Target after an ordered change log: inserts and updates replace, deletes remove.
 
-    Only the log is reduced by a window; the target takes one anti join on its keys.
+    Only the log is reduced by a window; the target takes one anti join on the log's keys, which are
+    broadcast when they are measured to be few.
     """
-    final = last_change(log, keys, order, op)
-    untouched = target.join(final.select(*keys), keys, "left_anti")
+    final = cut_lineage(last_change(log, keys, order, op))
+    untouched = target.join(small_side(final.select(*keys)), keys, "left_anti")
     return untouched.unionByName(final.filter(F.col(op) != "D").select(*target.columns))
 
 
@@ -37,8 +41,8 @@ def feed_rows(feed: DataFrame, last: int | None, current: int) -> DataFrame:
 def apply_feed(target: DataFrame, feed: DataFrame, keys: list[str], deletes: bool = False) -> DataFrame:
     """Merge inserts and post-images; deletes only when asked, pre-images never."""
     kinds = ["insert", "update_postimage"] + (["delete"] if deletes else [])
-    final = keep_one(feed.filter(F.col("_change_type").isin(kinds)), keys, ["_commit_version"], "last")
-    untouched = target.join(final.select(*keys), keys, "left_anti")
+    final = cut_lineage(keep_one(feed.filter(F.col("_change_type").isin(kinds)), keys, ["_commit_version"], "last"))
+    untouched = target.join(small_side(final.select(*keys)), keys, "left_anti")
     return untouched.unionByName(final.filter(F.col("_change_type") != "delete").select(*target.columns))
 
 
@@ -52,7 +56,13 @@ def shrunk_rows(previous: DataFrame, current: DataFrame, container: list[str], c
     now = current.select(*container, F.col(count).alias("_now"))
     joined = previous.select(*container, F.col(count).alias("_then")).join(now, container, "left")
     gone = joined.withColumn("_from", F.coalesce("_now", F.lit(0)) + 1).filter(F.col("_from") <= F.col("_then"))
-    return gone.select(*container, F.explode(F.sequence("_from", "_then")).alias("row_no"))
+    # A huge container is cut into spans first and the spans are spread, so no task builds it whole.
+    spans = gone.withColumn("_span", F.explode(F.sequence(F.floor(F.col("_from") / SPAN), F.floor(F.col("_then") / SPAN))))
+    tasks = int(previous.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = spans.repartition(tasks, *container, "_span")
+    low = F.greatest("_from", F.col("_span") * SPAN)
+    high = F.least("_then", (F.col("_span") + 1) * SPAN - 1)
+    return spread.select(*container, F.explode(F.sequence(low, high)).alias("row_no"))
 
 
 def cascade(parents: DataFrame, current: DataFrame, children: DataFrame, key: str, child_key: str) -> tuple[DataFrame, DataFrame]:
@@ -64,10 +74,10 @@ def cascade(parents: DataFrame, current: DataFrame, children: DataFrame, key: st
 
 def apply_tombstones(target: DataFrame, batch: DataFrame, keys: list[str], flag: str, order: list[str]) -> DataFrame:
     """Upsert then delete: a key flagged deleted anywhere in the batch does not survive."""
-    deleted = batch.filter(F.col(flag)).select(*keys).distinct()
-    live = keep_one(batch.join(deleted, keys, "left_anti"), keys, order, "last")
-    touched = live.select(*keys).unionByName(deleted)
-    return target.join(touched, keys, "left_anti").unionByName(live.select(*target.columns))
+    newest = F.max_by(F.struct(*[c for c in batch.columns if c not in keys]), F.struct(*order)).alias("r")
+    final = cut_lineage(batch.groupBy(*keys).agg(F.bool_or(flag).alias("_gone"), newest))
+    live = final.filter(~F.coalesce("_gone", F.lit(False))).select(*keys, "r.*")
+    return target.join(small_side(final.select(*keys)), keys, "left_anti").unionByName(live.select(*target.columns))
 
 
 def soft_deletes(previous_keys: DataFrame, current: DataFrame, keys: list[str], flag: str = "purge_indicator") -> DataFrame:
@@ -98,4 +108,5 @@ def drifted_hours(now: DataFrame, before: DataFrame) -> DataFrame:
 def rows_of_hours(df: DataFrame, ts: str, entity: Column, hours: DataFrame) -> DataFrame:
     """Rows to read again: those in drifted hours of their entity."""
     keyed = df.withColumns({"entity": entity, "hour_start": F.date_trunc("hour", F.col(ts))})
-    return keyed.join(hours.select("entity", "hour_start"), ["entity", "hour_start"], "left_semi").select(*df.columns)
+    listed = small_side(hours.select("entity", "hour_start"))
+    return keyed.join(listed, ["entity", "hour_start"], "left_semi").select(*df.columns)

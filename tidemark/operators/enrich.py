@@ -54,6 +54,6 @@ def context_text(rows: DataFrame, keys: list[str], rank: str, line: Column, name
 def discover(seed: DataFrame, recommendations: str, source: DataFrame, key: str, cap: int) -> DataFrame:
     """One hop: recommended keys not in the seed, the first `cap` by support, then their source rows."""
     proposed = seed.select(F.explode(recommendations).alias(key))
-    ranked = proposed.groupBy(key).agg(F.count(F.lit(1)).alias("support")).join(seed.select(key), key, "left_anti")
+    ranked = proposed.groupBy(key).agg(F.count(F.lit(1)).alias("support")).join(seed.select(key).distinct(), key, "left_anti")
     chosen = ranked.orderBy(F.desc("support"), F.asc(key)).limit(cap)
-    return source.join(chosen.select(key), key, "left_semi")
+    return source.join(F.broadcast(chosen.select(key)), key, "left_semi")  # at most `cap` rows

@@ -32,7 +32,7 @@ def after_pair(df: DataFrame, cursor: str, key: str, last, last_key) -> DataFram
 def after_with_seen(df: DataFrame, cursor: str, key: str, last, seen: DataFrame) -> DataFrame:
     """Rows after the cursor, plus boundary rows whose id was not synced yet."""
     newer = df.filter(F.col(cursor) > F.lit(last))
-    boundary = df.filter(F.col(cursor) == F.lit(last)).join(seen.select(key), key, "left_anti")
+    boundary = df.filter(F.col(cursor) == F.lit(last)).join(seen.select(key).distinct(), key, "left_anti")
     return newer.unionByName(boundary)
 
 
@@ -58,11 +58,14 @@ def between(df: DataFrame, cursor: str, low, high, closed: str = "right") -> Dat
     return df.filter((c > lo) & (c <= hi)) if closed == "right" else df.filter((c >= lo) & (c < hi))
 
 
-def two_phase(df: DataFrame, modified: str, created: str, low, high, keys: list[str]) -> DataFrame:
-    """A pass by modification time, then one by creation time over the same range, each row once."""
-    first = between(df, modified, low, high, "left").withColumn("_phase", F.lit(1))
-    second = between(df, created, low, high, "left").withColumn("_phase", F.lit(2))
-    return keep_one(first.unionByName(second), keys, ["_phase"])
+def two_phase(df: DataFrame, modified: str, created: str, low, high) -> DataFrame:
+    """Rows modified in [low, high) as phase 1, and rows only created in it as phase 2.
+
+    Both passes are one scan: a row in both ranges belongs to the first, so nothing is deduplicated.
+    """
+    inside = lambda c: F.coalesce((F.col(c) >= F.lit(low)) & (F.col(c) < F.lit(high)), F.lit(False))
+    rows = df.filter(inside(modified) | inside(created))
+    return rows.withColumn("_phase", F.when(inside(modified), 1).otherwise(2))
 
 
 def stale_tables(versions: DataFrame, state: DataFrame, table: str = "table_name") -> DataFrame:

@@ -8,9 +8,7 @@ again to hand values over to later blocks.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.session import cut_lineage
 
@@ -22,11 +20,29 @@ def _order_struct(order: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on null-safe keys, keeping the left side's key columns."""
-    renamed = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
-    matches = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(renamed, matches, "left").drop(*[f"_r_{k}" for k in keys])
+def _null_free(df: DataFrame, columns: dict[str, Column]) -> dict[str, Column]:
+    """Key columns that are never NULL, so that a plain equi join can reuse a window's partitioning."""
+    typed = df.select(*[c.alias(n) for n, c in columns.items()]).schema
+    out: dict[str, Column] = {}
+    for field in typed.fields:
+        c, kind = columns[field.name], field.dataType
+        if isinstance(kind, T.StringType):
+            out |= {field.name: F.coalesce(c, F.lit("")), f"{field.name}_null": c.isNull()}
+        elif isinstance(kind, T.NumericType):
+            out |= {field.name: F.coalesce(c, F.lit(0).cast(kind)), f"{field.name}_null": c.isNull()}
+        elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            out |= {field.name: F.coalesce(c, F.lit("1970-01-01").cast(kind)), f"{field.name}_null": c.isNull()}
+        else:
+            out[field.name] = F.struct(c)
+    return out
+
+
+def _blocked(df: DataFrame, group: list[str], block: Column, extra: dict[str, Column]) -> tuple[DataFrame, list[str], list[str]]:
+    """The rows with null-free group and block keys; returns (rows, group keys, group and block keys)."""
+    group_keys = _null_free(df, {f"_g{i}": F.col(g) for i, g in enumerate(group)})
+    block_keys = _null_free(df, {"_b": block})
+    rows = df.withColumns({**group_keys, **block_keys, "_block": block, **extra})
+    return rows, list(group_keys), [*group_keys, *block_keys]
 
 
 def carry_forward(
@@ -34,44 +50,47 @@ def carry_forward(
 ) -> DataFrame:
     """Add one column per value: the last non-null value at or before each row of the group.
 
-    `block` must never decrease along the order within a group.
+    `block` must never decrease along the order within a group. Rows are shuffled once, by group and
+    block; the join of the block summaries reuses that partitioning and its sort.
     """
-    source = {name: f"_set_{name}" for name in values}
-    staged = df.withColumns({source[n]: c for n, c in values.items()}).withColumn("_block", block)
-    inside = (
-        Window.partitionBy(*group, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    filled = staged.withColumns({f"_in_{n}": F.last(source[n], True).over(inside) for n in values})
+    staged, groups, keys = _blocked(df, group, block, {f"_set_{n}": c for n, c in values.items()})
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = staged.withColumns({f"_in_{n}": F.last(f"_set_{n}", True).over(inside) for n in values})
     position = _order_struct(order)
-    tails = staged.groupBy(*group, "_block").agg(
-        *[F.max_by(source[n], F.when(F.col(source[n]).isNotNull(), position)).alias(f"_t_{n}") for n in values]
-    )
-    earlier = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    handed = tails.select(
-        *group, "_block", *[F.last(f"_t_{n}", True).over(earlier).alias(f"_h_{n}") for n in values]
-    )
-    joined = _join_on(filled, handed, [*group, "_block"])
-    return joined.select(
-        *df.columns, *[F.coalesce(f"_in_{n}", f"_h_{n}").alias(n) for n in values]
+    tails = staged.groupBy(*keys, "_block").agg(
+        *[F.max_by(f"_set_{n}", F.when(F.col(f"_set_{n}").isNotNull(), position)).alias(f"_t_{n}") for n in values]
     )
+    earlier = Window.partitionBy(*groups).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    handed = tails.select(*keys, *[F.last(f"_t_{n}", True).over(earlier).alias(f"_h_{n}") for n in values])
+    joined = filled.join(handed, keys, "left")
+    return joined.select(*df.columns, *[F.coalesce(f"_in_{n}", f"_h_{n}").alias(n) for n in values])
 
 
 def running_total(
     df: DataFrame, group: list[str], order: list[str], block: Column, value: Column, name: str
 ) -> DataFrame:
     """Add the running sum of `value` along the order within each group."""
-    staged = df.withColumn("_v", value).withColumn("_block", block)
-    inside = (
-        Window.partitionBy(*group, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    staged, groups, keys = _blocked(df, group, block, {"_v": value})
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     filled = staged.withColumn("_local", F.sum("_v").over(inside))
-    totals = staged.groupBy(*group, "_block").agg(F.sum("_v").alias("_total"))
-    earlier = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(*group, "_block", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
-    joined = _join_on(filled, before, [*group, "_block"])
+    totals = staged.groupBy(*keys, "_block").agg(F.sum("_v").alias("_total"))
+    earlier = Window.partitionBy(*groups).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(*keys, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
+    joined = filled.join(before, keys, "left")
     return joined.select(*df.columns, (F.col("_before") + F.col("_local")).alias(name))
 
 
+def range_blocks(df: DataFrame, keys: list) -> DataFrame:
+    """Rows in balanced consecutive slices of the order: adds `_part` (the slice) and `_pos`.
+
+    For groups without a natural bounded block. The split comes from a sample of the full keys, so a
+    group, or one moment of it, that holds most rows is spread over many slices.
+    """
+    placed = cut_lineage(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
+    placed = placed.withColumn("_pos", F.monotonically_increasing_id())
+    return placed.withColumn("_part", F.shiftright("_pos", _POSITION_BITS))
+
+
 def number_in_group(
     df: DataFrame, group: list[str], order: list[str], block: Column, name: str = "row_no"
 ) -> DataFrame:
@@ -85,9 +104,7 @@ def global_running_total(df: DataFrame, order: list, value: Column, name: str) -
     Range partitioning splits the order over all tasks and the checkpoint fixes the split, so the
     per-partition totals and the rows they are added to can never disagree after a retry.
     """
-    ranged = df.withColumn("_v", value).repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = cut_lineage(ranged).withColumn("_pos", F.monotonically_increasing_id())
-    placed = placed.withColumn("_part", F.shiftright("_pos", _POSITION_BITS))
+    placed = range_blocks(df.withColumn("_v", value), order)
     totals = placed.groupBy("_part").agg(F.sum("_v").alias("_total"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per range partition, so this small window is bounded by the partition count.
@@ -104,9 +121,7 @@ def global_row_number(df: DataFrame, order: list, name: str = "row_no") -> DataF
     The position inside a sorted, checkpointed partition comes from the id counter, so rows are
     shuffled once; only per-partition counts are joined back.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = cut_lineage(ranged).withColumn("_pos", F.monotonically_increasing_id())
-    placed = placed.withColumn("_part", F.shiftright("_pos", _POSITION_BITS))
+    placed = range_blocks(df, order)
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))

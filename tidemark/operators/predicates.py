@@ -43,8 +43,8 @@ def split_required(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame
 
 def include_exclude(df: DataFrame, key: str, include: DataFrame | None, exclude: DataFrame | None) -> DataFrame:
     """Exclude beats include; no include list means everything."""
-    out = df if exclude is None else df.join(exclude.select(key), key, "left_anti")
-    return out if include is None else out.join(include.select(key), key, "left_semi")
+    out = df if exclude is None else df.join(exclude.select(key).distinct(), key, "left_anti")
+    return out if include is None else out.join(include.select(key).distinct(), key, "left_semi")
 
 
 def relevant(codes: Column, wanted: list[str], text: Column, keyword: str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.coercion import int_text
+from tidemark.session import small_side
 
 # Accepted date and timestamp layouts of strict rows.
 DATE_LAYOUT = "yyyy-M-d"
@@ -55,7 +56,7 @@ def split_valid(df: DataFrame, rules: dict[str, str]) -> tuple[DataFrame, DataFr
 def whole_files(rows: DataFrame, file: str, bad: Column) -> tuple[DataFrame, DataFrame]:
     """(rows of files without a bad line, failed files with their bad-line count)."""
     failed = rows.filter(bad).groupBy(file).agg(F.count(F.lit(1)).alias("bad_lines"))
-    return rows.join(failed.select(file), file, "left_anti"), failed
+    return rows.join(small_side(failed.select(file)), file, "left_anti"), failed
 
 
 def trailer_check(

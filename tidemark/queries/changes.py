@@ -128,7 +128,7 @@ def chg08_rows(t):
     "SELECT c_custkey AS key FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'",
 )
 def set01(t):
-    urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("key"))
+    urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("key")).distinct()
     return t.customer.select(F.col("c_custkey").alias("key")).subtract(urgent)
 
 
@@ -164,6 +164,6 @@ def set04(t):
     """SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1995-06-01') THEN 'known' ELSE 'new' END AS status FROM customer""",
 )
 def set05(t):
-    known = t.orders.filter(F.col("o_orderdate") < ts("1995-06-01")).select(F.col("o_custkey").alias("c_custkey"))
+    known = t.orders.filter(F.col("o_orderdate") < ts("1995-06-01")).select(F.col("o_custkey").alias("c_custkey")).distinct()
     split = lambda how, name: t.customer.select("c_custkey").join(known, "c_custkey", how).withColumn("status", F.lit(name))
     return split("left_anti", "new").unionByName(split("left_semi", "known"))

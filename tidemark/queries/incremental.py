@@ -97,7 +97,7 @@ def inc07(t):
 def inc08(t):
     joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     stamped = joined.groupBy("l_orderkey").agg(F.min("l_shipdate").alias("mod_ts"), F.min("o_orderdate").alias("create_ts"))
-    rows = I.two_phase(stamped, "mod_ts", "create_ts", ts("1998-01-01"), ts("1998-04-01"), ["l_orderkey"])
+    rows = I.two_phase(stamped, "mod_ts", "create_ts", ts("1998-01-01"), ts("1998-04-01"))
     return rows.select("l_orderkey", F.col("_phase").alias("phase"))
 
 

@@ -45,7 +45,7 @@ def jn03(t):
 
 @query("jn04_anti_join", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
 def jn04(t):
-    done = t.orders.filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("c_custkey"))
+    done = t.orders.filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("c_custkey")).distinct()
     return t.customer.select("c_custkey").join(done, "c_custkey", "left_anti")
 
 

@@ -23,8 +23,8 @@ def win01(t):
     "SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS row_no FROM events",
 )
 def win01_group(t):
-    rows = t.events.select("event_id", "event_type", "ts")
-    return O.number_in_group(rows, ["event_type"], ["ts", "event_id"], F.date_trunc("hour", "ts")).drop("ts")
+    rows = O.range_blocks(t.events.select("event_id", "event_type", "ts"), ["event_type", "ts", "event_id"])
+    return O.number_in_group(rows, ["event_type"], ["_pos"], F.col("_part")).select("event_id", "event_type", "row_no")
 
 
 @query(
@@ -45,12 +45,12 @@ def win02(t):
     WINDOW w AS (PARTITION BY date_trunc('week', ts) ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""",
 )
 def win03(t):
-    rows = t.events.withColumn("week", F.date_trunc("week", "ts"))
+    rows = O.range_blocks(t.events.withColumn("week", F.date_trunc("week", "ts")), ["week", "ts", "event_id"])
     values = {
         "last_signup": F.when(F.col("event_type") == "signup", F.col("user_id")),
         "last_error": F.when(F.col("event_type") == "error", F.col("value")),
     }
-    out = O.carry_forward(rows, ["week"], ["ts", "event_id"], F.date_trunc("hour", "ts"), values)
+    out = O.carry_forward(rows, ["week"], ["_pos"], F.col("_part"), values)
     return out.select("event_id", "last_signup", "last_error")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F, types as T
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -46,6 +46,23 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def small_side(df, max_bytes: int = BROADCAST_BYTES):
+    """A join side that was computed once and measured: broadcast when it is small, else as it is.
+
+    Without this, Spark plans a shuffle of the large side before it can know how small this one is.
+    """
+    kept = cut_lineage(df)
+    variable = [f.name for f in kept.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    nested = [f.name for f in kept.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    lengths = [F.octet_length(F.col(c)) for c in variable] + [F.octet_length(F.to_json(F.col(c))) for c in nested]
+    width = sum((F.coalesce(x, F.lit(0)).cast("long") for x in lengths), F.lit(16 * len(kept.columns)).cast("long"))
+    size = kept.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return F.broadcast(kept) if size <= max_bytes else kept
+
+
 def scalar(df):
     """The single value of a one-row aggregate: a cursor or threshold held as state."""
     row = df.first()

@@ -8,20 +8,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.keys import with_row_key
 from tidemark.operators.ordering import keep_one
+from tidemark.session import cut_lineage, small_side
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Insert or replace by key, the last row of the batch by `order` winning.
 
-    The batch alone is deduplicated; the target is anti-joined with the batch keys, which Spark
-    broadcasts when they are few, so a small batch never shuffles a large target.
+    The batch alone is deduplicated, once; the target is anti-joined with its keys, which are
+    broadcast when they are measured to be few, so a small batch never shuffles a large target.
     """
-    final = keep_one(batch, keys, order, "last").select(*target.columns)
-    return target.join(final.select(*keys), keys, "left_anti").unionByName(final)
+    final = cut_lineage(keep_one(batch, keys, order, "last").select(*target.columns))
+    return target.join(small_side(final.select(*keys)), keys, "left_anti").unionByName(final)
 
 
 def delete_keys(target: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
-    return target.join(gone.select(*keys), keys, "left_anti")
+    return target.join(small_side(gone.select(*keys).distinct()), keys, "left_anti")
 
 
 def upsert_rows(target: DataFrame, batch: DataFrame, name: str = "row_key") -> DataFrame:

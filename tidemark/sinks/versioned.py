@@ -12,7 +12,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.ordering import keep_one
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, small_side
 
 
 class VersionedTable:
@@ -112,7 +112,7 @@ class VersionedTable:
         if touched:
             old = self._read(current, touched)
             live = final if deleted is None else final.filter(~F.col(deleted))
-            merged = old.join(final.select(*self.keys), self.keys, "left_anti").unionByName(live.select(*old.columns))
+            merged = old.join(small_side(final.select(*self.keys)), self.keys, "left_anti").unionByName(live.select(*old.columns))
             buckets.update(self._write(merged, version))
         self._publish(
             {

@@ -45,9 +45,9 @@ def records(lines: DataFrame) -> DataFrame:
 
 def transactions(lines: DataFrame) -> DataFrame:
     """One row per transaction with the file, group and account it stands under."""
-    part = F.transform(F.split("content", ","), lambda x: F.trim(x))
-    # Each scan reads its input twice (rows and block summaries), so the levels are cut apart.
-    rows = cut_lineage(records(lines)).withColumn("f", part)
+    fields = F.transform(F.split("content", ","), lambda x: F.trim(x))
+    # Read twice below, for the few header rows and for all rows.
+    rows = cut_lineage(records(lines)).withColumn("f", fields)
     at = lambda i: F.get("f", F.lit(i))
     file_head = F.struct(
         at(0).alias("sender_id"), at(1).alias("receiver_id"), yymmdd(at(2)).alias("file_date"), at(3).alias("file_creation_time")
@@ -55,19 +55,25 @@ def transactions(lines: DataFrame) -> DataFrame:
     group_head = F.struct(
         at(1).alias("originator_id"), yymmdd(at(3)).alias("as_of_date"), at(4).alias("as_of_time"), at(5).alias("currency")
     )
-    upper = carry_forward(
-        rows, ["file"], _ORDER, F.col("block"),
-        {"file_ctx": F.when(F.col("code") == "01", file_head), "group_ctx": F.when(F.col("code") == "02", group_head)},
-    )
     own_segment = F.concat_ws(",", F.slice("f", F.lit(3), F.greatest(F.size("f") - 2, F.lit(0))))
     account_head = F.struct(
         at(0).alias("bank_account_number"),
-        F.coalesce(_blank_to_null(at(1)), F.col("group_ctx.currency")).alias("currency"),
+        F.coalesce(_blank_to_null(at(1)), F.col("group_currency")).alias("currency"),
         balance_map(F.concat(F.array(own_segment), F.col("continuations"))).alias("balances"),
     )
-    placed = carry_forward(
-        cut_lineage(upper), ["file"], _ORDER, F.col("block"), {"account_ctx": F.when(F.col("code") == "03", account_head)}
-    )
+    block = F.col("block")
+    # An account keeps the currency of the group it was opened in, so headers are resolved first.
+    group_currency = {"group_currency": F.when(F.col("code") == "02", F.coalesce(at(5), F.lit("")))}
+    heads = carry_forward(rows.filter(F.col("code").isin("02", "03")), ["file"], _ORDER, block, group_currency)
+    heads = heads.withColumn("group_currency", _blank_to_null(F.col("group_currency")))
+    accounts = heads.filter(F.col("code") == "03").withColumn("account", account_head).drop("group_currency")
+    others = rows.filter(F.col("code").isin("01", "02", "16")).withColumn("account", F.lit(None).cast(accounts.schema["account"].dataType))
+    contexts = {
+        "file_ctx": F.when(F.col("code") == "01", file_head),
+        "group_ctx": F.when(F.col("code") == "02", group_head),
+        "account_ctx": F.col("account"),
+    }
+    placed = carry_forward(others.unionByName(accounts), ["file"], _ORDER, block, contexts)
     funds = at(2)
     base = F.when(funds == "S", 6).when(funds.isin("D", "V"), 5).otherwise(3)
     day = lambda i: F.when(funds == "S", implied_cents(at(i)))

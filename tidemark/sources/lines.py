@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.text import decode_cp1252
+from tidemark.session import small_side
 
 
 def read_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
@@ -26,5 +27,5 @@ def detail_lines(lines: DataFrame) -> DataFrame:
     """Non-blank lines without the first (header) and last (trailer) of each file."""
     full = lines.filter(F.trim("line") != "")
     place = F.struct("block", "seq")
-    ends = full.groupBy("file").agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
+    ends = small_side(full.groupBy("file").agg(F.min(place).alias("_first"), F.max(place).alias("_last")))
     return full.join(ends, "file").filter((place > F.col("_first")) & (place < F.col("_last"))).drop("_first", "_last")
