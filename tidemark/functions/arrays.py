@@ -11,6 +11,11 @@ CREDIT_CODES = (100, 399)
 DEBIT_CODES = (400, 699)
 
 
+def let(value: Column, body) -> Column:
+    """`body(value)` with the value computed once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def first_where(arr: Column, test) -> Column:
     """First element that passes, NULL when none does."""
     return F.try_element_at(F.filter(arr, test), F.lit(1))
@@ -51,11 +56,9 @@ def last_wins_map(pairs: Column) -> Column:
 
 def balance_map(segments: Column) -> Column:
     """Each comma-separated segment is parsed on its own, then merged in order."""
-    parts = F.transform(
-        segments,
-        lambda s: F.transform(F.split(F.regexp_replace(F.trim(s), ",*/*$", ""), ","), lambda x: F.trim(x)),
-    )
-    return last_wins_map(F.flatten(F.transform(parts, lambda p: stride_groups(p))))
+    cells = lambda s: F.split(F.regexp_replace(F.trim(s), ",*/*$", ""), ",")
+    groups = F.flatten(F.transform(segments, lambda s: let(cells(s), lambda c: stride_groups(c))))
+    return let(groups, last_wins_map)
 
 
 def debit_credit(code: Column) -> Column:

@@ -53,6 +53,21 @@ def float_text(c: Column) -> Column:
     return F.when(text.rlike(_FLOAT_TEXT), F.trim(text).try_cast("double"))
 
 
+def lenient_cast(c: Column, source: T.DataType, target: str) -> Column:
+    """Cast where what does not parse is NULL. Text is tested before it is cast to a number: a failed
+    try_cast costs an exception per row, which a column of bad values cannot afford."""
+    if isinstance(source, T.StringType):
+        if target in ("tinyint", "smallint", "int", "bigint"):
+            return int_text(c, target)
+        if target in ("float", "double"):
+            return float_text(c).cast(target)
+        if target.startswith("decimal"):
+            return F.when(c.rlike(_FLOAT_TEXT), F.trim(c).try_cast(target))
+        if target.startswith("timestamp"):
+            return F.try_to_timestamp(c).cast(target)
+    return c.cast(target) if source.simpleString() == target else c.try_cast(target)
+
+
 def truncated_int(c: Column) -> Column:
     """A real number loses its fraction toward zero (the numeric branch of lenient ints)."""
     return F.when(~F.isnan(c), c.try_cast("bigint"))

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions.coercion import plain_text
+from tidemark.functions.coercion import lenient_cast, plain_text
 
 # Names that clash with reserved words downstream.
 RESERVED_RENAMES = {
@@ -38,14 +38,8 @@ def rename_reserved(df: DataFrame, rules: dict[str, str] = RESERVED_RENAMES) ->
 
 def whitelist(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Only declared columns survive, each cast to its declared type (unparsable becomes NULL)."""
-    return df.select(
-        *[
-            (F.try_to_timestamp(F.col(c)) if t == "timestamp" and df.schema[c].dataType == T.StringType()
-             else F.col(c).try_cast(t)).alias(c)
-            for c, t in columns.items()
-            if c in df.columns
-        ]
-    )
+    kept = {c: t for c, t in columns.items() if c in df.columns}
+    return df.select(*[lenient_cast(F.col(c), df.schema[c].dataType, t).alias(c) for c, t in kept.items()])
 
 
 def normal_name(name: str, unique_id: str | None = None) -> str:

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.coercion import logical_type
+from tidemark.functions.coercion import lenient_cast, logical_type
 from tidemark.operators.ordering import carry_forward
 
 
@@ -32,7 +32,11 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def convert_table(df: DataFrame, source_types: dict[str, tuple]) -> DataFrame:
     """Every column cast by a source-type map; `(type, precision, scale)` per column."""
-    return df.select(*[F.col(c).try_cast(logical_type(*t)).alias(c) for c, t in source_types.items()])
+    return df.select(*[_converted(df, c, t).alias(c) for c, t in source_types.items()])
+
+
+def _converted(df: DataFrame, name: str, source_type: tuple) -> Column:
+    return lenient_cast(F.col(name), df.schema[name].dataType, logical_type(*source_type))
 
 
 def conversion_losses(df: DataFrame, source_types: dict[str, tuple]) -> DataFrame:
@@ -43,7 +47,7 @@ def conversion_losses(df: DataFrame, source_types: dict[str, tuple]) -> DataFram
     ]
     counts = df.agg(
         *[
-            F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(logical_type(*t)).isNull()).alias(f"_{c}")
+            F.count_if(F.col(c).isNotNull() & _converted(df, c, t).isNull()).alias(f"_{c}")
             for c, t in source_types.items()
         ]
     )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.changes import drifted_hours, rows_of_hours
-from tidemark.operators.incremental import after_pair
+from tidemark.operators.incremental import after_pair, next_cursor
 from tidemark.operators.ordering import keep_one
+from tidemark.session import scalar
 from tidemark.sinks.merge import upsert
 from tidemark.sinks.versioned import VersionedTable
 from tidemark.spec import ReadPlan, TableSpec
@@ -24,8 +25,8 @@ def sync_table(source: DataFrame, table: VersionedTable, spec: TableSpec, plan:
     low = saved.get("cursor", plan.low)
     bounded = ReadPlan(plan.table, plan.include, plan.exclude, plan.cursor, low, plan.high, plan.predicate)
     batch = spec.conform(bounded.apply(source))
-    top = batch.agg(F.max(plan.cursor).cast("string")).first()[0]
-    cursor = max(x for x in (top, low) if x is not None) if (top or low) else None
+    # Compared as the column's type; kept as text because the state is JSON.
+    cursor = scalar(next_cursor(batch, plan.cursor, low).select(F.col("cursor").cast("string")))
     state = {plan.table: {"cursor": cursor}}
     if table.manifest() is None:
         table.replace(keep_one(batch, list(spec.primary_key), [plan.cursor], "last"), state)

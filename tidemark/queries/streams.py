@@ -26,7 +26,7 @@ def event_stream(t):
     return ST.topic(t.spark, f"{t.folder}/event[s].parquet", SCHEMAS["events"])
 
 
-def landed_stream(t, parts: int = 4):
+def landed_stream(t, parts: int = 3):
     """Events landed again as files of about equal size, read one file per micro-batch."""
     path = work_path(t.spark, "topic")
     t.events.repartition(parts, "event_id").write.parquet(path)
@@ -40,7 +40,7 @@ def drained(t, stream, mode: str = "append"):
 
 
 def empty_table(t, schema, keys):
-    table = VersionedTable(t.spark, work_path(t.spark, "state"), keys)
+    table = VersionedTable(t.spark, work_path(t.spark, "state"), keys, buckets=4)
     table.replace(t.spark.createDataFrame([], schema))
     return table
 

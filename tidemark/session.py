@@ -49,12 +49,13 @@ def cut_lineage(df):
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def small_side(df, max_bytes: int = BROADCAST_BYTES):
+def small_side(df, max_bytes: int = BROADCAST_BYTES, computed: bool = False):
     """A join side that was computed once and measured: broadcast when it is small, else as it is.
+    `computed` says that its lineage was cut already.
 
     Without this, Spark plans a shuffle of the large side before it can know how small this one is.
     """
-    kept = cut_lineage(df)
+    kept = df if computed else cut_lineage(df)
     variable = [f.name for f in kept.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     nested = [f.name for f in kept.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     lengths = [F.octet_length(F.col(c)) for c in variable] + [F.octet_length(F.to_json(F.col(c))) for c in nested]

@@ -18,7 +18,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order: list) ->
     broadcast when they are measured to be few, so a small batch never shuffles a large target.
     """
     final = cut_lineage(keep_one(batch, keys, order, "last").select(*target.columns))
-    return target.join(small_side(final.select(*keys)), keys, "left_anti").unionByName(final)
+    return target.join(small_side(final.select(*keys), computed=True), keys, "left_anti").unionByName(final)
 
 
 def delete_keys(target: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:

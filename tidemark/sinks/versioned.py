@@ -32,7 +32,12 @@ class VersionedTable:
         names = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
         if not names:
             return None
-        return json.loads(self.spark.read.text(f"{self.path}/_manifests/{names[-1]}", wholetext=True).first()[0])
+        _, newest = self._fs(f"{self.path}/_manifests/{names[-1]}")
+        stream = fs.open(newest)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def _publish(self, manifest: dict) -> None:
         name = f"{manifest['version']:09d}"
@@ -112,7 +117,7 @@ class VersionedTable:
         if touched:
             old = self._read(current, touched)
             live = final if deleted is None else final.filter(~F.col(deleted))
-            merged = old.join(small_side(final.select(*self.keys)), self.keys, "left_anti").unionByName(live.select(*old.columns))
+            merged = old.join(small_side(final.select(*self.keys), computed=True), self.keys, "left_anti").unionByName(live.select(*old.columns))
             buckets.update(self._write(merged, version))
         self._publish(
             {

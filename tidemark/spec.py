@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.coercion import lenient_cast
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -22,7 +24,7 @@ class TableSpec:
         """Declared columns first, cast and padded with NULL; undeclared ones are kept after them."""
         present = {c.lower(): c for c in df.columns}
         declared = [
-            (F.col(present[c.lower()]).try_cast(t) if c.lower() in present else F.lit(None).cast(t)).alias(c)
+            (lenient_cast(F.col(present[c.lower()]), df.schema[present[c.lower()]].dataType, t) if c.lower() in present else F.lit(None).cast(t)).alias(c)
             for c, t in self.columns.items()
         ]
         names = {c.lower() for c in self.columns}
@@ -48,8 +50,8 @@ class ReadPlan:
         if self.predicate:
             df = df.filter(compare(*self.predicate))
         if self.cursor and self.low is not None:
-            df = df.filter(F.col(self.cursor) > F.lit(self.low))
+            df = df.filter(F.col(self.cursor) > F.lit(self.low).cast(df.schema[self.cursor].dataType))
         if self.cursor and self.high is not None:
-            df = df.filter(F.col(self.cursor) <= F.lit(self.high))
+            df = df.filter(F.col(self.cursor) <= F.lit(self.high).cast(df.schema[self.cursor].dataType))
         always = [self.cursor] if self.cursor else []
         return project(df, list(self.include) or None, list(self.exclude), always)
