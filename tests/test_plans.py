@@ -53,6 +53,11 @@ def test_top_n_cuts_groups_before_the_shuffle(spark, folder):
     assert plan(load_all()["win05_top_per_parent"](spark, folder)).count("WindowGroupLimit") == 2
 
 
+def test_dedupe_cuts_groups_before_the_shuffle(spark, folder):
+    rows = O.keep_one(Tables(spark, folder).events, ["user_id"], ["ts", "event_id"], "last")
+    assert plan(rows).count("WindowGroupLimit") == 2
+
+
 def test_scans_shuffle_rows_once(spark, folder):
     """The summary join reuses the partitioning of the block window."""
     t = Tables(spark, folder)

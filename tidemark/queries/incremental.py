@@ -103,15 +103,16 @@ def inc08(t):
 
 @query(
     "inc09_version_gate",
-    """WITH v AS (SELECT 'part_' || p_brand AS table_name, max(p_size) AS version FROM part GROUP BY p_brand),
-    s AS (SELECT 'part_' || p_brand AS table_name, max(p_size) AS last FROM part WHERE p_type <> 'SMALL' AND p_retailprice < 950 GROUP BY p_brand)
+    """WITH v AS (SELECT p_brand AS table_name, max(p_partkey) AS version FROM part GROUP BY p_brand),
+    s AS (SELECT p_brand AS table_name, max(p_partkey) AS last FROM part WHERE p_type <> 'SMALL' AND p_brand <> 'Brand#7' GROUP BY p_brand)
     SELECT table_name, version FROM v LEFT JOIN s USING (table_name) WHERE version > coalesce(last, -1)""",
 )
 def inc09(t):
-    name = F.concat(F.lit("part_"), F.col("p_brand")).alias("table_name")
-    versions = t.part.groupBy(name).agg(F.max("p_size").alias("version"))
-    synced = t.part.filter((F.col("p_type") != "SMALL") & (F.col("p_retailprice") < 950)).groupBy(name).agg(F.max("p_size").alias("version"))
-    return I.stale_tables(versions, synced)
+    """Brands as tables versioned by their newest part; small parts are new and one brand was never synced."""
+    name = F.col("p_brand").alias("table_name")
+    newest = lambda df: df.groupBy(name).agg(F.max("p_partkey").alias("version"))
+    synced = t.part.filter((F.col("p_type") != "SMALL") & (F.col("p_brand") != "Brand#7"))
+    return I.stale_tables(newest(t.part), newest(synced))
 
 
 @query(

@@ -175,6 +175,41 @@ def sync_orders(t):
     return final.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), A.money_sum("o_totalprice").alias("total"))
 
 
+@query(
+    "sync_fixed_width_files",
+    """SELECT c_custkey AS uid, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END AS name, CASE WHEN c_mktsegment <> 'BUILDING' THEN round(abs(c_acctbal) * 100) / 100.0 END AS balance,
+    c_mktsegment = 'BUILDING' AS purge_indicator FROM customer""",
+)
+def sync_files_query(t):
+    """Two full feeds in turn: the second misses a segment, which becomes soft-deleted rows."""
+    from tidemark.plans.files import FileSpec, sync_files
+    from tidemark.sources.fixed_width import FixedField
+
+    spec = FileSpec(
+        (FixedField("uid", 1, 10, "STRING"), FixedField("name", 11, 22), FixedField("balance", 33, 11, "FLOAT", 2)), r"^part-.*\.txt$", 4, 12, purge=True
+    )
+    table = VersionedTable(t.spark, work_path(t.spark, "cards"), ["uid"])
+    for number, rows in enumerate((t.customer, t.customer.filter(F.col("c_mktsegment") != "BUILDING"))):
+        folder = work_path(t.spark, f"cards-{number}")
+        write_card_files(rows, folder)
+        sync_files(t.spark, folder, table, spec)
+    return table.read().withColumn("uid", F.col("uid").cast("long"))
+
+
+def write_card_files(customers, folder: str) -> None:
+    """A feed file per 10,000 customer keys, each between a header and a counting trailer."""
+    number = F.floor(F.col("c_custkey") / 10_000).alias("feed")
+    cents = F.lpad(F.round(F.abs("c_acctbal") * 100).cast("long").cast("string"), 11, "0")
+    record = F.concat(F.lpad(F.col("c_custkey").cast("string"), 10, "0"), F.rpad("c_name", 22, " "), cents)
+    body = customers.select(number, F.lit(1).alias("place"), "c_custkey", record.alias("value"))
+    counted = customers.groupBy(number).agg(F.count(F.lit(1)).alias("n"))
+    end = lambda place, text: counted.select("feed", F.lit(place).alias("place"), F.lit(0).cast("long").alias("c_custkey"), text.alias("value"))
+    claimed = F.concat(F.lit("TRL"), F.lpad((F.col("n") + 2).cast("string"), 12, "0"))
+    lines = body.unionByName(end(0, F.lit("HDR"))).unionByName(end(2, claimed))
+    ordered = lines.repartition("feed").sortWithinPartitions("feed", "place", "c_custkey")
+    ordered.select("feed", "value").write.partitionBy("feed").text(folder)
+
+
 @query(
     "sync_with_drift_repair",
     """WITH c AS (SELECT event_type, date_trunc('hour', ts) AS h, count(*) AS n, count(*) FILTER (WHERE value <= 150) AS p FROM events WHERE ts >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 240 HOUR AND ts < TIMESTAMP '2024-01-30 12:00:00' GROUP BY 1, 2)

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.text import decode_cp1252
 from tidemark.session import small_side
 
 
-def read_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
+def plain_path(path: Column) -> Column:
+    """One spelling for a file's path, however many slashes follow the scheme."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
+def read_lines(spark: SparkSession, path: str | list[str], encoding: str = "utf-8", by_path: bool = False) -> DataFrame:
     """(file, block, seq, line): the file split's start offset and the line's place in that split.
 
     `(block, seq)` is the order of lines within a file, and `block` the slice that ordered scans work
-    on, so even one huge file is read and scanned by many tasks.
+    on, so even one huge file is read and scanned by many tasks. `by_path` names files by their whole
+    path, for folders that repeat file names.
     """
     raw = spark.read.text(path).select(
-        F.col("_metadata.file_name").alias("file"),
+        (plain_path(F.col("_metadata.file_path")) if by_path else F.col("_metadata.file_name")).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
         F.col("value").alias("line"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.ordering import global_running_total
 
@@ -65,6 +65,14 @@ def chunk_bounds(df: DataFrame, key: str, rows: int) -> DataFrame:
     return joined.select("chunk", "low", F.when(F.col("high") < F.lit(top), F.col("high")).alias("high"), "row_count")
 
 
+def quantile_bounds(df: DataFrame, key: str, chunks: int, accuracy: int = 100_000) -> DataFrame:
+    """About equal key ranges from a mergeable sketch: one pass, nothing is sorted or shuffled but the
+    sketches. Exact up to `accuracy` distinct keys; repeated bounds of a hot key collapse into one."""
+    cuts = F.percentile_approx(key, [i / chunks for i in range(1, chunks)], accuracy)
+    edges = df.agg(F.array_distinct(cuts).alias("cuts")).select(F.posexplode(F.array_append("cuts", F.lit(None))).alias("chunk", "high"), "cuts")
+    return edges.select("chunk", F.when(F.col("chunk") > 0, F.get("cuts", F.col("chunk") - 1)).alias("low"), "high")
+
+
 def chunk_predicates(bounds: DataFrame, key: str) -> list[str]:
     """One WHERE clause per chunk for a partitioned JDBC read; bounded by the chunk count."""
     rows = bounds.orderBy("chunk").collect()
@@ -95,9 +103,14 @@ def exported_parquet(spark: SparkSession, prefix: str, schema: str | None = None
     return reader.parquet(prefix)
 
 
-def reconcile_export(loaded: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Rows per exported file against the manifest's line counts (file, line_count)."""
-    found = loaded.select(F.col("_metadata.file_name").alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("loaded"))
+def reconcile_export(loaded: DataFrame, manifest: DataFrame, file: Column | None = None) -> DataFrame:
+    """Rows per exported file or part against the export log's line counts (file, line_count).
+
+    Rows are counted per physical file first, so one large part never meets in one task.
+    """
+    name = F.col("_metadata.file_name") if file is None else file
+    per_file = loaded.groupBy(name.alias("file"), F.col("_metadata.file_path").alias("_path")).agg(F.count(F.lit(1)).alias("_n"))
+    found = per_file.groupBy("file").agg(F.sum("_n").alias("loaded"))
     joined = manifest.join(found, "file", "full_outer").fillna(0, ["line_count", "loaded"])
     return joined.withColumn("matches", F.col("line_count") == F.col("loaded"))
 
