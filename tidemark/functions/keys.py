@@ -17,7 +17,7 @@ def message_id(queue: Column, tag: Column, body: Column) -> Column:
 
 def sorted_json(fields: Column) -> Column:
     """JSON object text of a string map with keys in order, ', ' and ': ' between parts."""
-    entries = F.array_sort(F.map_entries(fields))
+    entries = F.sort_array(F.map_entries(fields))
     quoted = lambda s: F.concat(F.lit('"'), F.regexp_replace(s, r'(["\\])', r"\\$1"), F.lit('"'))
     pairs = F.transform(entries, lambda e: F.concat(quoted(e["key"]), F.lit(": "), quoted(e["value"])))
     return F.concat(F.lit("{"), F.concat_ws(", ", pairs), F.lit("}"))
@@ -34,7 +34,7 @@ def document_id(fields: Column) -> Column:
 
 def series_id(name: Column, labels: Column) -> Column:
     """md5 of `name{k=v,...}` with the labels sorted by name."""
-    pairs = F.transform(F.array_sort(F.map_entries(labels)), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    pairs = F.transform(F.sort_array(F.map_entries(labels)), lambda e: F.concat_ws("=", e["key"], e["value"]))
     return F.md5(F.concat(name, F.lit("{"), F.concat_ws(",", pairs), F.lit("}")))
 
 
@@ -50,7 +50,7 @@ def search_id(name: Column, keywords: Column, timeframe: Column) -> Column:
     """Readable id: name slug, timeframe, and a short hash of the sorted keywords."""
     from tidemark.functions.text import slug
 
-    words = F.transform(F.array_sort(keywords), lambda k: F.concat(F.lit("'"), k, F.lit("'")))
+    words = F.transform(F.sort_array(keywords), lambda k: F.concat(F.lit("'"), k, F.lit("'")))
     config = F.concat(F.lit("["), F.concat_ws(", ", words), F.lit("]_"), timeframe)
     frame = F.regexp_replace(timeframe, "[ /]", "_")
     return F.concat_ws("_", slug(name), frame, F.substring(F.md5(config), 1, 8))

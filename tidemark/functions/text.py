@@ -38,7 +38,7 @@ def fixed_version(c: Column, max_chars: int = 100) -> Column:
 
 def distinct_matches(c: Column, pattern: str) -> Column:
     """All matches of the whole pattern, each once, sorted."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0))))
+    return F.sort_array(F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0))))
 
 
 def section(c: Column, start: str, end: str | None, window: int, cap: int, default: str) -> Column:

@@ -47,7 +47,7 @@ def consensus(opinions: DataFrame, prefer: str = "first_opinion") -> DataFrame:
 
 def context_text(rows: DataFrame, keys: list[str], rank: str, line: Column, name: str) -> DataFrame:
     """Ranked rows (already limited to a top-K per key) rendered as one text per key."""
-    items = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(rank), line.alias("line")))).alias("_l"))
+    items = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(rank), line.alias("line")))).alias("_l"))
     return items.select(*keys, F.array_join(F.transform("_l", lambda i: i["line"]), "\n").alias(name))
 
 

@@ -30,7 +30,7 @@ def nest_top(parents: DataFrame, children: DataFrame, key: str, order: list, fie
     """Parents with their first n children as an ordered array; n bounds every group."""
     ranked = top_n_per(children, [key], order, n, rank="_rank")
     items = ranked.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("_rank", *fields))).alias("_items")
+        F.sort_array(F.collect_list(F.struct("_rank", *fields))).alias("_items")
     )
     listed = items.select(key, F.transform("_items", lambda i: F.struct(*[i[f].alias(f) for f in fields])).alias(name))
     return parents.join(listed, key, "left")
@@ -47,7 +47,7 @@ def mapping_rows(spark, mapping: str, key: str = "code", value: str = "member")
 
 def enrich_by_mapping(df: DataFrame, mapping: DataFrame, key: Column, code: str, member: str, default: str) -> DataFrame:
     """Members joined into one text per code; codes without a mapping take the default."""
-    listed = mapping.groupBy(code).agg(F.concat_ws(",", F.array_sort(F.collect_list(member))).alias("members"))
+    listed = mapping.groupBy(code).agg(F.concat_ws(",", F.sort_array(F.collect_list(member))).alias("members"))
     return (
         df.withColumn(code, key)
         .join(listed, code, "left")

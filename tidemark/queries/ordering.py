@@ -63,7 +63,7 @@ def win04(t):
     numbered = O.continuation_groups(t.conversations, ["conv_id"], ["turn"], F.floor(F.col("turn") / 1000), F.col("role") == "assistant")
     # One record is one output text, so its lines are gathered; conversations are never gathered whole.
     parts = numbered.filter(F.col("record_no") > 0).groupBy("conv_id", "record_no").agg(
-        F.count(F.lit(1)).alias("lines"), F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("p")
+        F.count(F.lit(1)).alias("lines"), F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("p")
     )
     return parts.select("conv_id", "record_no", "lines", F.md5(F.array_join(F.transform("p", lambda x: x["text"]), " ")).alias("text_md5"))
 

@@ -226,33 +226,41 @@ def bank_lines(t):
     s = F.lit
     text = lambda c: F.col(c).cast("string")
     cents = lambda c: F.round(F.abs(c) * 100).cast("long").cast("string")
-    segment = F.concat("c_mktsegment", s(""))
     customers = t.customer.select(
-        F.concat(s("bank_"), text("c_nationkey"), s(".bai")).alias("file"), segment.alias("segment"), "c_custkey", "c_acctbal", "c_name"
+        F.concat(s("bank_"), text("c_nationkey"), s(".bai")).alias("file"), F.col("c_mktsegment").alias("segment"), "c_custkey", "c_acctbal", "c_name"
     )
-    levels = lambda df, level, item, sub, line, acct=F.lit(-1).cast("long"), seg=None: df.select(
-        "file", (seg if seg is not None else F.col("segment")).alias("segment"), acct.alias("acct"), F.lit(level).alias("level"),
-        item.cast("long").alias("item"), F.lit(sub).alias("sub"), line.alias("line"),
+    line = lambda level, item, sub, content: F.struct(
+        s(level).alias("level"), item.cast("long").alias("item"), s(sub).alias("sub"), content.alias("line")
     )
-    zero = F.lit(0)
-    files = customers.select("file").distinct()
+    spread = lambda df, acct, *lines: df.select("file", "segment", acct.cast("long").alias("acct"), F.inline(F.array(*lines)))
+    zero, none, acct = s(0), s(-1), F.col("c_custkey")
+    files = customers.select("file", s("").alias("segment")).distinct()
     groups = customers.select("file", "segment").distinct()
-    acct = F.col("c_custkey")
-    orders = t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     funds = F.when(F.col("o_orderstatus") == "F", F.concat(s("S,"), text("o_custkey"), s(",,000"))).when(F.col("o_orderstatus") == "O", s("V,240101,1200")).otherwise(s("0"))
     detail = F.concat(
         s("16,"), F.when(F.col("o_orderpriority") == "1-URGENT", "475").otherwise("142"), s(","), cents(F.col("o_totalprice")), s(","), funds,
         s(",B"), text("o_orderkey"), s(",,PAY"), s("/"),
     )
+    key = F.col("o_orderkey")
     return (
-        levels(files, 0, zero, 0, F.concat(s("01,SENDER,RECEIVER,240115,0930/"), s("   ")), seg=s(""))
-        .unionByName(levels(groups, 1, zero, 0, F.concat(s("02,ULT,"), "segment", s(",1,240114,2359,USD,2/"))))
-        .unionByName(levels(customers, 2, zero, 0, F.concat(s("03,"), text("c_custkey"), s(",,010,"), cents(F.col("c_acctbal")), s(",,,/")), acct))
-        .unionByName(levels(customers, 2, zero, 1, F.concat(s("88,015,+"), text("c_custkey"), s(",,,045,000,,/")), acct))
-        .unionByName(levels(orders, 3, F.col("o_orderkey"), 0, detail, acct))
-        .unionByName(levels(orders, 3, F.col("o_orderkey"), 1, F.concat(s("88,Cust ID: "), text("o_custkey"), s(" Desc: "), F.col("o_orderpriority")), acct))
-        .unionByName(levels(orders, 3, F.col("o_orderkey"), 2, F.concat(s("88,SEC: CCD Cust Name: "), F.col("c_name")), acct))
-        .unionByName(levels(customers, 4, zero, 0, F.lit("49,0,0/"), acct))
+        spread(files, none, line(0, zero, 0, F.concat(s("01,SENDER,RECEIVER,240115,0930/"), s("   "))))
+        .unionByName(spread(groups, none, line(1, zero, 0, F.concat(s("02,ULT,"), "segment", s(",1,240114,2359,USD,2/")))))
+        .unionByName(
+            spread(
+                customers, acct,
+                line(2, zero, 0, F.concat(s("03,"), text("c_custkey"), s(",,010,"), cents(F.col("c_acctbal")), s(",,,/"))),
+                line(2, zero, 1, F.concat(s("88,015,+"), text("c_custkey"), s(",,,045,000,,/"))),
+                line(4, zero, 0, s("49,0,0/")),
+            )
+        )
+        .unionByName(
+            spread(
+                t.orders.join(customers, F.col("o_custkey") == acct), acct,
+                line(3, key, 0, detail),
+                line(3, key, 1, F.concat(s("88,Cust ID: "), text("o_custkey"), s(" Desc: "), F.col("o_orderpriority"))),
+                line(3, key, 2, F.concat(s("88,SEC: CCD Cust Name: "), F.col("c_name"))),
+            )
+        )
     )
 
 
@@ -273,9 +281,13 @@ BANK_COLUMNS = [
 @query("src09_bai2_transactions", BANK_SQL)
 def src09(t):
     """The line order is (segment, account, level, item, sub); the account range is the block."""
-    rows = bank_lines(t).withColumn("seq", F.struct("acct", "level", "item", "sub"))
     block = F.struct("segment", F.floor(F.col("acct") / 1000).alias("range"))
-    out = bai2.wide_balances(bai2.transactions(rows.select("file", block.alias("block"), "seq", "line")), ["010", "015", "045"])
+    place = F.struct("acct", "level", "item", "sub")
+    rows = bank_lines(t).select("file", block.alias("block"), place.alias("seq"), "line")
+    path = work_path(t.spark, "bank")
+    rows.write.parquet(path)
+    landed = t.spark.read.schema(rows.schema).parquet(path)
+    out = bai2.wide_balances(bai2.transactions(landed), ["010", "015", "045"])
     return out.withColumns({c: F.col(c).cast("string") for c in ("file_date", "as_of_date")}).select(*BANK_COLUMNS)
 
 

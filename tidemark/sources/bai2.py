@@ -37,10 +37,12 @@ def records(lines: DataFrame) -> DataFrame:
     numbered = continuation_groups(full, ["file"], _ORDER, F.col("block"), more)
     # The lines of one record form one output value, so collecting them is bounded by the record.
     grouped = numbered.filter(F.col("record_no") > 0).groupBy("file", "record_no").agg(
-        F.min(F.when(~more, F.struct("block", "seq", "code", "content"))).alias("h"),
-        F.array_sort(F.collect_list(F.when(more, F.struct("block", "seq", "content")))).alias("c"),
+        F.sort_array(F.collect_list(F.struct("block", "seq", "code", "content"))).alias("r")
+    )
+    later = F.slice("r", F.lit(2), F.size("r") - 1)
+    return grouped.select("file", F.get("r", F.lit(0)).alias("h"), F.transform(later, lambda x: x["content"]).alias("continuations")).select(
+        "file", "h.*", "continuations"
     )
-    return grouped.select("file", "h.*", F.transform("c", lambda x: x["content"]).alias("continuations"))
 
 
 def transactions(lines: DataFrame) -> DataFrame:
