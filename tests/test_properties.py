@@ -119,6 +119,26 @@ def test_versioned_table(spark):
     assert {r.id for r in table._read(first, range(8)).collect()} == set(range(40)), "old versions stay readable"
 
 
+def test_expired_versions(spark):
+    table = VersionedTable(spark, tempfile.mkdtemp(prefix="tidemark-") + "/t", ["id"], buckets=2)
+    table.replace(spark.createDataFrame([(i, 0) for i in range(20)], "id int, v int"))
+    for n in range(1, 5):
+        table.merge(spark.createDataFrame([(n, n)], "id int, v int"), ["v"])
+    assert table.expire(keep=2) == 3
+    assert {r.id: r.v for r in table.read().collect()} == {i: i if 1 <= i <= 4 else 0 for i in range(20)}
+    assert table.expire(keep=2) == 0
+
+
+def test_best_cursor(spark):
+    columns = "id int, seen date, updated_on timestamp, modified_at timestamp, never date"
+    frame = spark.createDataFrame([(1, None, None, None, None)], columns).union(
+        spark.sql("select 2, date'2024-01-01', timestamp'2024-01-02', timestamp'2024-01-03', cast(null as date)")
+    )
+    assert I.best_cursor(frame) == "modified_at"
+    assert I.best_cursor(frame.select("seen", "never")) == "seen"
+    assert I.best_cursor(frame.select("never")) is None
+
+
 def test_shrunk_container_spans(spark):
     frame = lambda rows: spark.createDataFrame(rows, "c string, row_count long")
     out = G.shrunk_rows(frame([("a", 250_001), ("b", 3), ("c", 2)]), frame([("a", 2), ("b", 3)]), ["c"])

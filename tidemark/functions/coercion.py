@@ -26,7 +26,9 @@ LOGICAL_TYPES = {
     "time": "string",
     "datetime": "timestamp_ntz",
     "smalldatetime": "timestamp_ntz",
-    "timestamp": "timestamp_ntz",
+    "datetime2": "timestamp_ntz",
+    "bigdatetime": "timestamp_ntz",
+    "timestamp": "timestamp",
     "timestamp with time zone": "timestamp",
     "datetimeoffset": "timestamp",
     "binary": "binary",
@@ -141,7 +143,7 @@ def logical_type(source: str, precision: int | None = None, scale: int | None =
     """Spark type name for a source type; unknown types become string."""
     name = source.strip().lower()
     if name in ("decimal", "numeric"):
-        width = min(precision or 38, 38)
+        width = min(precision or 18, 38)
         return f"decimal({width},{min(scale or 0, width)})"
     return LOGICAL_TYPES.get(name, "string")
 

@@ -7,7 +7,17 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidemark.operators.ordering import global_row_number, keep_one
 
 # Preferred change-timestamp columns, best first.
-PREFERRED_CURSORS = ["updated_at", "last_updated", "modified_at", "last_modified", "mod_ts", "created_at", "create_ts"]
+PREFERRED_CURSORS = [
+    "updated_at",
+    "last_updated",
+    "last_update",
+    "last_modified",
+    "modified_at",
+    "modified_on",
+    "updated_on",
+    "update_time",
+    "updated",
+]
 
 
 def after(df: DataFrame, cursor: str, last, keep_missing: bool = False) -> DataFrame:
@@ -92,8 +102,10 @@ def changed_rows(df: DataFrame, previous: DataFrame, keys: list[str]) -> DataFra
 
 
 def profile_cursors(df: DataFrame) -> DataFrame:
-    """One pass over every date or time column: nulls, distinct values, range, and name preference."""
+    """One pass over every date or time column: filled values, range and name preference."""
     dated = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))]
+    if not dated:
+        raise ValueError("no date or time column to follow")
     rows = F.array(
         *[
             F.struct(
@@ -113,6 +125,13 @@ def profile_cursors(df: DataFrame) -> DataFrame:
     return stats.select("row_count", F.inline(rows))
 
 
+def best_cursor(df: DataFrame) -> str | None:
+    """The preferred, then the most complete, date or time column; NULL-only columns never qualify."""
+    ranked = profile_cursors(df).filter(F.col("non_null") > 0).orderBy("preference", F.desc("non_null"), "column_name")
+    row = ranked.first()
+    return None if row is None else row["column_name"]
+
+
 def from_offset(df: DataFrame, order: list[str], offset: int) -> DataFrame:
     """Rows past a row offset in a stable order."""
     return global_row_number(df, order, "row_no").filter(F.col("row_no") > offset)

@@ -1,7 +1,7 @@
 """A keyed Parquet table whose data and cursor change together.
 
 Rows live in key-hash buckets. A commit writes new folders for the touched buckets only, then
-publishes one small manifest (bucket -> folder, plus state) by an atomic rename. Readers resolve the
+publishes one small manifest (bucket -> folder, plus state) by a rename, which must be atomic there. Readers resolve the
 newest manifest, so they see the old table or the new one, never a half-written or empty one.
 """
 
@@ -30,10 +30,11 @@ class VersionedTable:
         if not fs.exists(folder):
             return None
         names = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
-        if not names:
-            return None
-        _, newest = self._fs(f"{self.path}/_manifests/{names[-1]}")
-        stream = fs.open(newest)
+        return self._load(names[-1]) if names else None
+
+    def _load(self, name: str) -> dict:
+        fs, path = self._fs(f"{self.path}/_manifests/{name}")
+        stream = fs.open(path)
         try:
             return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
@@ -74,6 +75,24 @@ class VersionedTable:
         names = [s.getPath().getName() for s in fs.listStatus(written) if s.isDirectory()]
         return {n.split("=")[1]: folder for n in names if n.startswith("_bucket=")}
 
+    def expire(self, keep: int = 10) -> int:
+        """Delete all but the newest `keep` versions and the folders only they used; returns how many.
+
+        Readers of an expired version fail, so keep more versions than a long read can outlive.
+        """
+        fs, folder = self._fs(f"{self.path}/_manifests")
+        names = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
+        old, kept = names[:-keep], names[-keep:]
+        used = {v for n in kept for v in self._load(n)["buckets"].values()}
+        for name in old:
+            fs.delete(self._fs(f"{self.path}/_manifests/{name}")[1], False)
+        for status in fs.listStatus(self._fs(self.path)[1]):
+            version = status.getPath().getName()
+            # A folder newer than the newest manifest belongs to a commit in progress.
+            if version.startswith("v") and version not in used and version < f"v{kept[-1].split('.')[0]}":
+                fs.delete(status.getPath(), True)
+        return len(old)
+
     def replace(self, df: DataFrame, state: dict | None = None) -> None:
         """First load, or truncate and reload."""
         current = self.manifest() or {"version": 0, "state": {}}
