@@ -71,6 +71,31 @@ def test_ordered_scans(spark, rows):
     assert got == expected
 
 
+@few
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from("HCC")), max_size=40), st.integers(2, 9))
+def test_records_are_gathered_across_blocks(spark, rows, width):
+    frame = spark.createDataFrame([(g, i, k) for i, (g, k) in enumerate(rows)], "g string, pos int, kind string")
+    out = O.gather_records(frame, ["g"], ["pos"], F.floor(F.col("pos") / width), F.col("kind") == "C", ["kind"])
+    expected = []
+    for group in "ab":
+        for i, (g, k) in enumerate(rows):
+            if g == group and k == "H":
+                expected.append((g, [i]))
+            elif g == group and expected and expected[-1][0] == g:
+                expected[-1][1].append(i)
+    assert sorted((r.g, [line.pos for line in r.lines]) for r in out.collect()) == expected
+
+
+def test_range_blocks_split_a_hot_group(spark):
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g"), "id")
+    blocks = O.range_blocks(rows, ["g", "id"])
+    sizes = [r["count"] for r in blocks.groupBy("_part").count().collect()]
+    assert max(sizes) < 2.5 * 30_000 / len(sizes)
+    assert blocks.filter("g = 'hot'").select("_part").distinct().count() > 1
+    numbered = O.number_in_group(blocks, ["g"], ["_pos"], F.col("_part"))
+    assert numbered.filter("g = 'hot'").agg(F.sum((F.col("row_no") != F.col("id") / 3 + 1).cast("int"))).first()[0] == 0
+
+
 @few
 @given(st.lists(st.integers(-50, 50), max_size=60))
 def test_global_numbers_and_totals(spark, items):

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, small_side
 
 _POSITION_BITS = 33
 PAGE_LIMIT = 10_000
@@ -157,6 +157,42 @@ def continuation_groups(
     return running_total(lines, group, order, block, head, "record_no")
 
 
+def gather_records(
+    lines: DataFrame, group: list[str], order: list[str], block: Column, is_continuation: Column, fields: list[str]
+) -> DataFrame:
+    """One row per record: the group and `lines`, its head and continuation lines in order.
+
+    Records are numbered and gathered inside their block, on the partitioning of that one shuffle. Only
+    continuations at the start of a block, whose head is in an earlier one, are attached by a join; there is
+    at most one such piece per block. Lines before the first head of a group belong to no record.
+    """
+    staged, groups, keys = _blocked(lines, group, block, {"_head": F.when(is_continuation, 0).otherwise(1)})
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    numbered = staged.withColumn("_no", F.sum("_head").over(inside))
+    # One record is one output value, so gathering its lines is bounded by the record.
+    pieces = cut_lineage(
+        numbered.groupBy(*group, *keys, "_block", "_no").agg(
+            F.sort_array(F.collect_list(F.struct(*order, *fields))).alias("lines")
+        )
+    )
+    heads = pieces.filter(F.col("_no") > 0)
+    owners = heads.groupBy(*keys, "_block").agg(F.max("_no").alias("_no"))
+    owners = owners.select(*keys, "_block", F.struct(*keys, "_no").alias("_owner"), F.lit(None).cast(pieces.schema["lines"].dataType).alias("_rest"))
+    orphans = pieces.filter(F.col("_no") == 0)
+    orphans = orphans.select(*keys, "_block", F.lit(None).cast(owners.schema["_owner"].dataType).alias("_owner"), F.col("lines").alias("_rest"))
+    # An orphan comes before the records of its own block, and there is one row of each kind per block.
+    earlier = (
+        Window.partitionBy(*groups).orderBy("_block", F.col("_owner").isNotNull()).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    found = owners.unionByName(orphans).withColumn("_owner", F.when(F.col("_rest").isNotNull(), F.last("_owner", True).over(earlier)))
+    tails = found.filter(F.col("_owner").isNotNull()).groupBy("_owner").agg(
+        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_block", "_rest"))), lambda p: p["_rest"])).alias("_tail")
+    )
+    joined = heads.join(small_side(tails.select("_owner.*", "_tail")), [*keys, "_no"], "left")
+    whole = F.when(F.col("_tail").isNull(), F.col("lines")).otherwise(F.concat("lines", "_tail"))
+    return joined.select(*group, whole.alias("lines"))
+
+
 def page(df: DataFrame, order: list, offset: int, size: int) -> DataFrame:
     """LIMIT/OFFSET page. Shallow pages are a top-N; deep ones go through global row numbers."""
     if offset + size <= PAGE_LIMIT:

@@ -12,8 +12,7 @@ from tidemark.functions.arrays import balance_map, debit_credit
 from tidemark.functions.coercion import implied_cents
 from tidemark.functions.dates import yymmdd
 from tidemark.functions.text import narrative_fields
-from tidemark.operators.ordering import carry_forward, continuation_groups
-from tidemark.session import cut_lineage
+from tidemark.operators.ordering import carry_forward, gather_records
 
 _ORDER = ["block", "seq"]
 
@@ -33,23 +32,16 @@ def records(lines: DataFrame) -> DataFrame:
             ).otherwise(""),
         }
     )
-    more = F.col("code") == "88"
-    numbered = continuation_groups(full, ["file"], _ORDER, F.col("block"), more)
-    # The lines of one record form one output value, so collecting them is bounded by the record.
-    grouped = numbered.filter(F.col("record_no") > 0).groupBy("file", "record_no").agg(
-        F.sort_array(F.collect_list(F.struct("block", "seq", "code", "content"))).alias("r")
-    )
-    later = F.slice("r", F.lit(2), F.size("r") - 1)
-    return grouped.select("file", F.get("r", F.lit(0)).alias("h"), F.transform(later, lambda x: x["content"]).alias("continuations")).select(
-        "file", "h.*", "continuations"
-    )
+    gathered = gather_records(full, ["file"], _ORDER, F.col("block"), F.col("code") == "88", ["code", "content"])
+    later = F.slice("lines", F.lit(2), F.size("lines") - 1)
+    parted = gathered.select("file", F.get("lines", F.lit(0)).alias("h"), F.transform(later, lambda x: x["content"]).alias("continuations"))
+    return parted.select("file", "h.*", "continuations")
 
 
 def transactions(lines: DataFrame) -> DataFrame:
     """One row per transaction with the file, group and account it stands under."""
     fields = F.transform(F.split("content", ","), lambda x: F.trim(x))
-    # Read twice below, for the few header rows and for all rows.
-    rows = cut_lineage(records(lines)).withColumn("f", fields)
+    rows = records(lines).withColumn("f", fields)
     at = lambda i: F.get("f", F.lit(i))
     file_head = F.struct(
         at(0).alias("sender_id"), at(1).alias("receiver_id"), yymmdd(at(2)).alias("file_date"), at(3).alias("file_creation_time")
