@@ -80,13 +80,15 @@ def running_total(
     return joined.select(*df.columns, (F.col("_before") + F.col("_local")).alias(name))
 
 
-def range_blocks(df: DataFrame, keys: list) -> DataFrame:
+def range_blocks(df: DataFrame, keys: list, slices: int | None = None) -> DataFrame:
     """Rows in balanced consecutive slices of the order: adds `_part` (the slice) and `_pos`.
 
     For groups without a natural bounded block. The split comes from a sample of the full keys, so a
-    group, or one moment of it, that holds most rows is spread over many slices.
+    group, or one moment of it, that holds most rows is spread over many slices. Their number is
+    `spark.sql.shuffle.partitions` unless given.
     """
-    placed = cut_lineage(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
+    ranged = df.repartitionByRange(slices, *keys) if slices else df.repartitionByRange(*keys)
+    placed = cut_lineage(ranged.sortWithinPartitions(*keys))
     placed = placed.withColumn("_pos", F.monotonically_increasing_id())
     return placed.withColumn("_part", F.shiftright("_pos", _POSITION_BITS))
 

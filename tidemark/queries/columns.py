@@ -284,8 +284,8 @@ def key06(t):
 
 @query(
     "key07_content_id",
-    """SELECT n_nationkey, sha256('{"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || ',"parent":null}') AS id FROM nation""",
+    """SELECT c_custkey, sha256('{"c_name":"' || c_name || '","c_nationkey":' || c_nationkey || ',"guid":null}') AS id FROM customer""",
 )
 def key07(t):
-    rows = t.nation.withColumn("parent", F.lit(None).cast("string"))
-    return rows.select("n_nationkey", K.content_key(F.col("n_name"), F.col("n_regionkey"), F.col("parent")).alias("id"))
+    rows = t.customer.withColumn("guid", F.lit(None).cast("string"))
+    return rows.select("c_custkey", K.content_key(F.col("c_name"), F.col("c_nationkey"), F.col("guid")).alias("id"))

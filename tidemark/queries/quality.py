@@ -155,14 +155,16 @@ def sch03(t):
 
 @query(
     "sch04_share_catalog",
-    """SELECT r_name AS share, n_name AS schema_name, n_name || '_customers' AS table_name FROM region JOIN nation ON r_regionkey = n_regionkey
-    UNION ALL SELECT r_name, n_name, n_name || '_orders' FROM region JOIN nation ON r_regionkey = n_regionkey""",
+    """SELECT 'shares' AS level, c_mktsegment AS share, CAST(NULL AS VARCHAR) AS schema_name, CAST(NULL AS VARCHAR) AS table_name FROM customer GROUP BY c_mktsegment
+    UNION ALL SELECT 'schemas', c_mktsegment, 'nation_' || c_nationkey, NULL FROM customer GROUP BY c_mktsegment, c_nationkey
+    UNION ALL SELECT 'tables', c_mktsegment, 'nation_' || c_nationkey, 'orders_' || c_custkey FROM customer
+    UNION ALL SELECT 'tables', c_mktsegment, 'nation_' || c_nationkey, 'events_' || c_custkey FROM customer""",
 )
 def sch04(t):
-    """Regions share one schema per nation (a fixed reference table) with two tables each."""
-    table = lambda suffix: F.concat("n_name", F.lit(suffix))
-    schema = F.struct(F.col("n_name").alias("name"), F.array(table("_customers"), table("_orders")).alias("tables"))
-    joined = t.region.join(t.nation, F.col("r_regionkey") == F.col("n_regionkey"))
-    listing = joined.select(F.col("r_name").alias("share"), F.array(schema).alias("schemas"))
-    _, _, tables = S.share_catalog(listing)
-    return tables
+    """Listings of one customer's tables each, in a schema per nation and a share per segment."""
+    table = lambda prefix: F.concat(F.lit(prefix), F.col("c_custkey").cast("string"))
+    name = F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string"))
+    schema = F.struct(name.alias("name"), F.array(table("orders_"), table("events_")).alias("tables"))
+    parts = S.share_catalog(t.customer.select(F.col("c_mktsegment").alias("share"), F.array(schema).alias("schemas")))
+    shares, schemas, tables = (df.withColumn("level", F.lit(n)) for df, n in zip(parts, ("shares", "schemas", "tables")))
+    return tables.unionByName(schemas, allowMissingColumns=True).unionByName(shares, allowMissingColumns=True)

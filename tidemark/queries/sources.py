@@ -346,14 +346,14 @@ def src11(t):
 
 @query(
     "src11_xml_files",
-    "SELECT CAST(n_nationkey AS VARCHAR) AS key, n_name AS name, CASE WHEN n_regionkey = 0 THEN '' ELSE CAST(n_regionkey AS VARCHAR) END AS region FROM nation",
+    "SELECT CAST(s_suppkey AS VARCHAR) AS key, s_name AS name, CASE WHEN s_nationkey < 5 THEN '' ELSE CAST(s_nationkey AS VARCHAR) END AS nation FROM supplier",
 )
 def src11_files(t):
     path = work_path(t.spark, "xml")
-    region = F.when(F.col("n_regionkey") != 0, F.col("n_regionkey").cast("string")).otherwise("")
-    rows = t.nation.select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"), region.alias("region"))
-    rows.write.format("xml").option("rootTag", "nations").option("rowTag", "nation").save(path)
-    return nested.read_xml_rows(t.spark, path, "nation", "key string, name string, region string")
+    nation = F.when(F.col("s_nationkey") >= 5, F.col("s_nationkey").cast("string")).otherwise("")
+    rows = t.supplier.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), nation.alias("nation"))
+    rows.write.format("xml").option("rootTag", "suppliers").option("rowTag", "supplier").save(path)
+    return nested.read_xml_rows(t.spark, path, "supplier", "key string, name string, nation string")
 
 
 @query(
