@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -52,6 +53,8 @@ def small(df: DataFrame, computed: bool = False) -> DataFrame:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    # where the package is not installed, Python workers find it beside the driver's
+    spark.sparkContext.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
     return configure(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 

@@ -8,6 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.de_bruijn import repeated_words, unitigs
+from tidemark.llm.decontaminate import contamination
+from tidemark.llm.exact import exact_duplicates
+from tidemark.llm.html_text import extract
+from tidemark.llm.jaccard import similar_documents
+from tidemark.llm.language import identify
+from tidemark.llm.packing import pack
+from tidemark.llm.pii import personal_data
+from tidemark.llm.sharding import shard_documents
 from tidemark.llm.suffix_buckets import repeated_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,13 +32,65 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_pii_transducers")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(table(spark, folder, "documents"))
+
+
+@query("op2_label_propagation")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_documents(table(spark, folder, "documents"))
+
+
+@query(
+    "op3_exact_dedup",
+    """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
+              sha256(coalesce(text, '')) AS text_sha256
+       FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_duplicates(table(spark, folder, "documents"))
+
+
 @query("op4_suffix_buckets")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    return repeated_bytes(table(spark, folder, "documents")).drop("span_starts", "span_ends")
+    return repeated_bytes(table(spark, folder, "documents")).drop("span_starts", "span_ends", "row")
+
+
+@query("op5_simhash_decontamination")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op6_html_text")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages"))
 
 
 @query("op7_de_bruijn")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     spans = repeated_words(table(spark, folder, "documents"))
     here = unitigs(spans).groupBy("doc_id").agg(F.countDistinct("unitig").alias("n_unitigs"))
-    return spans.drop("span_starts", "span_ends", "paths").join(here, "doc_id", "left").fillna(0, ["n_unitigs"])
+    return spans.drop("span_starts", "span_ends", "paths", "row").join(here, "doc_id", "left").fillna(0, ["n_unitigs"])
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(table(spark, folder, "documents"))
+
+
+@query("op9_configuration_packing")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"))
+
+
+@query("op10_jaccard_join")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_documents(table(spark, folder, "documents")).drop("text_md5")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
