@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import arrow_rows, own_columns, small, staged, text_or_empty
+from tidemark.llm.common import arrow_rows, own_columns, staged, text_or_empty
 from tidemark.llm.rolling import Texts
 
 BLOCK_BYTES = 2_000_000
@@ -28,7 +28,8 @@ Step = Callable[[Texts, list["Answers"]], np.ndarray]
 
 
 def pack(df: DataFrame) -> DataFrame:
-    """Blocks of whole documents: block, doc_ids, texts. Null texts are empty."""
+    """Blocks of whole documents: block, doc_ids, sizes, and the texts as one zstd frame. Null texts are empty."""
+    codec = "zstd"
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, size = [], [], 0
@@ -45,10 +46,10 @@ def pack(df: DataFrame) -> DataFrame:
 
     def row(ids, texts):
         return pa.RecordBatch.from_arrays(
-            [pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.binary()))], ["doc_ids", "texts"])
+            [pa.array([ids], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([pa.compress(b"".join(texts), codec, asbytes=True)], pa.binary())], ["doc_ids", "sizes", "data"])
 
     rows = own_columns(df, "doc_id", "text").select(F.col("doc_id").cast("long"), text_or_empty().cast("binary").alias("text"))
-    blocks = rows.mapInArrow(packed, "doc_ids array<long>, texts array<binary>")
+    blocks = rows.mapInArrow(packed, "doc_ids array<long>, sizes array<long>, data binary")
     with arrow_rows(df.sparkSession):
         return staged(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
 
@@ -109,13 +110,16 @@ def _judged(group: pa.Table) -> pa.Table:
 
 
 def _texts(row: dict) -> Texts:
-    return Texts.of(row["texts"])
+    offsets = np.r_[0, np.cumsum(row["sizes"], dtype=np.int64)]
+    data = pa.decompress(row["data"], decompressed_size=int(offsets[-1]), codec="zstd", asbytes=True)
+    return Texts(np.frombuffer(data, np.uint8), offsets)
 
 
 def _joined(blocks: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """One shuffle of the blocks for all rounds; the answers grow with the corpus, so they are never broadcast."""
     out = blocks
     for k, answers in enumerate(rounds):
-        out = out.join(answers.withColumnRenamed("replies", f"replies{k}"), "block", "left")
+        out = out.join(answers.withColumnRenamed("replies", f"replies{k}").hint("shuffle_hash"), "block", "left")
     return out
 
 
@@ -130,7 +134,7 @@ class Corpus:
 
     def __init__(self, df: DataFrame):
         self.blocks = pack(df)
-        size = F.expr("aggregate(texts, 0L, (a, t) -> a + octet_length(t))")
+        size = F.expr("aggregate(sizes, 0L, (a, n) -> a + n)")
         total = self.blocks.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
         self.buckets = max(16, -(-8 * total // BUCKET_BYTES))
         self.rounds: list[DataFrame] = []
@@ -150,11 +154,10 @@ class Corpus:
         judged = sent.groupBy("bucket").applyInArrow(_judged, "block long, bucket int, n int, flags binary")
         with arrow_rows(self.blocks.sparkSession, BLOCK_ROWS):
             kept = staged(judged, "answers")
-        per_block = kept.groupBy("block").agg(F.collect_list(F.struct("bucket", "n", "flags")).alias("replies"))
-        self.rounds.append(small(staged(per_block, "replies"), computed=True))
+        self.rounds.append(kept.groupBy("block").agg(F.collect_list(F.struct("bucket", "n", "flags")).alias("replies")))
 
     def each(self, finish: Callable[[list, Texts, list[Answers]], dict], schema: str, arrow: pa.Schema) -> DataFrame:
-        """Rows that `finish` makes of each block's ids, texts and answers; staged."""
+        """Rows that `finish` makes of each block's ids, texts and answers, with `row`, a number of their own; staged."""
         rounds = len(self.rounds)
 
         def run(batches):
@@ -163,4 +166,4 @@ class Corpus:
                 yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in arrow], schema=arrow)
 
         with arrow_rows(self.blocks.sparkSession, BLOCK_ROWS):
-            return staged(_joined(self.blocks, self.rounds).mapInArrow(run, schema), "spans")
+            return staged(_joined(self.blocks, self.rounds).mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "found")

@@ -70,13 +70,6 @@ class Texts:
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         self.data, self.offsets = data, offsets
 
-    @classmethod
-    def of(cls, texts: list[bytes | None]) -> "Texts":
-        parts = [t or b"" for t in texts]
-        offsets = np.zeros(len(parts) + 1, np.int64)
-        np.cumsum([len(t) for t in parts], out=offsets[1:])
-        return cls(np.frombuffer(b"".join(parts), np.uint8), offsets)
-
     def __len__(self) -> int:
         return len(self.offsets) - 1
 

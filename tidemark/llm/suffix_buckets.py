@@ -5,7 +5,7 @@ consecutive starts. Any 400-byte string holds such a place with its 100 bytes in
 so equal strings share a bucket there. A suffix alone in its bucket is final. The starts whose sampled suffix shares a
 bucket are refined: the bucket at depth 200 is the pair of buckets at offsets 0 and 100, that at depth 400 the pair of
 depth-200 buckets at offsets 0 and 200, so each level reuses the identifiers the level before made. Identifiers are
-64-bit content hashes, the same in every block, so only the question "is it alone" needs a shuffle.
+64-bit content hashes, the same in every block (the first round's also tell which whole texts are equal), so only the question "is it alone" needs a shuffle.
 """
 
 from __future__ import annotations
@@ -33,20 +33,10 @@ def _whole(texts: Texts) -> np.ndarray:
     return np.frombuffer(b"".join(digests), np.uint64)
 
 
-def _starts(texts: Texts, answers: list[Answers]) -> np.ndarray:
-    """Places where a 400-byte string begins, in one document of each set of equal documents."""
-    ok = fits(texts.offsets, LENGTH, len(texts.data))
-    _, first = answers[0].about(_whole(texts))
-    o = texts.offsets.tolist()
-    for k in np.flatnonzero(~first).tolist():
-        ok[o[k] : o[k + 1]] = False
-    return ok
-
-
-def _sampled(texts: Texts, answers: list[Answers]) -> tuple:
-    """Slices, starts, each start's sampled place, the distinct places and their buckets."""
-    ok = _starts(texts, answers)
+def _sampled(texts: Texts) -> tuple:
+    """Slices, starts of 400-byte strings, each start's sampled place, the distinct places and their buckets."""
     slices = texts.byte_slices()
+    ok = fits(texts.offsets, LENGTH, len(texts.data))
     places = minimizers(slices.every(SELECT), LENGTH - GRAM + 1)[: len(ok)]
     starts = np.flatnonzero(ok)
     at = places[starts]
@@ -55,32 +45,34 @@ def _sampled(texts: Texts, answers: list[Answers]) -> tuple:
 
 
 def _first_buckets(texts: Texts, answers: list[Answers]) -> np.ndarray:
-    return _sampled(texts, answers)[4]
+    return np.concatenate([_whole(texts), _sampled(texts)[4]])
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * U(3) + b * U(0x9E3779B97F4A7C15))
 
 
-def _refined(texts: Texts, answers: list[Answers]) -> tuple[np.ndarray, np.ndarray]:
-    """Starts whose sampled suffix is not alone, and their buckets at depth 400."""
-    slices, starts, at, distinct, buckets = _sampled(texts, answers)
-    shared, _ = answers[1].about(buckets)
-    starts = starts[shared[np.searchsorted(distinct, at)]]
+def _refined(texts: Texts, answers: list[Answers]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which texts have an equal; starts whose sampled suffix is not alone, in one of each set of equal texts; their
+    buckets at depth 400."""
+    slices, starts, at, distinct, buckets = _sampled(texts)
+    shared, first = answers[0].about(np.concatenate([_whole(texts), buckets]))
+    n = len(texts)
+    twin, kept = shared[:n], np.repeat(first[:n], np.diff(texts.offsets))
+    starts = starts[shared[n:][np.searchsorted(distinct, at)] & kept[starts]]
     depth = [slices.of(starts + k * GRAM, starts + (k + 1) * GRAM) for k in range(LENGTH // GRAM)]
     while len(depth) > 1:
         depth = [_pair(a, b) for a, b in zip(depth[::2], depth[1::2])]
-    return starts, depth[0]
+    return twin, starts, depth[0]
 
 
 def _deep_buckets(texts: Texts, answers: list[Answers]) -> np.ndarray:
-    return _refined(texts, answers)[1]
+    return _refined(texts, answers)[2]
 
 
 def _finish(ids: list, texts: Texts, answers: list[Answers]) -> dict:
-    twin, _ = answers[0].about(_whole(texts))
-    starts, buckets = _refined(texts, answers)
-    repeated, _ = answers[2].about(buckets)
+    twin, starts, buckets = _refined(texts, answers)
+    repeated, _ = answers[1].about(buckets)
     n = len(texts.data)
     marks = np.zeros(n + 1, np.int32)
     np.add.at(marks, starts[repeated], 1)
@@ -110,7 +102,6 @@ def repeated_bytes(df: DataFrame) -> DataFrame:
     offsets, end exclusive.
     """
     corpus = Corpus(df)
-    corpus.ask(lambda texts, _: _whole(texts))
     corpus.ask(_first_buckets)
     corpus.ask(_deep_buckets)
     return corpus.each(_finish, SCHEMA, _ARROW)
