@@ -5,8 +5,9 @@ least k. A first pass orders tokens by hash, takes prefixes so long that similar
 which prefix tokens occur elsewhere; a document with too few has no partner. For the others, tokens are ordered by how many of
 these documents have them, rare first, and each document's prefix is lengthened as far as the estimated cost of its
 candidates falls: a longer prefix asks for more shared tokens before two sets are compared. Candidates are pairs of a
-document and the hub of a token's list; lists whose documents are in one component already are done, and the others
-go on with their next hub, so a group of near copies costs about as many comparisons as it has members.
+document and a hub of a token's list; lists whose documents are in one component already are done, and the others go
+on with their next hubs, four times as many each round, so a group of near copies costs about as many comparisons as
+it has members.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import own_columns, small, staged
 from tidemark.llm.components import components
@@ -29,6 +30,8 @@ FIRST_MATCH = 0.15
 #: In the second pass, the longest extension, and tokens that cost as much to compare as one list entry to read.
 MATCHES = 4
 COMPARED = 16.0
+#: Hubs that a list takes in one round, at most; all its documents are compared in as many rounds as it needs.
+MOST_HUBS = 256
 
 SCHEMA = "doc_id long, text_md5 string, n_shingles long, class long, alone boolean, tokens array<long>"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("text_md5", pa.string()), ("n_shingles", pa.int64()), ("class", pa.int64()), ("alone", pa.bool_()), ("tokens", pa.list_(pa.int64()))])
@@ -119,24 +122,27 @@ def _links(sets: DataFrame) -> DataFrame:
     """Edges (a, b) between rows of `sets` that connect each component of the similarity graph."""
     docs = _prefixes(sets)
     lists = staged(docs.select(F.explode("prefix").alias("token"), "row", "n", "weight", F.col("row").alias("component")), "lists")
-    links = None
+    order, links, hubs_each = [F.desc("weight"), F.asc("row")], None, 1
     while True:
-        hubs = staged(
-            lists.groupBy("token").agg(F.max(F.struct("weight", "row", "n", "component")).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high"))
-            .where("low < high").select("token", F.col("hub.row").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.component").alias("hub_component")), "hubs")
-        open_lists = staged(lists.join(hubs, "token").where("row <> hub"), "open")
+        unsettled = lists.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+        live = staged(lists.join(small(staged(unsettled, "unsettled"), computed=True), "token", "left_semi"), "live")
+        if live.isEmpty():
+            return links
+        # the rank filter is applied before the shuffle too, so a long list is not gathered
+        place = F.row_number().over(Window.partitionBy("token").orderBy(*order))
+        hubs = staged(live.withColumn("place", place).where(F.col("place") <= hubs_each).drop("place"), "hubs")
+        named = hubs.select("token", *[F.col(c).alias(f"hub_{c}") for c in ("row", "n", "weight", "component")])
+        after = (F.col("weight") < F.col("hub_weight")) | (F.col("weight") == F.col("hub_weight")) & (F.col("row") > F.col("hub_row"))
         fits = (100 * F.least("n", "hub_n") >= PERCENT * F.greatest("n", "hub_n")) & (F.col("component") != F.col("hub_component"))
-        pairs = staged(open_lists.where(fits).select("row", "hub").distinct(), "pairs")
-        if not pairs.isEmpty():
-            new = _similar(pairs, docs)
+        pairs = staged(live.join(small(named, computed=True), "token").where(after & fits).select("row", F.col("hub_row").alias("hub")).distinct(), "pairs")
+        new = _similar(pairs, docs)
+        rest = live.join(small(hubs.select("token", "row"), computed=True), ["token", "row"], "left_anti")
+        if not new.isEmpty():
             links = new if links is None else staged(links.unionAll(new), "all_links")
-        rest = open_lists.select("token", "row", "n", "weight", "component")
-        if rest.isEmpty():
-            return links
-        if links is not None and not pairs.isEmpty():
             labels = components(links).select(F.col("node").alias("row"), "label")
             rest = rest.join(small(labels, computed=True), "row", "left").select("token", "row", "n", "weight", F.coalesce("label", "component").alias("component"))
         lists = staged(rest, "lists")
+        hubs_each = min(4 * hubs_each, MOST_HUBS)
 
 
 def similar_documents(df: DataFrame) -> DataFrame:
