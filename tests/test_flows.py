@@ -56,3 +56,44 @@ def test_chunk_predicates_cover_every_row_once(spark):
     assert len(clauses) > 2
     assert [rows.filter(" + ".join(f"int({c})" for c in clauses) + " = 1").count()] == [12]
     assert [c for c in clauses if "<=" not in c] == [clauses[-1]]
+
+
+def test_chunk_predicates_keep_null_keys_and_quote_values(spark):
+    import datetime
+
+    from tidemark.sources.tables import sql_literal
+
+    rows = spark.createDataFrame([(1,), (2,), (2,), (3,), (4,), (None,), (None,), (9,)], "k int")
+    for size in (2, 5, 100):
+        clauses = chunk_predicates(chunk_bounds(rows, "k", size), "k")
+        assert sum(rows.filter(c).count() for c in clauses) == 8
+    assert sql_literal("o'k") == "'o''k'" and sql_literal(datetime.datetime(2024, 1, 2)) == "TIMESTAMP '2024-01-02 00:00:00'"
+
+
+def test_versioned_table_keeps_winner_buckets_columns_and_null_keys(spark, tmp_path):
+    import pytest
+
+    from tidemark.sinks.versioned import VersionedTable
+
+    rows = spark.createDataFrame([(i, "one") for i in range(40)] + [(None, "one")], "k int, v string")
+    table = VersionedTable(spark, str(tmp_path / "t"), ["k"], buckets=8)
+    table.replace(rows)
+    loser = table._write(rows.withColumn("v", rows.k.cast("string")), 1)
+    assert table.read().select("v").distinct().collect()[0][0] == "one" and set(loser.values()).isdisjoint(table.manifest()["buckets"].values())
+    assert VersionedTable(spark, str(tmp_path / "t"), ["k"], buckets=3).read().count() == 41
+    with pytest.raises(ValueError):
+        VersionedTable(spark, str(tmp_path / "t"), ["v"])
+    batch = spark.createDataFrame([(None, "two", 1), (5, "two", 2)], "k int, v string, extra int")
+    for _ in range(2):
+        table.merge(batch, ["v"])
+    got = table.read()
+    assert got.columns == ["k", "v", "extra"] and got.count() == 41 and got.filter("extra IS NOT NULL").count() == 2
+
+
+def test_budget_keeps_null_and_tied_keys(spark):
+    from tidemark.operators.enrich import within_budget
+
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "d"), (None, "e"), (None, "f"), (1, "c")], "k int, v string")
+    for budget in (0, 1, 2, 3, 4, 5, 9):
+        inside, outside = within_budget(df, "k", budget)
+        assert inside.count() == min(budget, 5) and inside.count() + outside.count() == 7

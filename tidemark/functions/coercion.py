@@ -88,7 +88,8 @@ def typed_or_raw(c: Column, kind: str) -> Column:
     elif kind == "CHECKBOX":
         parsed = F.when(c != "", F.lit("true")).otherwise(F.lit("false"))
     elif kind in ("NUMBER", "CURRENCY", "PERCENT"):
-        parsed = F.trim(c).try_cast("decimal(38,10)").cast("string")
+        # the digits stay as they are: no type holds all of them
+        parsed = F.when(F.trim(c).rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), F.trim(c))
     else:
         parsed = c
     return F.when(c.isNull(), None).otherwise(F.coalesce(parsed, c))
@@ -143,8 +144,8 @@ def logical_type(source: str, precision: int | None = None, scale: int | None =
     """Spark type name for a source type; unknown types become string."""
     name = source.strip().lower()
     if name in ("decimal", "numeric"):
-        width = min(precision or 18, 38)
-        return f"decimal({width},{min(scale or 0, width)})"
+        width = precision or 18
+        return f"decimal({width},{min(scale or 0, width)})" if width <= 38 else "string"
     return LOGICAL_TYPES.get(name, "string")
 
 

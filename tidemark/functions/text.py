@@ -19,7 +19,8 @@ NARRATIVE_FIELDS = {
     "ach_tran_time": r"(?i)Time:\s*(\d{2}:\d{2}\s*(?:AM|PM))",
     "ach_addenda": r"(?im)Addenda:\s*(.+?)$",
 }
-FIXED_VERSION = r"(?i)fixed in\s+(?:version\s+)?([0-9.]+(?:\s*(?:or|and)\s*[0-9.]+)*)"
+_RELEASE = r"[0-9]+(?:\.[0-9]+)*"
+FIXED_VERSION = rf"(?i)\bfixed in(?: version)? +({_RELEASE}(?: (?:and|or) {_RELEASE})*)"
 
 
 def extract(c: Column, pattern: str, group: int = 1) -> Column:
@@ -32,8 +33,9 @@ def narrative_fields(c: Column) -> dict[str, Column]:
     return {name: extract(c, pattern) for name, pattern in NARRATIVE_FIELDS.items()}
 
 
-def fixed_version(c: Column, max_chars: int = 100) -> Column:
-    return F.substring(extract(c, FIXED_VERSION), 1, max_chars)
+def fixed_version(c: Column) -> Column:
+    """The release, or releases joined by and/or, that a notice names as fixed."""
+    return extract(c, FIXED_VERSION)
 
 
 def distinct_matches(c: Column, pattern: str) -> Column:
@@ -41,8 +43,9 @@ def distinct_matches(c: Column, pattern: str) -> Column:
     return F.sort_array(F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0))))
 
 
-def section(c: Column, start: str, end: str | None, window: int, cap: int, default: str) -> Column:
-    """Text after one heading up to the next (any case); without the next, `window` characters.
+def section(c: Column, start: str, end: str | None, default: str, window: int | None = None, cap: int | None = None) -> Column:
+    """Text after one heading up to the next (any case), or to the end; `window` characters if the next is missing and
+    at most `cap` in all, where the caller sets them.
 
     Sections of ten characters or fewer fall back to the default.
     """
@@ -50,12 +53,12 @@ def section(c: Column, start: str, end: str | None, window: int, cap: int, defau
     at = F.locate(start, upper)
     begin = at + F.lit(len(start))
     if end is None:
-        length = F.lit(window)
+        length = F.length(c) if window is None else F.lit(window)
     else:
         stop = F.locate(end, F.substr(upper, begin))
-        length = F.when(stop > 0, stop - 1).otherwise(F.lit(window))
+        length = F.when(stop > 0, stop - 1).otherwise(F.length(c) if window is None else F.lit(window))
     body = F.regexp_replace(F.substr(c, begin, length), r"^\s+|\s+$", "")
-    return F.when((at > 0) & (F.length(body) > 10), F.substring(body, 1, cap)).otherwise(F.lit(default))
+    return F.when((at > 0) & (F.length(body) > 10), body if cap is None else F.substring(body, 1, cap)).otherwise(F.lit(default))
 
 
 def truncate_marked(c: Column, max_chars: int, marker: str = "... [truncated]") -> Column:

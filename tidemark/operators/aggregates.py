@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MONEY = "decimal(18,2)"
 
@@ -73,24 +73,26 @@ def census(tables: dict[str, DataFrame]) -> DataFrame:
     return out.orderBy(F.desc("n"), "entity")
 
 
-def interval_metrics(df: DataFrame, bucket: Column, name: str, value: str, accuracy: int = 100_000) -> DataFrame:
-    """Average, extremes, spread and percentiles per interval.
+def interval_metrics(df: DataFrame, bucket: Column, name: str, value: str) -> DataFrame:
+    """Average, extremes, spread and percentiles per interval, exact at any size.
 
-    Percentiles are mergeable sketches of bounded size: exact up to `accuracy` distinct values per
-    interval, within 1/accuracy in rank beyond.
+    A percentile is the smallest value up to which at least that share of the interval's rows lies. Values are counted
+    first, so a repeated value is one row before it is ordered.
     """
-    v = F.col(value)
-    points = F.percentile_approx(v, [0.5, 0.9, 0.95, 0.99], accuracy)
-    rows = df.groupBy(bucket.alias(name)).agg(
+    rows = df.select(bucket.alias(name), F.col(value).alias("_v"))
+    totals = rows.groupBy(name).agg(
         F.count(F.lit(1)).alias("n"),
-        money_sum(v).alias("sum_value"),
-        F.min(v).alias("min_value"),
-        F.max(v).alias("max_value"),
-        F.stddev_samp(v).alias("stddev_value"),
-        points.alias("_p"),
-    )
-    return rows.select(
-        name, "n", "sum_value", F.round(F.col("sum_value") / F.col("n"), 6).alias("avg_value"),
-        "min_value", "max_value", F.round("stddev_value", 6).alias("stddev_value"),
-        *[F.col("_p")[i].alias(p) for i, p in enumerate(["p50", "p90", "p95", "p99"])],
+        F.sum(F.col("_v").cast("decimal(38,10)")).cast("double").alias("sum_value"),
+        F.round(F.avg("_v"), 6).alias("avg_value"),
+        F.min("_v").alias("min_value"),
+        F.max("_v").alias("max_value"),
+        F.round(F.stddev_samp("_v"), 6).alias("stddev_value"),
+        F.count("_v").alias("_n"),
     )
+    counted = rows.filter(F.col("_v").isNotNull()).groupBy(name, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(name).orderBy("_v"))
+    placed = counted.withColumn("_upto", upto).join(totals.select(F.col(name).alias("_name"), "_n"), F.col(name).eqNullSafe(F.col("_name")))
+    points = {f"p{p}": F.min(F.when(F.col("_upto") * 100 >= F.col("_n") * p, F.col("_v"))).alias(f"p{p}") for p in (50, 90, 95, 99)}
+    found = placed.groupBy("_name").agg(*points.values())
+    return totals.join(found, F.col(name).eqNullSafe(F.col("_name")), "left").select(
+        name, "n", "sum_value", "avg_value", "min_value", "max_value", "stddev_value", *points)

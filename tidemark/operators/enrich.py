@@ -10,15 +10,25 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import json_in_prose
+from tidemark.session import small_side
 
 
 def within_budget(df: DataFrame, key: str, budget: int) -> tuple[DataFrame, DataFrame]:
-    """(first `budget` rows by a unique key, the rest). The cut is one key value, so a retry picks
-    the same rows and both halves stay plain filters."""
-    cut = df.select(key).orderBy(key).limit(budget).agg(F.max(key)).first()[0]
-    if cut is None:
+    """(the first `budget` rows by key, the rest); rows without a key are in the rest. Rows with one key are ordered by
+    a hash of their content, so a retry picks the same rows; of equal rows it does not matter which."""
+    place = F.struct(F.col(key).alias("k"), F.xxhash64(F.to_json(F.struct("*"))).alias("h"))
+    rows = df.withColumn("_place", place)
+    keyed = rows.filter(F.col(key).isNotNull())
+    first = keyed.select("_place").orderBy("_place").limit(budget)
+    cut = first.agg(F.max("_place").alias("p"), F.count(F.lit(1)).alias("n")).first()
+    if cut["p"] is None:
         return df.filter(F.lit(False)), df
-    return df.filter(F.col(key) <= F.lit(cut)), df.filter(F.col(key) > F.lit(cut))
+    at = F.struct(F.lit(cut["p"]["k"]).cast(df.schema[key].dataType).alias("k"), F.lit(cut["p"]["h"]).alias("h"))
+    same = keyed.filter(F.col("_place") == at)
+    room = cut["n"] - first.filter(F.col("_place") < at).count()
+    inside = keyed.filter(F.col("_place") < at).unionByName(same.limit(room))
+    outside = keyed.filter(F.col("_place") > at).unionByName(same.offset(room)).unionByName(rows.filter(F.col(key).isNull()))
+    return inside.drop("_place"), outside.drop("_place")
 
 
 def enrich(df: DataFrame, key: str, budget: int, name: str, scorer: Callable[[Column], Column], source: str) -> DataFrame:
@@ -56,4 +66,4 @@ def discover(seed: DataFrame, recommendations: str, source: DataFrame, key: str,
     proposed = seed.select(F.explode(recommendations).alias(key))
     ranked = proposed.groupBy(key).agg(F.count(F.lit(1)).alias("support")).join(seed.select(key).distinct(), key, "left_anti")
     chosen = ranked.orderBy(F.desc("support"), F.asc(key)).limit(cap)
-    return source.join(F.broadcast(chosen.select(key)), key, "left_semi")  # at most `cap` rows
+    return source.join(small_side(chosen.select(key)), key, "left_semi")

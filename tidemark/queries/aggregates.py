@@ -129,7 +129,7 @@ def agg13(t):
 
 @query(
     "agg14_interval_metrics",
-    """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sum_value, round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*), 6) AS avg_value,
+    """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(38,10))) AS DOUBLE) AS sum_value, round(avg(value), 6) AS avg_value,
     min(value) AS min_value, max(value) AS max_value, round(stddev_samp(value), 6) AS stddev_value, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.9) AS p90,
     quantile_disc(value, 0.95) AS p95, quantile_disc(value, 0.99) AS p99 FROM events GROUP BY 1""",
 )

@@ -50,20 +50,20 @@ def str02_fix(t):
 @query(
     "str03_text_sections",
     """SELECT p_partkey, 'The ' || p_name || ' shows a risk' AS assessment,
-    CASE WHEN p_size > 9 THEN 'Inspect all ' || p_size || ' units' ELSE 'Monitor regularly' END AS actions FROM part""",
+    CASE WHEN p_size > 9 THEN 'Inspect all ' || p_size || ' units' ELSE 'Look again later' END AS actions FROM part""",
 )
 def str03(t):
     size = F.col("p_size").cast("string")
     advice = F.when(F.col("p_size") > 9, F.concat(F.lit("Inspect all "), size, F.lit(" units"))).otherwise("None")
     answer = F.concat(
-        F.lit("Intro.\nRisk assessment: The "), F.col("p_name"), F.lit(" shows a risk\nAFFECTED FARMS: none\nRecommended Actions:  "), advice
+        F.lit("Intro.\nOutlook: The "), F.col("p_name"), F.lit(" shows a risk\nSTORES CONCERNED: none\nNext Steps:  "), advice
     )
     rows = t.part.withColumn("answer", answer)
     c = F.col("answer")
     return rows.select(
         "p_partkey",
-        X.section(c, "RISK ASSESSMENT:", "AFFECTED FARMS:", 500, 1000, "No assessment available").alias("assessment"),
-        X.section(c, "RECOMMENDED ACTIONS:", "HISTORICAL CORRELATION:", 800, 1500, "Monitor regularly").alias("actions"),
+        X.section(c, "OUTLOOK:", "STORES CONCERNED:", "Nothing to report").alias("assessment"),
+        X.section(c, "NEXT STEPS:", "EARLIER CASES:", "Look again later").alias("actions"),
     )
 
 

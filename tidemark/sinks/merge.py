@@ -11,6 +11,12 @@ from tidemark.operators.ordering import keep_one
 from tidemark.session import cut_lineage, small_side
 
 
+def without_keys(target: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """Target rows whose key is not among `gone`; NULL equals NULL, so replays of such keys add no copies."""
+    other = gone.select(*[F.col(k).alias(f"_gone_{i}") for i, k in enumerate(keys)])
+    return target.join(other, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_gone_{i}")) for i, k in enumerate(keys)]), "left_anti")
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Insert or replace by key, the last row of the batch by `order` winning.
 
@@ -18,16 +24,20 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order: list) ->
     broadcast when they are measured to be few, so a small batch never shuffles a large target.
     """
     final = cut_lineage(keep_one(batch, keys, order, "last").select(*target.columns))
-    return target.join(small_side(final.select(*keys), computed=True), keys, "left_anti").unionByName(final)
+    return without_keys(target, small_side(final.select(*keys), computed=True), keys).unionByName(final)
 
 
 def delete_keys(target: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
-    return target.join(small_side(gone.select(*keys).distinct()), keys, "left_anti")
+    return without_keys(target, small_side(gone.select(*keys).distinct()), keys)
 
 
 def upsert_rows(target: DataFrame, batch: DataFrame, name: str = "row_key") -> DataFrame:
-    """Keyless table: the row id is a hash of all values, so exact duplicates collapse."""
-    return with_row_key(target, name).unionByName(with_row_key(batch, name)).dropDuplicates([name])
+    """Keyless table: the row id is a hash of all values, so exact duplicates collapse.
+
+    A target that has its row ids was built this way and is not shuffled again, only the batch is.
+    """
+    old = target if name in target.columns else with_row_key(target, name).dropDuplicates([name])
+    return upsert(old, with_row_key(batch, name).dropDuplicates([name]), [name], [name])
 
 
 def evolve(frames: list[DataFrame]) -> DataFrame:

@@ -2,23 +2,35 @@
 
 Rows live in key-hash buckets. A commit writes new folders for the touched buckets only, then
 publishes one small manifest (bucket -> folder, plus state) by a rename, which must be atomic there. Readers resolve the
-newest manifest, so they see the old table or the new one, never a half-written or empty one.
+newest manifest, so they see the old table or the new one, never a half-written or empty one. Every attempt writes
+to a folder of its own, so a writer that loses the race changes nothing that a manifest names.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.ordering import keep_one
 from tidemark.session import cut_lineage, small_side
+from tidemark.sinks.merge import without_keys
+
+#: Tasks, and so files, that write one bucket at most.
+WRITERS_PER_BUCKET = 4
 
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 16):
-        """Choose `buckets` so that one bucket is one task's work at the table's full size."""
+        """Choose `buckets` so that one bucket is a few tasks' work at the table's full size. A table that exists
+        keeps the bucket count it was made with, and refuses other keys."""
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+        current = self.manifest()
+        if current is not None:
+            if current.get("keys", self.keys) != self.keys:
+                raise ValueError(f"the table's keys are {current['keys']}, not {self.keys}")
+            self.buckets = current.get("bucket_count", self.buckets)
 
     def _fs(self, path: str):
         hadoop = self.spark._jvm.org.apache.hadoop.fs
@@ -68,9 +80,10 @@ class VersionedTable:
         return (self.manifest() or {}).get("state", {})
 
     def _write(self, df: DataFrame, version: int) -> dict[str, str]:
-        folder = f"v{version:09d}"
-        bucketed = df.withColumn("_bucket", self._bucket()).repartition("_bucket")
-        bucketed.write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/{folder}")
+        folder = f"v{version:09d}-{uuid.uuid4().hex[:8]}"
+        salt = F.pmod(F.hash(*self.keys), F.lit(WRITERS_PER_BUCKET))
+        bucketed = df.withColumn("_bucket", self._bucket()).repartition("_bucket", salt)
+        bucketed.write.partitionBy("_bucket").parquet(f"{self.path}/{folder}")
         fs, written = self._fs(f"{self.path}/{folder}")
         names = [s.getPath().getName() for s in fs.listStatus(written) if s.isDirectory()]
         return {n.split("=")[1]: folder for n in names if n.startswith("_bucket=")}
@@ -88,7 +101,7 @@ class VersionedTable:
             fs.delete(self._fs(f"{self.path}/_manifests/{name}")[1], False)
         for status in fs.listStatus(self._fs(self.path)[1]):
             version = status.getPath().getName()
-            # A folder newer than the newest manifest belongs to a commit in progress.
+            # A folder as new as the newest manifest or newer belongs to a commit in progress.
             if version.startswith("v") and version not in used and version < f"v{kept[-1].split('.')[0]}":
                 fs.delete(status.getPath(), True)
         return len(old)
@@ -100,6 +113,8 @@ class VersionedTable:
         self._publish(
             {
                 "version": version,
+                "keys": self.keys,
+                "bucket_count": self.buckets,
                 "schema": df.schema.jsonValue(),
                 "buckets": self._write(df, version),
                 "state": current["state"] if state is None else state,
@@ -117,7 +132,8 @@ class VersionedTable:
     ) -> bool:
         """Upsert the last row per key; rows whose `deleted` column is true remove their key.
 
-        `order` columns may be extra to the table's. `batch` is (writer, number): a number this writer
+        `order` columns may be extra to the table's. Other columns that the table lacks are added to it, NULL in the
+        rows it has; columns that the rows lack become NULL in theirs. A NULL key is a key like others. `batch` is (writer, number): a number this writer
         committed before is skipped, which makes replays harmless.
         """
         current = self.manifest()
@@ -133,15 +149,21 @@ class VersionedTable:
         touched = {r[0] for r in final.select(self._bucket().alias("b")).distinct().collect()}
         buckets = {b: v for b, v in current["buckets"].items() if int(b) not in touched}
         version = current["version"] + 1
+        schema = T.StructType.fromJson(current["schema"])
+        extra = {*schema.names, *order, *([deleted] if deleted else [])}
+        schema = T.StructType([*schema.fields, *(T.StructField(f.name, f.dataType) for f in rows.schema.fields if f.name not in extra)])
         if touched:
-            old = self._read(current, touched)
+            old = self._read({**current, "schema": schema.jsonValue()}, touched)
             live = final if deleted is None else final.filter(~F.col(deleted))
-            merged = old.join(small_side(final.select(*self.keys), computed=True), self.keys, "left_anti").unionByName(live.select(*old.columns))
+            live = live.select(*[c for c in schema.names if c in live.columns])
+            merged = without_keys(old, small_side(final.select(*self.keys), computed=True), self.keys).unionByName(live, allowMissingColumns=True)
             buckets.update(self._write(merged, version))
         self._publish(
             {
                 "version": version,
-                "schema": current["schema"],
+                "keys": self.keys,
+                "bucket_count": self.buckets,
+                "schema": schema.jsonValue(),
                 "buckets": buckets,
                 "state": current["state"] if state is None else {**current["state"], **state},
                 "batches": done,

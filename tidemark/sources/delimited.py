@@ -5,23 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 CANDIDATES = [",", ";", "\t", "|"]
-SNIFF_CHARS = 4096
 
 
 def sniff(spark: SparkSession, path: str, default: str = ",") -> str:
-    """The candidate delimiter seen most in the first line; only the head of the text is looked at."""
-    head = spark.read.text(path).limit(1).first()
-    line = (head[0] if head else "")[:SNIFF_CHARS]
-    best = max(CANDIDATES, key=line.count)
-    return best if line.count(best) else default
-
-
-def read_with_header(spark: SparkSession, path: str, delimiter: str | None = None) -> DataFrame:
-    """Header CSV, every value a string; blank headers are dropped and a byte-order mark removed."""
+    """The candidate delimiter seen most in the header lines; an error if the files' headers disagree."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", F.col("_metadata.file_block_start").alias("start"))
+    heads = lines.filter("start = 0").withColumn("_at", F.monotonically_increasing_id()).groupBy("file_path").agg(F.min_by("value", "_at").alias("line"))
+    counts = [F.struct(F.length(F.regexp_replace("line", f"[^{d}]", "")).alias("n"), F.lit(-i).alias("rank"), F.lit(d).alias("delimiter")) for i, d in enumerate(CANDIDATES)]
+    best = F.greatest(*counts)
+    found = [r[0] for r in heads.select(F.when(best["n"] > 0, best["delimiter"]).alias("d")).filter("d IS NOT NULL").distinct().collect()]
+    if len(found) > 1:
+        raise ValueError(f"header lines below {path} use different delimiters: {sorted(found)}")
+    return found[0] if found else default
+
+
+def read_with_header(spark: SparkSession, path: str, delimiter: str | None = None, multi_line: bool = True) -> DataFrame:
+    """Header CSV, every value a string; blank headers are dropped and a byte-order mark removed.
+
+    Quoted values may hold line breaks; say `multi_line=False` where they cannot, so that large files are split.
+    """
     separator = delimiter or sniff(spark, path)
-    df = spark.read.csv(path, sep=separator, header=True, inferSchema=False, multiLine=False)
-    names = {c: c.lstrip("﻿").strip() for c in df.columns}
-    kept = [c for c in df.columns if names[c] and not names[c].startswith("_c")]
+    df = spark.read.csv(path, sep=separator, header=True, inferSchema=False, multiLine=multi_line, escape='"')
+    names = {c: c.lstrip("\ufeff").strip() for c in df.columns}
+    # a blank header is named _c and its position by the reader
+    kept = [c for i, c in enumerate(df.columns) if names[c] and names[c] != f"_c{i}"]
     return df.select(*[F.col(f"`{c}`").alias(names[c]) for c in kept])
 
 

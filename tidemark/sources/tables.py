@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import decimal
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.ordering import global_running_total
@@ -65,22 +67,42 @@ def chunk_bounds(df: DataFrame, key: str, rows: int) -> DataFrame:
     return joined.select("chunk", "low", F.when(F.col("high") < F.lit(top), F.col("high")).alias("high"), "row_count")
 
 
-def quantile_bounds(df: DataFrame, key: str, chunks: int, accuracy: int = 100_000) -> DataFrame:
-    """About equal key ranges from a mergeable sketch: one pass, nothing is sorted or shuffled but the
-    sketches. Exact up to `accuracy` distinct keys; repeated bounds of a hot key collapse into one."""
-    cuts = F.percentile_approx(key, [i / chunks for i in range(1, chunks)], accuracy)
-    edges = df.agg(F.array_distinct(cuts).alias("cuts")).select(F.posexplode(F.array_append("cuts", F.lit(None))).alias("chunk", "high"), "cuts")
-    return edges.select("chunk", F.when(F.col("chunk") > 0, F.get("cuts", F.col("chunk") - 1)).alias("low"), "high")
-
-
-def chunk_predicates(bounds: DataFrame, key: str) -> list[str]:
-    """One WHERE clause per chunk for a partitioned JDBC read; bounded by the chunk count."""
-    rows = bounds.orderBy("chunk").collect()
+def quantile_bounds(df: DataFrame, key: str, chunks: int) -> DataFrame:
+    """About equal key ranges, exact at any size: the bounds are the smallest keys up to which at least the share
+    i / chunks of the rows lies. Repeated bounds of a hot key collapse into one."""
+    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = global_running_total(counted, [key], F.col("_n"), "_upto")
+    total = F.lit(counted.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0])
+    wanted = F.array(*[F.ceil(total * i / chunks) for i in range(1, chunks)]) if chunks > 1 else F.array().cast("array<bigint>")
+    met = F.exists(wanted, lambda rank: (rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_n")))
+    edges = ranked.filter(met).agg(F.sort_array(F.collect_list(key)).alias("cuts"))  # fewer than `chunks` keys
+    rows = edges.select(F.posexplode(F.array_append("cuts", F.lit(None))).alias("chunk", "high"), "cuts")
+    return rows.select("chunk", F.when(F.col("chunk") > 0, F.get("cuts", F.col("chunk") - 1)).alias("low"), "high")
+
+
+def sql_literal(value: object) -> str:
+    """A bound as ANSI SQL text."""
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, datetime.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, datetime.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def chunk_predicates(bounds: DataFrame, key: str, quote: str = "") -> list[str]:
+    """One WHERE clause per chunk for a partitioned JDBC read, bounded by the chunk count; rows without a key come with
+    the first chunk. `quote` is the database's sign around names."""
+    name = f"{quote}{key}{quote}"
     clauses = []
-    for r in rows:
-        low = "" if r["low"] is None else f"{key} > {r['low']!r}"
-        high = "" if r["high"] is None else f"{key} <= {r['high']!r}"
-        clauses.append(" AND ".join(x for x in (low, high) if x) or "1 = 1")
+    for r in bounds.orderBy("chunk").collect():
+        low = "" if r["low"] is None else f"{name} > {sql_literal(r['low'])}"
+        high = "" if r["high"] is None else f"{name} <= {sql_literal(r['high'])}"
+        clause = " AND ".join(x for x in (low, high) if x) or f"{name} IS NOT NULL"
+        clauses.append(clause if clauses else f"({clause}) OR {name} IS NULL")
     return clauses
 
 
