@@ -38,3 +38,64 @@ def word_repeats(rows: list[tuple], length: int = 35) -> list[tuple]:
         gone = _covered(d, length, windows)
         out.append((i, len(d), sum(gone), hashlib.sha256(b" ".join(x for x, g in zip(d, gone) if not g)).hexdigest()))
     return out
+
+
+def shingles(text: str | None, n: int = 5) -> set[tuple]:
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or "").encode())
+    return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if len(words) >= n else ({tuple(words)} if words else set())
+
+
+def similar(rows: list[tuple]) -> list[tuple]:
+    """(doc_id, n_shingles, component_id) by comparing all pairs."""
+    sets, group = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                group[root(i)] = root(j)
+    least: dict = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[root(i)] = min(doc, least.get(root(i), doc))
+    return [(doc, len(sets[i]), least.get(root(i))) for i, (doc, _) in enumerate(rows)]
+
+
+def leaked(rows: list[tuple], items: list[tuple]) -> list[bool]:
+    """Whether any window of an item's length is similar to it, by weighted Jaccard of five-word shingles."""
+    def grams(words, n):
+        return [tuple(words[k : k + n]) for k in range(len(words) - n + 1)]
+
+    out = []
+    for _, text in rows:
+        words, hit = (text or "").lower().split(), False
+        for _, item in items:
+            w = (item or "").lower().split()
+            if not w or not words:
+                continue
+            n = min(5, len(w))
+            want = Counter(grams(w, n))
+            for s in range(max(1, len(words) - len(w) + 1)):
+                have = Counter(grams(words[s : s + len(w)], n))
+                both, union = sum((have & want).values()), sum((have | want).values())
+                hit = hit or 100 * both >= 80 * union
+        out.append(hit)
+    return out
+
+
+_KINDS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+
+
+def personal(text: str) -> list[tuple[int, int, int]]:
+    out = []
+    for kind, pattern in enumerate(_KINDS):
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in m[0] if c in "0123456789"]
+            luhn = sum(sum(divmod(2 * d, 10)) if i % 2 else d for i, d in enumerate(reversed(digits))) % 10 == 0
+            if (kind == 0 or kind == 1 and all(int(x) <= 255 for x in m[0].split(".")) or kind == 2 and 14 <= len(digits) <= 19 and luhn or kind == 3 and 10 <= len(digits) <= 15):
+                out.append((m.start(), kind, m.end()))
+    return sorted(out)
