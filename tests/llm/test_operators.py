@@ -165,3 +165,22 @@ def test_pages_with_nothing(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p></p>"), (3, "u", "<article><p>x</article>"), (3, "u", "no tags")]
     got = extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert [(r.text, r.n_chars) for r in got] == [("", 0), ("", 0), ("", 0), ("x", 1), ("no tags", 7)]
+
+
+def test_language_grams_of_cut_texts_count_once(monkeypatch):
+    import numpy as np
+
+    from tidemark.llm import language
+
+    texts = ["abcdefghij" * 7, "", "x", "ab", "Été " * 30]
+
+    def counts():
+        out = []
+        for _, pieces, counted in language._chunks(texts):
+            for bins, begins, ends in language._grams(pieces, counted):
+                out += [bins[a:b] for a, b in zip(begins, ends) if b > a]
+        return sorted(np.concatenate(out).tolist())
+
+    whole = counts()
+    monkeypatch.setattr(language, "CHUNK", 16)
+    assert counts() == whole and len(whole) == sum(max(0, len(t) - n + 1) for t in texts for n in language.GRAMS)

@@ -15,33 +15,52 @@ BINS = 1 << 16
 GRAMS = (1, 2, 3)
 #: Labelled rows the model is fitted on, at most on average; chosen by hash of doc_id.
 TRAIN_ROWS = 60_000
+#: Characters that are scored at a time; bounds the memory of a task whatever the length of a text.
+CHUNK = 400_000
 #: Prediction for texts that are null or have no letter.
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _MULTIPLY = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 
-def _features(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Where each text's lower-cased characters begin, and for each gram length the bins of all places."""
-    lowered = [t.lower() for t in texts]
-    begins = np.r_[0, np.cumsum([len(t) for t in lowered], dtype=np.int64)]
-    chars = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
-    bins, state = [], np.zeros(len(chars), np.uint32)
+def _chunks(texts: list[str]) -> Iterator[tuple[np.ndarray, list[str], np.ndarray]]:
+    """The lower-cased texts in chunks of bounded size: owners, pieces, and how many places of a piece count. A long
+    text is cut; a piece then goes on into the next so far that no gram is lost, and none counts twice."""
+    owners, pieces, counted, size = [], [], [], 0
+    for i, text in enumerate(texts):
+        low = text.lower()
+        for start in range(0, len(low), CHUNK):
+            piece = low[start : start + CHUNK + max(GRAMS) - 1]
+            if pieces and size + len(piece) > CHUNK:
+                yield np.array(owners), pieces, np.array(counted)
+                owners, pieces, counted, size = [], [], [], 0
+            owners.append(i)
+            pieces.append(piece)
+            counted.append(min(CHUNK, len(low) - start))
+            size += len(piece)
+    if pieces:
+        yield np.array(owners), pieces, np.array(counted)
+
+
+def _grams(pieces: list[str], counted: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each gram length: the bins of all places, and from where to where each piece's own places are."""
+    lengths = np.array([len(t) for t in pieces], np.int64)
+    begins = np.cumsum(lengths) - lengths
+    chars = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), np.uint32)
+    state = np.zeros(len(chars), np.uint32)
     for n in range(1, max(GRAMS) + 1):
-        state = (state[: len(chars) - n + 1] ^ chars[n - 1 :]) * _MULTIPLY[(n - 1) % 3]
+        state = (state[: max(len(chars) - n + 1, 0)] ^ chars[n - 1 :]) * _MULTIPLY[(n - 1) % 3]
         state ^= state >> np.uint32(15)
         if n in GRAMS:
-            bins.append(((state * np.uint32(0x27D4EB2F)) >> np.uint32(16)).astype(np.int64) % BINS)
-    return begins, bins
+            ends = begins + np.maximum(np.minimum(counted, lengths - n + 1), 0)
+            yield ((state * np.uint32(0x27D4EB2F)) >> np.uint32(16)).astype(np.int32) % BINS, begins, ends
 
 
-def _summed(values: np.ndarray, begins: np.ndarray, n: int) -> np.ndarray:
-    """Sums over each text's places where a gram of length n fits."""
+def _summed(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     total = np.zeros((len(values) + 1, values.shape[1]))
     np.cumsum(values, axis=0, out=total[1:])
-    start = np.minimum(begins[:-1], len(values))
-    end = np.maximum(start, begins[1:] - n + 1)
-    return total[end] - total[start]
+    begins = np.minimum(begins, ends)
+    return np.where((ends > begins)[:, None], total[np.minimum(ends, len(values))] - total[np.minimum(begins, len(values))], 0.0)
 
 
 def learn(df: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -62,16 +81,15 @@ def learn(df: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.nd
             texts = batch.column(1).to_pylist()
             for lang in set(langs.tolist()):
                 own = [texts[i] for i in np.flatnonzero(langs == lang)]
-                begins, bins = _features(own)
                 here = sums.setdefault(lang, np.zeros(BINS, np.int64))
                 rows[lang] = rows.get(lang, 0) + len(own)
-                for n, b in zip(GRAMS, bins):
-                    # grams across two texts are left out
-                    cross = np.zeros(len(b), bool)
-                    for k in range(1, n):
-                        edge = begins[1:-1] - k
-                        cross[edge[(edge >= 0) & (edge < len(b))]] = True
-                    here += np.bincount(b[~cross], minlength=BINS)
+                for _, pieces, counted in _chunks(own):
+                    for bins, begins, ends in _grams(pieces, counted):
+                        inside = np.zeros(len(bins) + 1, np.int32)
+                        some = ends > begins
+                        inside[begins[some]] += 1
+                        np.add.at(inside, ends[some], -1)
+                        here += np.bincount(bins[np.cumsum(inside[:-1]) > 0], minlength=BINS)
         for lang, here in sums.items():
             at = np.flatnonzero(here)
             yield pa.RecordBatch.from_arrays(
@@ -103,10 +121,10 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], colu
         priors, matrix = shared.value
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-            begins, bins = _features(texts)
             total = np.tile(priors, (len(texts), 1))
-            for n, b in zip(GRAMS, bins):
-                total += _summed(matrix[b], begins, n)
+            for owners, pieces, counted in _chunks(texts):
+                for bins, begins, ends in _grams(pieces, counted):
+                    np.add.at(total, owners, _summed(matrix[bins], begins, ends))
             if langs:
                 best = total.argmax(axis=1)
                 posterior = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
