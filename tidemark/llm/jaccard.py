@@ -32,6 +32,8 @@ MATCHES = 4
 COMPARED = 16.0
 #: Hubs that a list takes in one round, at most; all its documents are compared in as many rounds as it needs.
 MOST_HUBS = 256
+#: How many times as many each round takes.
+HUBS_GROW = 16
 
 SCHEMA = "doc_id long, text_md5 string, n_shingles long, class long, alone boolean, tokens array<long>"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("text_md5", pa.string()), ("n_shingles", pa.int64()), ("class", pa.int64()), ("alone", pa.bool_()), ("tokens", pa.list_(pa.int64()))])
@@ -110,39 +112,56 @@ def _prefixes(sets: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of `pairs` (row, hub) whose sets are similar, as edges (a, b). Staged."""
+    """Of `pairs` (row, hub, component, hub_component), the components (a, b) of those whose sets are similar. Staged."""
     mine = docs.select("row", "n", "tokens", "matches", "prefix")
     theirs = docs.select(*[F.col(c).alias(f"hub_{c}") for c in ("row", "n", "tokens", "matches", "prefix")]).withColumnRenamed("hub_row", "hub")
     both = F.size(F.array_intersect("tokens", "hub_tokens"))
     met = pairs.join(mine, "row").join(theirs, "hub").where(F.size(F.array_intersect("prefix", "hub_prefix")) >= F.least("matches", "hub_matches"))
-    return staged(met.where(100 * both >= PERCENT * (F.col("n") + F.col("hub_n") - both)).select(F.col("row").alias("a"), F.col("hub").alias("b")), "links")
+    alike = met.where(100 * both >= PERCENT * (F.col("n") + F.col("hub_n") - both))
+    return staged(alike.select(F.col("component").alias("a"), F.col("hub_component").alias("b")).distinct(), "links")
 
 
-def _links(sets: DataFrame) -> DataFrame:
-    """Edges (a, b) between rows of `sets` that connect each component of the similarity graph."""
+def _marks(lists: DataFrame, hubs_each: int) -> DataFrame:
+    """For each token whose list is in more than one component: its next hubs, heaviest first. Staged."""
+    spans = lists.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+    # the rank filter is applied before the shuffle too, so a long list is not gathered
+    place = F.row_number().over(Window.partitionBy("token").orderBy(F.desc("weight"), F.asc("row")))
+    tops = lists.withColumn("place", place).where(F.col("place") <= hubs_each).groupBy("token").agg(
+        F.collect_list(F.struct("row", "n", "weight", "component")).alias("hubs"))
+    return staged(spans.join(tops, "token"), "marks")
+
+
+def _renamed(df: DataFrame, column: str, labels: DataFrame) -> DataFrame:
+    """`df` with the components in `column` named by `labels` (node, label); those without a label stay."""
+    others = [c for c in df.columns if c != column]
+    return df.join(labels, F.col(column) == F.col("node"), "left").select(*others, F.coalesce("label", column).alias(column))
+
+
+def _labels(sets: DataFrame) -> DataFrame:
+    """(row, label) for the rows of `sets` that can have a partner: rows have one label if similarity connects them."""
     docs = _prefixes(sets)
+    known = docs.select("row", F.col("row").alias("label"))
     lists = staged(docs.select(F.explode("prefix").alias("token"), "row", "n", "weight", F.col("row").alias("component")), "lists")
-    order, links, hubs_each = [F.desc("weight"), F.asc("row")], None, 1
+    hubs_each = 1
     while True:
-        unsettled = lists.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-        live = staged(lists.join(small(staged(unsettled, "unsettled"), computed=True), "token", "left_semi"), "live")
-        if live.isEmpty():
-            return links
-        # the rank filter is applied before the shuffle too, so a long list is not gathered
-        place = F.row_number().over(Window.partitionBy("token").orderBy(*order))
-        hubs = staged(live.withColumn("place", place).where(F.col("place") <= hubs_each).drop("place"), "hubs")
-        named = hubs.select("token", *[F.col(c).alias(f"hub_{c}") for c in ("row", "n", "weight", "component")])
-        after = (F.col("weight") < F.col("hub_weight")) | (F.col("weight") == F.col("hub_weight")) & (F.col("row") > F.col("hub_row"))
-        fits = (100 * F.least("n", "hub_n") >= PERCENT * F.greatest("n", "hub_n")) & (F.col("component") != F.col("hub_component"))
-        pairs = staged(live.join(small(named, computed=True), "token").where(after & fits).select("row", F.col("hub_row").alias("hub")).distinct(), "pairs")
+        marks = _marks(lists, hubs_each)
+        if marks.isEmpty():
+            return known
+        marked = lists.join(small(marks, computed=True), "token")
+        wanted = F.filter("hubs", lambda h: (
+            ((F.col("weight") < h["weight"]) | (F.col("weight") == h["weight"]) & (F.col("row") > h["row"]))
+            & (100 * F.least(F.col("n"), h["n"]) >= PERCENT * F.greatest(F.col("n"), h["n"])) & (F.col("component") != h["component"])))
+        met = marked.select("row", "component", F.explode(wanted).alias("h"))
+        pairs = staged(met.select("row", "component", F.col("h.row").alias("hub"), F.col("h.component").alias("hub_component")).distinct(), "pairs")
         new = _similar(pairs, docs)
-        rest = live.join(small(hubs.select("token", "row"), computed=True), ["token", "row"], "left_anti")
+        # lists in one component have no mark and are done
+        lists = marked.where(~F.array_contains("hubs.row", F.col("row"))).drop("hubs")
         if not new.isEmpty():
-            links = new if links is None else staged(links.unionAll(new), "all_links")
-            labels = components(links).select(F.col("node").alias("row"), "label")
-            rest = rest.join(small(labels, computed=True), "row", "left").select("token", "row", "n", "weight", F.coalesce("label", "component").alias("component"))
-        lists = staged(rest, "lists")
-        hubs_each = min(4 * hubs_each, MOST_HUBS)
+            labels = small(components(new), computed=True)
+            known = staged(known.select("row", F.col("label").alias("component")).transform(_renamed, "component", labels).withColumnRenamed("component", "label"), "known")
+            lists = _renamed(lists, "component", labels)
+        lists = staged(lists, "lists")
+        hubs_each = min(HUBS_GROW * hubs_each, MOST_HUBS)
 
 
 def similar_documents(df: DataFrame) -> DataFrame:
@@ -159,15 +178,12 @@ def similar_documents(df: DataFrame) -> DataFrame:
     alone = rows.where("alone").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_md5", F.lit(1).cast("long").alias("n_same"))
     others = rows.where("NOT alone").drop("tokens", "alone")
     sets = rows.where("tokens IS NOT NULL").select("row", F.col("n_shingles").alias("n"), "tokens")
-    links = _links(sets)
+    labels = _labels(sets)
     classes = others.groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_same"))
-    if links is not None:
-        linked = rows.where("tokens IS NOT NULL").select("class", "row").join(components(links), F.col("row") == F.col("node")).select("class", "label")
-        labelled = staged(classes.join(linked, "class", "left"), "classes")
-        tops = labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("least").alias("top"))
-        classes = labelled.join(small(tops), "label", "left").select("class", "n_same", F.coalesce("top", "least").alias("component_id"))
-    else:
-        classes = classes.withColumnRenamed("least", "component_id")
+    linked = rows.where("tokens IS NOT NULL").select("class", "row").join(labels, "row").select("class", "label")
+    labelled = staged(classes.join(linked, "class", "left"), "classes")
+    tops = labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("least").alias("top"))
+    classes = labelled.join(small(tops), "label", "left").select("class", "n_same", F.coalesce("top", "least").alias("component_id"))
     named = others.join(small(staged(classes, "named"), computed=True), "class")
     return alone.unionByName(named.select("doc_id", "n_shingles", "component_id", "text_md5", "n_same"))
 
