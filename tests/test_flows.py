@@ -97,3 +97,72 @@ def test_budget_keeps_null_and_tied_keys(spark):
     for budget in (0, 1, 2, 3, 4, 5, 9):
         inside, outside = within_budget(df, "k", budget)
         assert inside.count() == min(budget, 5) and inside.count() + outside.count() == 7
+
+
+def test_changes_in_any_order_keep_the_newest(spark, tmp_path):
+    from itertools import permutations
+
+    from tidemark.streaming.streams import apply_changes_into
+
+    log = [("U", 10, 2), ("U", 20, 5), ("D", None, 7)]
+    for turn, batches in enumerate(permutations([log[:1], log[1:2], log[2:]])):
+        for last, wanted in ((3, []), (2, [(1, 20)])):
+            table = VersionedTable(spark, str(tmp_path / f"t{turn}{last}"), ["k"], buckets=2)
+            table.replace(spark.createDataFrame([(1, 0), (None, 4)], "k int, v int"))
+            write = apply_changes_into(table, ["at"], "log")
+            for number, batch in enumerate(batches):
+                rows = [(1, op, v, at) for op, v, at in batch if last == 3 or op != "D"]
+                write(spark.createDataFrame(rows, "k int, op string, v int, at int"), number)
+            assert table.read().columns == ["k", "v"]
+            assert sorted(tuple(r) for r in table.read().filter("k = 1").collect()) == wanted
+            assert table.read().count() == len(wanted) + 1
+
+
+def test_last_line_of_a_file_wins_and_splits_may_change(spark, tmp_path):
+    from tidemark.sources.lines import detail_lines, read_lines
+
+    spec = FileSpec(FIELDS, r"\.txt$", 4, 5)
+    table = VersionedTable(spark, str(tmp_path / "t"), ["id"], buckets=4)
+    put(tmp_path / "in", "a.txt", *[f"0001v{i:05d}20240101" for i in range(200)])
+    sync_files(spark, str(tmp_path / "in"), table, spec)
+    assert contents(table) == {1: "v00199"}
+    put(tmp_path / "in", "b.txt", "0001b1    20240101", "0001b2    20240101")
+    sync_files(spark, str(tmp_path / "in"), table, spec)
+    assert contents(table) == {1: "b2"} and table.read().columns == ["id", "name", "day"]
+    put(tmp_path / "big", "c.txt", *[f"{i:04d}" for i in range(3000)])
+    keys = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+    spark.conf.set(keys[1], "1")
+    try:
+        spark.conf.set(keys[0], "3")
+        details = detail_lines(read_lines(spark, str(tmp_path / "big")))
+        spark.conf.set(keys[0], "17")
+        assert details.count() == 3000
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+
+
+def test_hours_that_were_empty_are_drifted_and_verified(spark):
+    from tidemark.operators.changes import drifted_hours, repair_status
+
+    hour = lambda h: F.lit(f"2024-01-01 {h:02d}:00:00").cast("timestamp")
+    kind = "entity string, h int, record_count long, is_partial boolean"
+    counts = lambda rows: spark.createDataFrame(rows, kind).withColumn("hour_start", F.make_timestamp(F.lit(2024), F.lit(1), F.lit(1), "h", F.lit(0), F.lit(0))).drop("h")
+    now = counts([("a", 1, 5, False), ("a", 2, 2, False), ("b", 2, 1, False), ("a", 4, 9, False), ("a", 5, 9, True)])
+    before = counts([("a", 1, 5, False), ("a", 4, 3, True)])
+    drifted = drifted_hours(now, before, hour(1), hour(4))
+    assert sorted((r.entity, r.hour_start.hour, r.prev_count) for r in drifted.collect()) == [("a", 2, 0), ("b", 2, 0)]
+    status = repair_status(drifted, counts([("a", 2, 2, False)]))
+    assert {r.entity: (r.target_count, r.status) for r in status.collect()} == {"a": (2, "verified"), "b": (0, "unverified")}
+
+
+def test_top_n_of_any_size_and_zone_names(spark):
+    from tidemark.functions.dates import _zone_names, local_to_utc
+    from tidemark.operators.ordering import top_n_per
+
+    rows = spark.range(5000).select((F.col("id") % 2).alias("k"), "id")
+    top = top_n_per(rows, ["k"], [F.desc("id")], 1500)
+    assert top.count() == 3000 and top.agg(F.min("id")).first()[0] == 2000
+    zones = spark.createDataFrame([(z,) for z in _zone_names()] + [("Nowhere",)], "z string")
+    utc = {r.z: str(r.u) for r in zones.select("z", local_to_utc(F.lit("2024-01-15 12:00:00").cast("timestamp"), F.col("z")).alias("u")).collect()}
+    assert (utc["Japan"], utc["EST"], utc["Nowhere"]) == ("2024-01-15 03:00:00", "2024-01-15 17:00:00", "2024-01-15 12:00:00")

@@ -179,3 +179,19 @@ def test_line_order(spark, tmp_path):
     write(tmp_path, "a.txt", "\n".join(f"line {i}" for i in range(1000)))
     rows = lines.read_lines(spark, str(tmp_path)).orderBy("block", "seq").collect()
     assert [r.line for r in rows] == [f"line {i}" for i in range(1000)]
+
+
+def test_members_go_by_header_names(spark, tmp_path):
+    import pytest
+
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as out:
+        out.writestr("12-ab_People.csv", "﻿name, id\n\"a\nb\",7\n\nc,x\n")
+        out.writestr("12-cd_People.csv", "id,other,name\n8,1,\n")
+        out.writestr("12-ef_Empty.csv", "")
+    write(tmp_path, "z/x.zip", buffer.getvalue())
+    rows = archive.named_members(archive.zip_records(spark, str(tmp_path / "z")), "people", {"key": ("id", "int"), "name": ("name", "string")})
+    assert sorted([(r.key, r.name) for r in rows.collect()], key=str) == [(7, "a\nb"), (8, None), (None, "c")]
+    write(tmp_path, "g/7f-1_Contacts.csv.gz", gzip.compress(b"name,id\neve,5\n"))
+    with pytest.raises(Exception):
+        archive.gz_csv(spark, str(tmp_path / "g"), "id int, name string").collect()

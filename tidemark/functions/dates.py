@@ -12,7 +12,8 @@ ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 @lru_cache(maxsize=1)
 def _zone_names() -> list[str]:
-    return sorted(z for z in zoneinfo.available_timezones() if "/" in z or z in ("UTC", "GMT"))
+    # the last three stand for a machine's own setting, not for a place
+    return sorted(zoneinfo.available_timezones() - {"Factory", "localtime", "posixrules"})
 
 
 def iso_to_utc(c: Column) -> Column:
@@ -26,7 +27,9 @@ def iso_text(ts: Column) -> Column:
 
 def local_to_utc(ts: Column, zone: Column) -> Column:
     """Wall-clock time in a named zone to UTC, per-row DST; an unknown zone counts as UTC."""
-    return F.when(zone.isin(_zone_names()), F.to_utc_timestamp(ts, zone)).otherwise(ts)
+    # the one name that Java's zone table lacks
+    named = F.when(zone == "ROC", "Asia/Taipei").otherwise(zone)
+    return F.when(zone.isin(_zone_names()), F.to_utc_timestamp(ts, named)).otherwise(ts)
 
 
 def from_epoch(c: Column, unit: str = "s", fallback: Column | None = None) -> Column:

@@ -98,11 +98,24 @@ def hourly_counts(df: DataFrame, ts: str, entity: Column, cursor: Column, hours:
     )
 
 
-def drifted_hours(now: DataFrame, before: DataFrame) -> DataFrame:
-    """Full hours known from last run whose count went up since."""
-    prev = before.select("entity", "hour_start", F.col("record_count").alias("prev_count"))
-    joined = now.filter(~F.col("is_partial")).join(prev, ["entity", "hour_start"])
-    return joined.filter(F.col("record_count") > F.col("prev_count"))
+def drifted_hours(now: DataFrame, before: DataFrame, since: Column, until: Column) -> DataFrame:
+    """Full hours whose count went up since the last run.
+
+    That run counted the hours in [since, until); where it left no count there was no row, so an hour that went
+    from none to some is found too.
+    """
+    prev = before.select("entity", "hour_start", F.col("record_count").alias("_prev"))
+    counted = (F.col("hour_start") >= since) & (F.col("hour_start") < until)
+    joined = now.filter(~F.col("is_partial") & counted).join(prev, ["entity", "hour_start"], "left")
+    return joined.withColumn("prev_count", F.coalesce("_prev", F.lit(0))).drop("_prev").filter(F.col("record_count") > F.col("prev_count"))
+
+
+def repair_status(drifted: DataFrame, recount: DataFrame) -> DataFrame:
+    """The drifted hours with the target's count after the repair: verified if it is the source's, else unverified."""
+    after = recount.select("entity", "hour_start", F.col("record_count").alias("_after"))
+    out = drifted.join(after, ["entity", "hour_start"], "left").withColumn("target_count", F.coalesce("_after", F.lit(0)))
+    status = F.when(F.col("target_count") == F.col("record_count"), "verified").otherwise("unverified")
+    return out.select("entity", "hour_start", "record_count", "prev_count", "target_count", status.alias("status"))
 
 
 def rows_of_hours(df: DataFrame, ts: str, entity: Column, hours: DataFrame) -> DataFrame:

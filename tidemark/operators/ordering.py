@@ -144,8 +144,18 @@ def keep_one(df: DataFrame, keys: list[str], order: list, keep: str = "first") -
 
 
 def top_n_per(df: DataFrame, keys: list[str], order: list, n: int, rank: str | None = None) -> DataFrame:
-    """First n rows per key; the limit is pushed below the shuffle."""
+    """First n rows per key, by an order that should be total.
+
+    Spark cuts each key to n rows before the shuffle as long as n is under its own threshold; beyond it, rows are cut
+    within slices of a key first, so no task holds a whole hot key.
+    """
     name = rank or "_rn"
+    spark = df.sparkSession
+    if n > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)]), F.lit(slices)))
+        placed = sliced.withColumn("_place", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order)))
+        df = placed.filter(F.col("_place") <= n).drop("_slice", "_place")
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     kept = ranked.filter(F.col(name) <= n)
     return kept if rank else kept.drop(name)

@@ -13,7 +13,10 @@ from tidemark.session import cut_lineage, small_side
 from tidemark.sinks.versioned import VersionedTable
 from tidemark.sources import discovery
 from tidemark.sources.fixed_width import FixedField, parse
-from tidemark.sources.lines import plain_path, read_lines
+from tidemark.sources.lines import fixed_lines, plain_path, read_lines
+
+#: The order of rows: by file, then by line.
+PLACE = ("file", "_block", "_seq")
 
 
 @dataclass(frozen=True)
@@ -28,11 +31,13 @@ class FileSpec:
 
 
 def accepted_rows(lines: DataFrame, spec: FileSpec) -> tuple[DataFrame, DataFrame]:
-    """(typed rows of files whose trailer count and every line are right, status per file)."""
-    verdicts = trailer_check(lines, "file", ["block", "seq"], spec.trailer_start, spec.trailer_length, spec.trailer_includes_header)
+    """(typed rows of files whose trailer count and every line are right, with their place; status per file)."""
+    lines = fixed_lines(lines.withColumnsRenamed({"block": "_block", "seq": "_seq"}))
+    verdicts = trailer_check(lines, "file", ["_block", "_seq"], spec.trailer_start, spec.trailer_length, spec.trailer_includes_header)
     status = cut_lineage(verdicts.select("file", "status"))
     ok = small_side(status.filter(F.col("status") == "ok").select("file"), computed=True)
-    parsed = parse(lines.join(ok, "file", "left_semi"), list(spec.fields))
+    mine = lines.join(ok, "file", "left_semi").withColumns({"block": F.col("_block"), "seq": F.col("_seq")})
+    parsed = parse(mine, list(spec.fields), fixed=True, keep=PLACE[1:])
     good, failed = whole_files(parsed, "file", F.col("malformed"))
     bad = failed.select("file", F.lit("malformed").alias("status"))
     merged = status.join(bad.withColumnRenamed("status", "_bad"), "file", "left")
@@ -42,7 +47,7 @@ def accepted_rows(lines: DataFrame, spec: FileSpec) -> tuple[DataFrame, DataFram
 def sync_files(spark: SparkSession, folder: str, table: VersionedTable, spec: FileSpec) -> dict[str, str]:
     """Load the files that were not processed before, all or nothing per file; returns their status.
 
-    The file name last in order wins a key. With `purge` the files of a run together are the whole
+    The file name last in order wins a key, and within a file the last line. With `purge` the files of a run together are the whole
     table: keys they no longer have stay as rows flagged deleted, and nothing is committed while one of
     them is bad, since a gap would look like deletions. Rows and the list of processed files are one
     commit; a failed file is not marked and is tried again in the next run.
@@ -61,9 +66,9 @@ def sync_files(spark: SparkSession, folder: str, table: VersionedTable, spec: Fi
     new_state = {"files": [*state, *loaded]}
     known = table.manifest() is not None
     if known and not spec.purge:
-        table.merge(good, ["file"], state=new_state)
+        table.merge(good, list(PLACE), state=new_state)
         return result
-    rows = cut_lineage(keep_one(good, table.keys, ["file"], "last").drop("file"))
+    rows = cut_lineage(keep_one(good, table.keys, list(PLACE), "last").drop(*PLACE))
     if spec.purge:
         previous = table.read().select(*table.keys) if known else rows.select(*table.keys).limit(0)
         rows = soft_deletes(previous, rows, table.keys)

@@ -51,8 +51,11 @@ def repair_and_sync(
     cursor: Column,
     now_counts: DataFrame,
     last_counts: DataFrame,
+    since: Column,
+    until: Column,
 ) -> DataFrame:
-    """One plan: rows after the cursor plus all rows of drifted hours, merged once by key."""
+    """One plan: rows after the cursor plus all rows of drifted hours, merged once by key. The last run counted the
+    hours in [since, until)."""
     fresh = source.filter(F.col(ts) >= cursor)
-    again = rows_of_hours(source.filter(F.col(ts) < cursor), ts, entity, drifted_hours(now_counts, last_counts))
+    again = rows_of_hours(source.filter(F.col(ts) < cursor), ts, entity, drifted_hours(now_counts, last_counts, since, until))
     return upsert(target, fresh.unionByName(again), keys, [ts])

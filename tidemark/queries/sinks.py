@@ -214,7 +214,7 @@ def write_card_files(customers, folder: str) -> None:
     "sync_with_drift_repair",
     """WITH c AS (SELECT event_type, date_trunc('hour', ts) AS h, count(*) AS n, count(*) FILTER (WHERE value <= 150) AS p FROM events WHERE ts >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 240 HOUR AND ts < TIMESTAMP '2024-01-30 12:00:00' GROUP BY 1, 2)
     SELECT event_id, value FROM events WHERE value <= 150 AND ts < TIMESTAMP '2024-01-30 12:30:00' UNION SELECT event_id, value FROM events WHERE ts >= TIMESTAMP '2024-01-30 12:30:00'
-    UNION SELECT e.event_id, e.value FROM events e JOIN c ON e.event_type = c.event_type AND date_trunc('hour', e.ts) = c.h WHERE c.p > 0 AND c.n > c.p""",
+    UNION SELECT e.event_id, e.value FROM events e JOIN c ON e.event_type = c.event_type AND date_trunc('hour', e.ts) = c.h WHERE c.n > c.p""",
 )
 def sync_repair(t):
     """Large values arrived late: drifted hours are read again and merged with the fresh rows."""
@@ -222,4 +222,6 @@ def sync_repair(t):
     known = t.events.filter((F.col("value") <= 150) & (F.col("ts") < cursor))
     now = G.hourly_counts(t.events, "ts", entity, cursor, 240)
     before = G.hourly_counts(known, "ts", entity, cursor, 240)
-    return sync.repair_and_sync(known, t.events, ["event_id"], "ts", entity, cursor, now, before).select("event_id", "value")
+    until = F.date_trunc("hour", cursor)
+    since = until - F.expr("INTERVAL 240 HOURS")
+    return sync.repair_and_sync(known, t.events, ["event_id"], "ts", entity, cursor, now, before, since, until).select("event_id", "value")

@@ -149,7 +149,8 @@ def src07(t):
     "SELECT s_suppkey, s_name, CAST(n_nationkey AS INTEGER) AS nation FROM supplier JOIN nation ON s_nationkey = n_nationkey",
 )
 def src07_zip(t):
-    """Zips of one nation and at most 10,000 supplier keys, built and opened inside tasks."""
+    """Zips of one nation and at most 10,000 supplier keys, built and opened inside tasks; every second nation's members
+    have their columns in another order, and names have a line break."""
     import io
     import zipfile
 
@@ -158,21 +159,21 @@ def src07_zip(t):
     def bundle(frame: pd.DataFrame) -> pd.DataFrame:
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as out:
-            out.writestr("0f-9_Suppliers.csv", "id,name,nation\n" + "".join(frame["line"] + "\n"))
+            names = "name,id,nation" if frame["turned"].iloc[0] else "id,name,nation"
+            out.writestr("0f-9_Suppliers.csv", names + "\n" + "".join(frame["line"] + "\n"))
             out.writestr("Notes.csv", "id\nignored\n")
         return pd.DataFrame({"archive": [frame["archive"].iloc[0]], "content": [buffer.getvalue()]})
 
+    turned, key = F.col("s_nationkey") % 2 == 1, F.col("s_suppkey").cast("string")
+    name = F.concat(F.lit('"'), "s_name", F.lit('\n!"'))
     rows = t.supplier.select(
         F.concat(F.lit("n"), F.col("s_nationkey").cast("string"), F.lit("_"), F.floor(F.col("s_suppkey") / 10_000).cast("string")).alias("archive"),
-        F.concat_ws(",", F.col("s_suppkey").cast("string"), "s_name", F.col("s_nationkey").cast("string")).alias("line"),
+        F.concat_ws(",", F.when(turned, name).otherwise(key), F.when(turned, key).otherwise(name), F.col("s_nationkey").cast("string")).alias("line"),
+        turned.alias("turned"),
     )
     bundles = rows.groupBy("archive").applyInPandas(bundle, "archive string, content binary")
-    members = bundles.mapInPandas(archive._member_lines, "archive string, member string, line_no long, line string")
-    from tidemark.functions.text import table_name_of
-
-    named = members.withColumn("table_name", table_name_of(F.col("member")))
-    out = archive.csv_members(named, "suppliers", "s_suppkey long, s_name string, nation int")
-    return out.select("s_suppkey", "s_name", "nation")
+    out = archive.named_members(archive.member_records(bundles), "suppliers", {"s_suppkey": ("id", "long"), "s_name": ("name", "string"), "nation": ("nation", "int")})
+    return out.select("s_suppkey", F.regexp_replace("s_name", "\n!$", "").alias("s_name"), "nation")
 
 
 CARD_FIELDS = [

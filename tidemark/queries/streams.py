@@ -26,11 +26,12 @@ def event_stream(t):
     return ST.topic(t.spark, f"{t.folder}/event[s].parquet", SCHEMAS["events"])
 
 
-def landed_stream(t, parts: int = 3):
-    """Events landed again as files of about equal size, read one file per micro-batch."""
+def landed_stream(t, batches: int = 3):
+    """Events landed again in no order, as files of about equal size that fill so many micro-batches."""
     path = work_path(t.spark, "topic")
+    parts = max(batches, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
     t.events.repartition(parts, "event_id").write.parquet(path)
-    return ST.topic(t.spark, path, SCHEMAS["events"], files_per_batch=1)
+    return ST.topic(t.spark, path, SCHEMAS["events"], files_per_batch=-(-parts // batches))
 
 
 def drained(t, stream, mode: str = "append"):
@@ -100,7 +101,7 @@ def stm05(t):
     """Update mode: every change of a count is merged into a keyed table."""
     counts = ST.tumbling_counts(event_stream(t), "ts", "1 hour", "2 hours", ["event_type"])
     table = empty_table(t, counts.schema, ["window_start", "event_type"])
-    ST.drain_into(counts, ST.upsert_into(table, ["n"], "counts"), work_path(t.spark, "counts"), "update")
+    ST.drain_into(counts, ST.upsert_into(table, ["n"], "counts", ordered=False), work_path(t.spark, "counts"), "update")
     return table.read()
 
 
@@ -108,7 +109,7 @@ def stm05(t):
 def stm06(t):
     cursors = ST.key_cursors(landed_stream(t), "user_id", "ts")
     table = empty_table(t, cursors.schema, ["user_id"])
-    ST.drain_into(cursors, ST.upsert_into(table, ["cursor", "n"], "cursors"), work_path(t.spark, "cursors"), "update")
+    ST.drain_into(cursors, ST.upsert_into(table, ["cursor", "n"], "cursors", ordered=False), work_path(t.spark, "cursors"), "update")
     return table.read()
 
 
@@ -118,11 +119,8 @@ def stm06(t):
     SELECT user_id, value FROM last WHERE kind <> 'error' UNION ALL SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0 AND c_custkey NOT IN (SELECT user_id FROM last)""",
 )
 def stm07(t):
-    """The log arrives in commit order, a range of commits per file and micro-batch."""
-    path = work_path(t.spark, "log")
-    ordered = t.events.repartitionByRange(4, "event_id").sortWithinPartitions("event_id")
-    ordered.write.parquet(path)
-    log = event_log(_Stream(ST.topic(t.spark, path, SCHEMAS["events"], files_per_batch=4)))
+    """The log arrives in several micro-batches that are not in commit order."""
+    log = event_log(_Stream(landed_stream(t, 4)))
     table = VersionedTable(t.spark, work_path(t.spark, "users"), ["user_id"])
     table.replace(user_target(t))
     ST.drain_into(log, ST.apply_changes_into(table, ["commit_seq", "intent_seq"], "log"), work_path(t.spark, "cdc"))

@@ -11,10 +11,15 @@ from tidemark.operators.ordering import keep_one
 from tidemark.session import cut_lineage, small_side
 
 
+def matches(keys: list[str], prefix: str) -> Column:
+    """Each key equals the other side's prefixed one; NULL equals NULL."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
 def without_keys(target: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows whose key is not among `gone`; NULL equals NULL, so replays of such keys add no copies."""
-    other = gone.select(*[F.col(k).alias(f"_gone_{i}") for i, k in enumerate(keys)])
-    return target.join(other, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_gone_{i}")) for i, k in enumerate(keys)]), "left_anti")
+    other = gone.select(*[F.col(k).alias(f"_gone_{k}") for k in keys])
+    return target.join(other, matches(keys, "_gone_"), "left_anti")
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order: list) -> DataFrame:

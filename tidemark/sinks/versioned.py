@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.ordering import keep_one
 from tidemark.session import cut_lineage, small_side
-from tidemark.sinks.merge import without_keys
+from tidemark.sinks.merge import matches, without_keys
 
 #: Tasks, and so files, that write one bucket at most.
 WRITERS_PER_BUCKET = 4
+#: Columns of tables that remember the position of each key's last change; readers do not see them.
+POSITION, DELETED = "_position", "_deleted"
 
 
 class VersionedTable:
@@ -74,7 +76,8 @@ class VersionedTable:
         current = self.manifest()
         if current is None:
             raise LookupError(f"nothing committed at {self.path}")
-        return self._read(current, range(self.buckets))
+        rows = self._read(current, range(self.buckets))
+        return rows.filter(f"NOT coalesce({DELETED}, false)").drop(POSITION, DELETED) if POSITION in rows.columns else rows
 
     def state(self) -> dict:
         return (self.manifest() or {}).get("state", {})
@@ -88,6 +91,19 @@ class VersionedTable:
         names = [s.getPath().getName() for s in fs.listStatus(written) if s.isDirectory()]
         return {n.split("=")[1]: folder for n in names if n.startswith("_bucket=")}
 
+    def _touched(self, rows: DataFrame) -> set[int]:
+        return {r[0] for r in rows.select(self._bucket().alias("b")).distinct().collect()}
+
+    def _not_older(self, rows: DataFrame, manifest: dict, touched: set[int]) -> DataFrame:
+        """The rows whose position is not before that of their key's last change."""
+        old = self._read(manifest, touched)
+        if POSITION not in old.columns:
+            return rows
+        known = old.select(*[F.col(k).alias(f"_old_{k}") for k in self.keys], F.col(POSITION).alias("_known"))
+        batch = small_side(rows.select(*self.keys, POSITION), computed=True)
+        late = known.join(batch, matches(self.keys, "_old_")).filter(F.col("_known") > F.col(POSITION)).select(*self.keys)
+        return without_keys(rows, small_side(late), self.keys)
+
     def expire(self, keep: int = 10) -> int:
         """Delete all but the newest `keep` versions and the folders only they used; returns how many.
 
@@ -129,12 +145,15 @@ class VersionedTable:
         deleted: str | None = None,
         state: dict | None = None,
         batch: tuple[str, int] | None = None,
+        ordered: bool = False,
     ) -> bool:
         """Upsert the last row per key; rows whose `deleted` column is true remove their key.
 
         `order` columns may be extra to the table's. Other columns that the table lacks are added to it, NULL in the
         rows it has; columns that the rows lack become NULL in theirs. A NULL key is a key like others. `batch` is (writer, number): a number this writer
-        committed before is skipped, which makes replays harmless.
+        committed before is skipped, which makes replays harmless. `ordered` keeps the `order` values of each key's last
+        change, deletes included, and drops rows older than that, so changes may arrive in any order; of equal
+        positions the later batch wins.
         """
         current = self.manifest()
         if current is None:
@@ -145,16 +164,23 @@ class VersionedTable:
             if number <= done.get(writer, -1):
                 return False
             done[writer] = number
-        final = cut_lineage(keep_one(rows, self.keys, order, "last"))
-        touched = {r[0] for r in final.select(self._bucket().alias("b")).distinct().collect()}
+        final = keep_one(rows, self.keys, order, "last")
+        if ordered:
+            gone = F.lit(False) if deleted is None else F.coalesce(F.col(deleted), F.lit(False))
+            final = final.withColumns({POSITION: F.struct(*order), DELETED: gone})
+        final = cut_lineage(final)
+        touched = self._touched(final)
+        if ordered and touched:
+            final = cut_lineage(self._not_older(final, current, touched))
+            touched = self._touched(final)
         buckets = {b: v for b, v in current["buckets"].items() if int(b) not in touched}
         version = current["version"] + 1
         schema = T.StructType.fromJson(current["schema"])
         extra = {*schema.names, *order, *([deleted] if deleted else [])}
-        schema = T.StructType([*schema.fields, *(T.StructField(f.name, f.dataType) for f in rows.schema.fields if f.name not in extra)])
+        schema = T.StructType([*schema.fields, *(T.StructField(f.name, f.dataType) for f in final.schema.fields if f.name not in extra)])
         if touched:
             old = self._read({**current, "schema": schema.jsonValue()}, touched)
-            live = final if deleted is None else final.filter(~F.col(deleted))
+            live = final if deleted is None or ordered else final.filter(~F.col(deleted))
             live = live.select(*[c for c in schema.names if c in live.columns])
             merged = without_keys(old, small_side(final.select(*self.keys), computed=True), self.keys).unionByName(live, allowMissingColumns=True)
             buckets.update(self._write(merged, version))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.text import table_name_of
 
 _BATCH = 20_000
+_RECORDS = pa.schema([("archive", pa.string()), ("member", pa.string()), ("record_no", pa.int64()), ("fields", pa.map_(pa.string(), pa.string()))])
 
 
 def _member_lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -31,6 +34,45 @@ def _member_lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         yield pd.DataFrame(rows, columns=["archive", "member", "line_no", "line"])
 
 
+def _member_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stream the records of each zip member as maps of header name to value; quoted values may hold line breaks."""
+    for batch in batches:
+        for archive, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as bundle:
+                for member in bundle.namelist():
+                    with io.TextIOWrapper(bundle.open(member), encoding="utf-8-sig", newline="") as text:
+                        reader = csv.reader(text)
+                        names = [n.strip() for n in next(reader, [])]
+                        rows = []
+                        for number, values in enumerate((v for v in reader if v), 1):
+                            rows.append({"archive": archive, "member": member, "record_no": number, "fields": [(n, v) for n, v in zip(names, values) if n]})
+                            if len(rows) == _BATCH:
+                                yield pa.RecordBatch.from_pylist(rows, schema=_RECORDS)
+                                rows = []
+                    if rows:
+                        yield pa.RecordBatch.from_pylist(rows, schema=_RECORDS)
+
+
+def member_records(archives: DataFrame) -> DataFrame:
+    """`archives` (archive, content) to (archive, member, record_no, fields, table_name)."""
+    rows = archives.select("archive", "content").mapInArrow(_member_records, "archive string, member string, record_no long, fields map<string,string>")
+    return rows.withColumn("table_name", table_name_of(F.col("member")))
+
+
+def zip_records(spark: SparkSession, path: str) -> DataFrame:
+    """Records of all CSV members of the zips below `path`, by header name."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+    return member_records(files.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content"))
+
+
+def named_members(records: DataFrame, table: str, columns: dict[str, tuple[str, str]]) -> DataFrame:
+    """Rows of one table with `columns`, each from a header name and cast to a type; members may order their columns as
+    they like. An empty value, a missing column and one that does not parse are NULL."""
+    rows = records.filter(F.col("table_name") == table)
+    value = lambda header: F.nullif(F.col("fields")[header], F.lit(""))
+    return rows.select("archive", "member", *[value(header).try_cast(kind).alias(name) for name, (header, kind) in columns.items()])
+
+
 def zip_lines(spark: SparkSession, path: str) -> DataFrame:
     """(archive, member, line_no, line, table_name). A zip cannot be split, so one task opens one file."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
@@ -40,13 +82,15 @@ def zip_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def csv_members(lines: DataFrame, table: str, schema: str) -> DataFrame:
-    """Rows of the members that feed one table; line 1 of each member is its header."""
+    """Rows of the members that feed one table, by position; line 1 of each member is its header, which is skipped.
+    named_members() goes by header names and takes quoted line breaks."""
     rows = lines.filter((F.col("table_name") == table) & (F.col("line_no") > 1) & (F.trim("line") != ""))
     return rows.select("archive", "member", F.from_csv("line", schema).alias("r")).select("archive", "member", "r.*")
 
 
 def gz_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """gzip members are read by Spark directly; the file name gives the target table."""
-    rows = spark.read.schema(schema).csv(path, header=True)
+    """gzip members are read by Spark directly; the file name gives the target table. A header that does not have the
+    schema's names in its order is an error."""
+    rows = spark.read.schema(schema).csv(path, header=True, enforceSchema=False, multiLine=True, escape='"')
     name = F.col("_metadata.file_name")
     return rows.withColumns({"source_file": name, "table_name": table_name_of(name)})

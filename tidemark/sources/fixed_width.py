@@ -30,8 +30,9 @@ class FixedField:
         return fixed_field_bad(self.raw(), self.kind, self.decimals, self.date_format)
 
 
-def parse(lines: DataFrame, fields: list[FixedField], header_trailer: bool = True) -> DataFrame:
-    """Typed columns per detail line, with the file name and a flag on malformed lines."""
-    rows = detail_lines(lines) if header_trailer else lines.filter(F.trim("line") != "")
+def parse(lines: DataFrame, fields: list[FixedField], header_trailer: bool = True, fixed: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed columns per detail line, with the file name and a flag on malformed lines; `keep` names position columns to
+    pass on, `fixed` is for detail_lines()."""
+    rows = detail_lines(lines, fixed) if header_trailer else lines.filter(F.trim("line") != "")
     malformed = reduce(lambda a, b: a | b, [f.bad() for f in fields])
-    return rows.select("file", *[f.value() for f in fields], malformed.alias("malformed"))
+    return rows.select("file", *keep, *[f.value() for f in fields], malformed.alias("malformed"))

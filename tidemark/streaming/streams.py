@@ -42,21 +42,25 @@ def drain_into(stream: DataFrame, write, checkpoint: str, mode: str = "append")
     query.awaitTermination()
 
 
-def upsert_into(table: VersionedTable, order: list[str], writer: str):
-    """Batch writer: at-least-once delivery becomes exactly-once by key and batch number."""
+def upsert_into(table: VersionedTable, order: list[str], writer: str, ordered: bool = True):
+    """Batch writer: at-least-once delivery becomes exactly-once by key and batch number.
+
+    An older row in a later batch does not replace a newer one. A query's own state only moves on, so its updates
+    need no `ordered`.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.merge(batch, order, batch=(writer, batch_id))
+        table.merge(batch, order, batch=(writer, batch_id), ordered=ordered)
 
     return write
 
 
 def apply_changes_into(table: VersionedTable, order: list[str], writer: str, op: str = "op"):
-    """Batch writer for a change log: last operation per key, deletes included."""
+    """Batch writer for a change log: last operation per key, deletes included, in whatever order batches arrive."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        final = last_change(batch, table.keys, order, op).withColumn("_gone", F.col(op) == "D")
-        table.merge(final, order, deleted="_gone", batch=(writer, batch_id))
+        final = last_change(batch, table.keys, order, op).withColumn("_gone", F.col(op) == "D").drop(op)
+        table.merge(final, order, deleted="_gone", batch=(writer, batch_id), ordered=True)
 
     return write
 
