@@ -62,5 +62,5 @@ def search(ts: str, start: str, end: str, column: str | None = None, term: str |
     """A closed date range, plus a literal-text clause only when a term is given."""
     day = F.col(ts)
     dated = (day >= F.lit(start).cast("timestamp")) & (day < F.lit(end).cast("timestamp") + F.expr("INTERVAL 1 DAY"))
-    clause = F.col(column).rlike(f"(?i){escaped(term)}") if term else None
+    clause = F.contains(F.lower(column), F.lower(F.lit(term))) if term else None
     return all_of(dated, clause)

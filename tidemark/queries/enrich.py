@@ -105,7 +105,7 @@ def udf01(t):
 )
 def udf01_udtf(t):
     """A table function per fixed-width line, which may yield no row at all."""
-    @F.udtf(returnType="uid bigint, name string")
+    @F.udtf(returnType="uid bigint, name string", useArrow=True)
     class ParseLine:
         def eval(self, line: str):
             if line[0] == "+":
