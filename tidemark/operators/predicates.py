@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import operator
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -54,10 +53,6 @@ def relevant(codes: Column, wanted: list[str], text: Column, keyword: str) -> Co
     return none | overlap | F.lower(text).contains(keyword.lower())
 
 
-def escaped(term: str) -> str:
-    return re.sub(r"([\\+\-!(){}\[\]^\"~*?:/.|$])", r"\\\1", term)
-
-
 def search(ts: str, start: str, end: str, column: str | None = None, term: str | None = None) -> Column:
     """A closed date range, plus a literal-text clause only when a term is given."""
     day = F.col(ts)
