@@ -35,22 +35,11 @@ _DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "f
 _DIGIT = "(?:" + "|".join(_DIGIT_WORDS) + ")"
 _SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:[0-9]+[\x20.-])*{_DIGIT}(?:(?:[\x20.-]{{1,2}}|\x20dot\x20)(?:{_DIGIT}(?![A-Za-z])|[0-9]+))+", re.I)
 _SPELLED_PART = re.compile(rf"({_DIGIT})(\x20(?={_DIGIT}))?|\x20(dot)\x20", re.I)
-_BRACKETED = re.compile(r"\s*[(\[{<]\s*(at|dot|punkt|arroba|punto|point|[@.])\s*[)\]}>]\s*", re.I)
+_SIGN = re.compile(r"[(\[{<]\s*(at|dot|punkt|arroba|punto|point|[@.])\s*[)\]}>]\s*", re.I)
 _BARE = re.compile(r"(?<![\w@.])((?:[A-Za-z0-9_%+-]+\s+dot\s+)*)[A-Za-z0-9._%+-]+(\s+at\s+)[A-Za-z0-9-]+((?:\s+dot\s+[A-Za-z0-9-]+)+)(?!\w)", re.I)
-_BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])(\s+dot\s+)(?=[A-Za-z0-9])", re.I)
+_BARE_DOTS = re.compile(r"(?<=[A-Za-z0-9._%+-])@[A-Za-z0-9.-]+((?:(?<=[A-Za-z0-9])\s+(?i:dot)\s+(?=[A-Za-z0-9])[A-Za-z0-9.-]+)+)")
 _OTHER = re.compile(rf"[^\x00-ɏ]|[{_UNSEEN}ı]")
-_SIGN = re.compile(r"[(\[{<]\s*(?:at|dot|punkt|arroba|punto|point|[@.])\s*[)\]}>]")
-_SPELLED_RUN = re.compile(rf"(?:{_DIGIT}[\x20.-]{{1,2}}(?:dot\x20)?){{3}}")
-
-
-def _may_hide(text: str) -> bool:
-    """Whether any transducer could rewrite something that matters."""
-    if not text.isascii() and _OTHER.search(text):
-        return True
-    low = text.lower()
-    if "dot" in low or "plus " in low or _SIGN.search(low):
-        return True
-    return sum(low.count(w) for w in _DIGIT_WORDS) >= 3 and bool(_SPELLED_RUN.search(low))
+_FOLDED = str.maketrans("ſİı", "sii")  # what matches s and i without regard to case
 
 
 def _luhn(digits: str) -> bool:
@@ -112,7 +101,7 @@ class Rewritten:
 
 def _alike(text: str) -> list[tuple[int, int, str]]:
     out = []
-    for m in _OTHER.finditer(text):
+    for m in () if text.isascii() else _OTHER.finditer(text):
         c = m[0]
         if c in _UNSEEN:
             new = ""
@@ -137,18 +126,25 @@ def _spelled(text: str) -> list[tuple[int, int, str]]:
             if w[3]:
                 out.append((a, m.start() + w.end(), "."))
                 continue
-            out.append((a, m.start() + w.end(1), _DIGIT_WORDS[w[1].lower()]))
+            out.append((a, m.start() + w.end(1), _DIGIT_WORDS[w[1].translate(_FOLDED).lower()]))
             if w[2]:
                 out.append((m.start() + w.start(2), m.start() + w.end(2), ""))
     return out
 
 
 def _signs(text: str) -> list[tuple[int, int, str]]:
-    out = [(m.start(), m.end(), "@" if m[1].lower() in ("at", "arroba", "@") else ".") for m in _BRACKETED.finditer(text)]
-    for m in _BARE.finditer(text):
+    out, last, low = [], 0, text.lower()
+    for m in _SIGN.finditer(text):
+        a = m.start()
+        while a > last and text[a - 1].isspace():
+            a -= 1
+        last = m.end()
+        out.append((a, last, "@" if m[1].lower() in ("at", "arroba", "@") else "."))
+    for m in _BARE.finditer(text) if "dot" in low else ():
         out.append((m.start(2), m.end(2), "@"))
         out += [(m.start(g) + d.start(), m.start(g) + d.end(), ".") for g in (1, 3) for d in re.finditer(r"\s+dot\s+", m[g], re.I)]
-    out += [(m.start(), m.end(), "+") for m in re.finditer(r"\bplus\s+(?=[0-9])", text, re.I)]
+    if "plus" in low:
+        out += [(m.start(), m.end(), "+") for m in re.finditer(r"\bplus\s+(?=[0-9])", text, re.I)]
     kept, last = [], 0
     for edit in sorted(set(out)):
         if edit[0] >= last:
@@ -158,16 +154,15 @@ def _signs(text: str) -> list[tuple[int, int, str]]:
 
 
 def _bare_dots(text: str) -> list[tuple[int, int, str]]:
-    """Bare "dot" after an address that has its sign already."""
-    return [(m.start(1), m.end(1), ".") for m in _BARE_DOT.finditer(text) if re.search(r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+$", text[max(0, m.start() - 80) : m.start()])]
+    """Bare "dot", any number of them, after an address that has its sign already."""
+    found = _BARE_DOTS.finditer(text) if "@" in text else ()
+    return [(m.start(1) + d.start(), m.start(1) + d.end(), ".") for m in found for d in re.finditer(r"\s+dot\s+", m[1], re.I)]
 
 
 def find_disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans that only the rewritten text shows: with a rewritten character inside, and clear of base spans of the kind."""
-    if not _may_hide(text):
-        return []
     new = Rewritten(text)
-    for transducer in (_alike, _spelled, _signs, _bare_dots, _bare_dots):
+    for transducer in (_alike, _spelled, _signs, _bare_dots):
         new.replace(transducer(new.text))
     if not new.changed.any():
         return []
