@@ -2,6 +2,7 @@
 
 import pytest
 
+from tidemark.llm.html_text import main_text
 from tidemark.llm.pii import KINDS, find, find_disguised
 
 
@@ -28,3 +29,29 @@ def test_disguises_do_not_hang_on_unrelated_text(text, kind, span, more):
 def test_odd_cases_of_digit_words(word):
     text = f"call +1 555 123 {word} two three four’"
     assert [(KINDS[k], text[a:b]) for a, k, b in find_disguised(text, find(text))] == [("phone", text[5:-1])]
+
+
+def story(name, n):
+    return [f"{name}{i} " + "words of the story that go on for quite a while, " * 5 + "end." for i in range(n)]
+
+
+def paragraphs(lines):
+    return "".join(f"<p>{x}</p>" for x in lines)
+
+
+PAGE = "<html><body><nav><ul><li><a>One</a></ul></nav>%s<div class=ad>Buy</div><ul><li><a>x</a><li><a>y</a></ul><footer>Foot</footer></body></html>"
+A, B, C, LONG = story("a", 6), story("b", 4), story("c", 6), story("d", 30)
+
+
+@pytest.mark.parametrize("body, lines", [
+    (f"<article>{paragraphs(A)}</article><article>{paragraphs(B)}</article>", A + B),
+    (f"<article>{paragraphs(A)}</article><article>{paragraphs(C)}</article>", A + C),
+    (f"<article>{paragraphs(A)}</article><article>{paragraphs(B)}</article><article>{paragraphs(C)}</article>", A + B + C),
+    (f"<h1>Title</h1><article>{paragraphs(A)}</article>", ["Title", *A]),
+    (f"<h1>Title</h1><div class=content>{paragraphs(A)}</div>", ["Title", *A]),
+    (f"<div class=top><h1>Title</h1></div><div class=content>{paragraphs(A)}</div><div class=end><h2>End</h2><p>Short.</p></div>", ["Title", *A, "End", "Short."]),
+    (f"<div class=content>{paragraphs(LONG)}</div><div class=end>{paragraphs(B[:1])}</div>", LONG + B[:1]),
+    (f"<article>{paragraphs(LONG)}</article><div class=end>{paragraphs(B[:1])}</div>", LONG + B[:1]),
+])
+def test_main_text_keeps_every_content_region(body, lines):
+    assert main_text(PAGE % body).split("\n") == [" ".join(x.split()) for x in lines]

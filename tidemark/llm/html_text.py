@@ -2,8 +2,8 @@
 
 A streaming parser cuts a page into lines, one for each block of text, and counts the tags in each. The ratio of text
 to tags is smoothed by a Gaussian over neighbouring lines and split into two clusters; the lines of the upper cluster
-show which element is the content region. All lines of that region are the text, but for those inside menus, asides,
-notices and the like.
+show which elements are content regions. All lines of these regions, all lines of the upper cluster, and headings and
+paragraphs beside the regions are the text, but for those inside menus, asides, notices and the like.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ SIGMA = 1.5
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 _REGION = frozenset("article body center div html main section table tbody td tr".split())
+_PROSE = frozenset("blockquote h1 h2 h3 h4 h5 h6 p pre".split())
 _PARAGRAPH_LIKE = frozenset("p h1 h2 h3 h4 h5 h6 dt dd li".split())
 _NO_TEXT = frozenset("script style noscript template iframe object svg canvas head title nav aside form button select textarea input menu dialog footer audio video map".split())
 _NAMES = re.compile(
@@ -33,13 +34,14 @@ _ROLES = frozenset("navigation banner contentinfo complementary search dialog al
 
 
 class _Lines(HTMLParser):
-    """Lines (text, tags, regions around it, left out), in page order."""
+    """Lines (text, tags, regions around it, left out, heading or paragraph), in page order."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...], bool, bool]] = []
         self.stack: list[tuple[str, bool, tuple[int, ...]]] = [("", False, ())]
         self.names: dict[int, str] = {}
+        self.above: dict[int, tuple[int, ...]] = {}
         self.parts: list[str] = []
         self.tags = 0
 
@@ -47,7 +49,8 @@ class _Lines(HTMLParser):
         text = " ".join("".join(self.parts).split())
         if text or self.tags:
             _, out, regions = self.stack[-1]
-            self.lines.append((text, self.tags, regions, out))
+            block = next((tag for tag, *_ in reversed(self.stack) if tag in _BLOCK), "")
+            self.lines.append((text, self.tags, regions, out, block in _PROSE))
         self.parts, self.tags = [], 0
 
     def left_out(self, tag: str, attrs: list) -> bool:
@@ -83,8 +86,9 @@ class _Lines(HTMLParser):
             return
         _, out, regions = self.stack[-1]
         if tag in _REGION:
-            self.names[len(self.names)] = tag
-            regions = (*regions, len(self.names) - 1)
+            region = len(self.names)
+            self.names[region], self.above[region] = tag, regions
+            regions = (*regions, region)
         self.stack.append((tag, out or self.left_out(tag, attrs), regions))
 
     def handle_startendtag(self, tag, attrs):
@@ -128,7 +132,7 @@ def _threshold(values: np.ndarray) -> float:
 
 
 def main_text(html: str | None, sigma: float = SIGMA) -> str:
-    """The text of a page's content region, a line for each block; empty if there is none."""
+    """The text of a page's content regions, a line for each block; empty if there is none."""
     if not html:
         return ""
     parser = _Lines()
@@ -138,22 +142,31 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     lines = [x for x in parser.lines if x[0] and not x[3]]
     if not lines:
         return ""
-    ratio = _smoothed(np.array([len(text) / max(tags, 1) for text, tags, _, _ in lines]), sigma)
+    ratio = _smoothed(np.array([len(text) / max(tags, 1) for text, tags, *_ in lines]), sigma)
     cut = _threshold(ratio)
+    upper = [(regions, len(text)) for (text, _, regions, *_), value in zip(lines, ratio) if value >= cut]
     weight: Counter = Counter()
-    for (text, _, regions, _), value in zip(lines, ratio):
-        if value >= cut:
-            for r in regions:
-                weight[r] += len(text)
+    for regions, n in upper:
+        for r in regions:
+            weight[r] += n
     if not weight:
         return "\n".join(text for text, *_ in lines)
-    total = max(weight.values())
-    marked = [r for r in weight if parser.names[r] in ("article", "main") and weight[r] >= total / 2]
-    # the innermost element that holds nearly all content lines; a marked article where there is one
-    region = max(marked, key=lambda r: (weight[r], r), default=None)
-    if region is None:
-        region = max(r for r in weight if weight[r] >= 0.95 * total)
-    return "\n".join(text for text, _, regions, _ in lines if region in regions)
+    # every marked article with content lines; where these hold less than half, the innermost element with nearly all
+    kept = {r for r in weight if parser.names[r] in ("article", "main")}
+    marked = 2 * sum(n for regions, n in upper if not kept.isdisjoint(regions)) >= sum(n for _, n in upper)
+    if not marked:
+        kept.add(max(r for r in weight if weight[r] >= 0.95 * max(weight.values())))
+    above = {a for r in kept for a in parser.above[r]}
+    # other content lines bring the element they stand in
+    more = {regions[-1] for regions, _ in upper if regions and kept.isdisjoint(regions)} - above
+    above |= {a for r in more for a in parser.above[r]}
+    kept |= more
+
+    def beside(regions: tuple[int, ...]) -> bool:
+        """In an element around a content region, or without marked articles in one next to it."""
+        return above.issuperset(regions if marked else regions[:-1])
+
+    return "\n".join(text for (text, _, regions, _, prose), value in zip(lines, ratio) if value >= cut or not kept.isdisjoint(regions) or prose and beside(regions))
 
 
 def extract(df: DataFrame) -> DataFrame:
