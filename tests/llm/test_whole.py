@@ -2,6 +2,7 @@
 
 import pytest
 
+from tidemark.llm.decontaminate import _fingerprints, contamination
 from tidemark.llm.html_text import main_text
 from tidemark.llm.pii import KINDS, find, find_disguised
 
@@ -55,3 +56,17 @@ A, B, C, LONG = story("a", 6), story("b", 4), story("c", 6), story("d", 30)
 ])
 def test_main_text_keeps_every_content_region(body, lines):
     assert main_text(PAGE % body).split("\n") == [" ".join(x.split()) for x in lines]
+
+
+def test_very_long_benchmark_items(spark):
+    long, equal = " ".join(f"v{k}" for k in range(70_000)), "same " * 40_000
+    items = spark.createDataFrame([(1, long), (2, equal), (3, "some short item of seven words here")], "item_id long, text string")
+    rows = [(1, long + " and more"), (2, equal), (3, long[: len(long) // 2]), (4, "so some short item of seven words here is"), (5, "nothing")]
+    got = contamination(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (2, 2), (3, None), (4, 3), (5, None)]
+
+
+def test_fingerprints_count_each_bit_by_itself(spark):
+    values = {1: [-1] * 70_000 + [0] * 69_999, 2: [-1] * 70_000 + [0] * 70_000, 3: [1 << 62, 5, 5 | -1 << 63], 4: [6 - (1 << 63)]}
+    rows = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "k int, shingle long")
+    assert sorted(tuple(r) for r in _fingerprints(rows, "k").collect()) == [(1, -1), (2, 0), (3, 5), (4, 6 - (1 << 63))]

@@ -58,11 +58,12 @@ def _places(docs: DataFrame, grams: list[int]) -> DataFrame:
 
 
 def _fingerprints(rows: DataFrame, *keys: str) -> DataFrame:
-    """`keys` and the SimHash of their `shingle`s; four bit counts to a number, so up to 65,535 shingles."""
-    lanes = [
-        F.sum(F.expr(" + ".join(f"shiftleft(shiftright(shingle, {4 * q + b}) & 1L, {16 * b})" for b in range(4)))).alias(f"lane{q}") for q in range(16)]
+    """`keys` and the SimHash of their `shingle`s; two bit counts to a number, 32 bits each. A text has less than 2^31
+    bytes, so neither count overflows."""
+    lanes = [F.sum(F.expr(f"shiftright(shingle, {q}) & {1 << 32 | 1}L")).alias(f"lane{q}") for q in range(32)]
     sums = rows.groupBy(*keys).agg(F.count("*").alias("n"), *lanes)
-    bits = [f"IF(2 * (shiftright(lane{i // 4}, {16 * (i % 4)}) & 65535L) > n, shiftleft(1L, {i}), 0L)" for i in range(64)]
+    counts = [f"lane{q} & {(1 << 32) - 1}L" for q in range(32)] + [f"shiftright(lane{q}, 32)" for q in range(32)]
+    bits = [f"IF(2 * ({count}) > n, shiftleft(1L, {i}), 0L)" for i, count in enumerate(counts)]
     return sums.select(*keys, F.expr(" | ".join(bits)).alias("fingerprint"))
 
 
