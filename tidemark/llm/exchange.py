@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import arrow_rows, own_columns, staged, text_or_empty
+from tidemark.llm.common import arrow_rows, own_columns, released, staged, text_or_empty
 from tidemark.llm.rolling import Texts
 
 BLOCK_BYTES = 2_000_000
@@ -138,6 +138,7 @@ class Corpus:
         total = self.blocks.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
         self.buckets = max(16, -(-8 * total // BUCKET_BYTES))
         self.rounds: list[DataFrame] = []
+        self.answers: list[DataFrame] = []
 
     def ask(self, step: Step) -> None:
         """One round: all hashes that `step` gives are judged."""
@@ -154,6 +155,7 @@ class Corpus:
         judged = sent.groupBy("bucket").applyInArrow(_judged, "block long, bucket int, n int, flags binary")
         with arrow_rows(self.blocks.sparkSession, BLOCK_ROWS):
             kept = staged(judged, "answers")
+        self.answers.append(kept)
         self.rounds.append(kept.groupBy("block").agg(F.collect_list(F.struct("bucket", "n", "flags")).alias("replies")))
 
     def each(self, finish: Callable[[list, Texts, list[Answers]], dict], schema: str, arrow: pa.Schema) -> DataFrame:
@@ -167,3 +169,7 @@ class Corpus:
 
         with arrow_rows(self.blocks.sparkSession, BLOCK_ROWS):
             return staged(_joined(self.blocks, self.rounds).mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "found")
+
+    def release(self) -> None:
+        """Deletes the blocks and answers; what each() gave is staged and stays."""
+        released(self.blocks, *self.answers)

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import own_columns, small, staged
+from tidemark.llm.common import own_columns, released, small, staged
 from tidemark.llm.components import components
 from tidemark.llm.exchange import Answers, Corpus
 from tidemark.llm.rolling import Slices, Texts, U, mix
@@ -35,11 +35,13 @@ COMPARED = 16.0
 MOST_HUBS = 256
 #: How many times as many each round takes.
 HUBS_GROW = 8
-#: Bits of a set's sketch: the parities of how many of its shingles fall to each.
+#: Bits of a set's sketches: the parities of how many of its shingles fall to each. The short one goes with every list
+#: entry, the long one is looked up for candidate pairs, before their sets are.
 SKETCH_BITS = 256
+LONG_SKETCH_BITS = 4096
 
-SCHEMA = "doc_id long, text_md5 string, n_shingles long, class long, alone boolean, tokens array<long>, sketch array<long>"
-_ARROW = pa.schema([("doc_id", pa.int64()), ("text_md5", pa.string()), ("n_shingles", pa.int64()), ("class", pa.int64()), ("alone", pa.bool_()), ("tokens", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
+SCHEMA = "doc_id long, text_md5 string, n_shingles long, class long, alone boolean, tokens array<long>, sketch array<long>, long_sketch array<long>"
+_ARROW = pa.schema([("doc_id", pa.int64()), ("text_md5", pa.string()), ("n_shingles", pa.int64()), ("class", pa.int64()), ("alone", pa.bool_()), ("tokens", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("long_sketch", pa.list_(pa.int64()))])
 
 
 def _least_overlap(n: int) -> int:
@@ -62,9 +64,9 @@ def _sets(texts: Texts) -> list[np.ndarray]:
     return out
 
 
-def _sketch(s: np.ndarray) -> np.ndarray:
+def _sketch(s: np.ndarray, size: int) -> np.ndarray:
     """Parities of a set's shingles: two sets differ in at least as many shingles as their sketches do in bits."""
-    odd = np.bincount((mix(s) % U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    odd = np.bincount((mix(s) % U(size)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -99,7 +101,8 @@ def _finish(ids: list, texts: Texts, answers: list[Answers]) -> dict:
         out["alone"].append(not (s.size and shared[k]) and found < wanted)
         asked = s.size and first[k] and found >= wanted
         out["tokens"].append(s.view(np.int64) if asked else None)
-        out["sketch"].append(_sketch(s) if asked else None)
+        out["sketch"].append(_sketch(s, SKETCH_BITS) if asked else None)
+        out["long_sketch"].append(_sketch(s, LONG_SKETCH_BITS) if asked else None)
     return out
 
 
@@ -114,22 +117,35 @@ def _prefixes(sets: DataFrame) -> DataFrame:
     reach = [F.expr(f"aggregate(slice(ranked, 1, plain + {k}), 0D, (a, t) -> a + t.often - 1)") for k in range(MATCHES)]
     costs = [s * (1 + F.col("n") / (COMPARED * (k + 1))) for k, s in enumerate(reach)]
     best = F.least(*[F.struct(c.alias("cost"), F.lit(k + 1).alias("matches")) for k, c in enumerate(costs)])
-    out = (
+    ranked = (
         sets.join(ordered, "row").withColumn("overlap", overlap).withColumn("plain", plain.cast("int"))
         .where((F.col("plain") > 0) & (F.size("ranked") >= F.col("overlap"))).withColumn("matches", best["matches"]))
-    return staged(out.select(
-        "row", "n", "tokens", "sketch", "matches", F.expr("aggregate(ranked, 0L, (a, t) -> a + t.often)").alias("weight"),
+    out = staged(ranked.select(
+        "row", "n", "tokens", "sketch", "long_sketch", "matches", F.expr("aggregate(ranked, 0L, (a, t) -> a + t.often)").alias("weight"),
         F.expr("transform(slice(ranked, 1, plain + matches - 1), t -> t.token)").alias("prefix")), "prefixes")
+    released(often)
+    return out
 
 
 def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Of `pairs` (row, hub, component, hub_component), the components (a, b) of those whose sets are similar. Staged."""
-    mine = docs.select("row", "n", "tokens", "matches", "prefix")
-    theirs = docs.select(*[F.col(c).alias(f"hub_{c}") for c in ("row", "n", "tokens", "matches", "prefix")]).withColumnRenamed("hub_row", "hub")
+    """Of `pairs` (row, hub, component, hub_component), the components (a, b) of those whose sets are similar. Staged.
+
+    Long sketches leave out nearly all pairs below the similarity, so sets are fetched for few others."""
+
+    def with_both(found: DataFrame, *columns: str) -> DataFrame:
+        mine = docs.select("row", *columns)
+        theirs = docs.select(F.col("row").alias("hub"), *[F.col(c).alias(f"hub_{c}") for c in columns])
+        return found.join(mine, "row").join(theirs, "hub")
+
+    differ = F.expr("aggregate(zip_with(long_sketch, hub_long_sketch, (x, y) -> bit_count(x ^ y)), 0, (a, b) -> a + b)")
+    near = with_both(pairs, "n", "long_sketch").where(_allowed(differ, F.col("n") + F.col("hub_n"))).drop("long_sketch", "hub_long_sketch")
     both = F.size(F.array_intersect("tokens", "hub_tokens"))
-    met = pairs.join(mine, "row").join(theirs, "hub").where(F.size(F.array_intersect("prefix", "hub_prefix")) >= F.least("matches", "hub_matches"))
+    near = staged(near, "near")
+    met = with_both(near, "tokens", "matches", "prefix").where(F.size(F.array_intersect("prefix", "hub_prefix")) >= F.least("matches", "hub_matches"))
     alike = met.where(100 * both >= PERCENT * (F.col("n") + F.col("hub_n") - both))
-    return staged(alike.select(F.col("component").alias("a"), F.col("hub_component").alias("b")).distinct(), "links")
+    links = staged(alike.select(F.col("component").alias("a"), F.col("hub_component").alias("b")).distinct(), "links")
+    released(near)
+    return links
 
 
 def _marks(lists: DataFrame, hubs_each: int) -> DataFrame:
@@ -142,10 +158,15 @@ def _marks(lists: DataFrame, hubs_each: int) -> DataFrame:
     return staged(spans.join(tops, "token"), "marks")
 
 
+def _allowed(differ: Column, sizes: Column) -> Column:
+    """Whether two sets that differ in at least so many shingles can have the similarity."""
+    return (100 + PERCENT) * differ <= (100 - PERCENT) * sizes
+
+
 def _near(hub: Column) -> Column:
-    """Whether the sketches allow the similarity: sets of that similarity differ in a bounded part of their shingles."""
+    """Whether the short sketches allow the similarity."""
     bits = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get(hub["sketch"], F.lit(i)))) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    return (100 + PERCENT) * bits <= (100 - PERCENT) * (F.col("n") + hub["n"])
+    return _allowed(bits, F.col("n") + hub["n"])
 
 
 def _renamed(df: DataFrame, column: str, labels: DataFrame) -> DataFrame:
@@ -169,16 +190,20 @@ def _labels(sets: DataFrame) -> DataFrame:
             ((F.col("weight") < h["weight"]) | (F.col("weight") == h["weight"]) & (F.col("row") > h["row"]))
             & (100 * F.least(F.col("n"), h["n"]) >= PERCENT * F.greatest(F.col("n"), h["n"])) & (F.col("component") != h["component"])
             & _near(h)))
-        met = marked.select("row", "component", F.explode(wanted).alias("h"))
-        pairs = staged(met.select("row", "component", F.col("h.row").alias("hub"), F.col("h.component").alias("hub_component")).distinct(), "pairs")
+        # a pair is met in many lists; each row's hubs are put together before they become pairs
+        ids = F.transform(wanted, lambda h: F.struct(h["row"].alias("hub"), h["component"].alias("hub_component")))
+        met = marked.select("row", "component", ids.alias("ids")).where(F.size("ids") > 0).groupBy("row", "component").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"))
+        pairs = staged(met.select("row", "component", F.explode("ids").alias("h")).select("row", "component", "h.*"), "pairs")
         new = _similar(pairs, docs)
         # lists in one component have no mark and are done
-        lists = marked.where(~F.array_contains("hubs.row", F.col("row"))).drop("hubs")
+        rest = marked.where(~F.array_contains("hubs.row", F.col("row"))).drop("hubs")
         if not new.isEmpty():
             labels = small(components(new), computed=True)
             known = staged(known.select("row", F.col("label").alias("component")).transform(_renamed, "component", labels).withColumnRenamed("component", "label"), "known")
-            lists = _renamed(lists, "component", labels)
-        lists = staged(lists, "lists")
+            rest = _renamed(rest, "component", labels)
+        rest = staged(rest, "lists")
+        released(lists, marks, pairs, new)
+        lists = rest
         hubs_each = min(HUBS_GROW * hubs_each, MOST_HUBS)
 
 
@@ -194,8 +219,9 @@ def similar_documents(df: DataFrame) -> DataFrame:
     corpus.ask(_asked)
     rows = corpus.each(_finish, SCHEMA, _ARROW)
     alone = rows.where("alone").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_md5", F.lit(1).cast("long").alias("n_same"))
-    others = rows.where("NOT alone").drop("tokens", "sketch", "alone")
-    sets = rows.where("tokens IS NOT NULL").select("row", F.col("n_shingles").alias("n"), "tokens", "sketch")
+    others = rows.where("NOT alone").drop("tokens", "sketch", "long_sketch", "alone")
+    corpus.release()
+    sets = rows.where("tokens IS NOT NULL").select("row", F.col("n_shingles").alias("n"), "tokens", "sketch", "long_sketch")
     labels = _labels(sets)
     classes = others.groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_same"))
     linked = rows.where("tokens IS NOT NULL").select("class", "row").join(labels, "row").select("class", "label")
