@@ -37,7 +37,7 @@ MOST_HUBS = 256
 HUBS_GROW = 8
 #: Bits of a set's sketches: the parities of how many of its shingles fall to each. The short one goes with every list
 #: entry, the long one is looked up for candidate pairs, before their sets are.
-SKETCH_BITS = 256
+SKETCH_BITS = 512
 LONG_SKETCH_BITS = 4096
 
 SCHEMA = "doc_id long, text_md5 string, n_shingles long, class long, alone boolean, tokens array<long>, sketch array<long>, long_sketch array<long>"
