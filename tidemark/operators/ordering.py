@@ -66,6 +66,16 @@ def carry_forward(
     return joined.select(*df.columns, *[F.coalesce(f"_in_{n}", f"_h_{n}").alias(n) for n in values])
 
 
+def inherited(blocks: DataFrame, group: list[str], block: str, values: dict[str, Column]) -> DataFrame:
+    """What each block takes over from the earlier blocks of its group: the last non-null of each value.
+
+    `blocks` has one row per block, the summary that its own scan left. "Last non-null" merges summaries in
+    any grouping, so only these rows, not the scanned ones, are put in order here.
+    """
+    earlier = Window.partitionBy(*group).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.withColumns({n: F.last(c, True).over(earlier) for n, c in values.items()})
+
+
 def running_total(
     df: DataFrame, group: list[str], order: list[str], block: Column, value: Column, name: str
 ) -> DataFrame:

@@ -21,8 +21,7 @@ def str01(t):
         s(" Comp ID: N"), F.col("c_nationkey").cast("string"), s(" SEC: PPD Cust Name: "), F.upper("c_name"),
         s(" Date: 01-02-24 Time: 10:30 AM Addenda: ref "), F.col("c_custkey").cast("string"),
     )
-    rows = t.customer.withColumn("narrative", narrative)
-    return rows.select("c_custkey", *[c.alias(n) for n, c in X.narrative_fields(F.col("narrative")).items()])
+    return X.narrative_fields(t.customer.select("c_custkey", narrative.alias("narrative")), "narrative").drop("narrative")
 
 
 @query(
