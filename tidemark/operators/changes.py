@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.ordering import keep_one
 from tidemark.session import cut_lineage, small_side
+from tidemark.sinks.merge import without_keys
 
 SPAN = 100_000
 
@@ -22,7 +23,7 @@ def apply_log(target: DataFrame, log: DataFrame, keys: list[str], order: list[st
     broadcast when they are measured to be few.
     """
     final = cut_lineage(last_change(log, keys, order, op))
-    untouched = target.join(small_side(final.select(*keys), computed=True), keys, "left_anti")
+    untouched = without_keys(target, small_side(final.select(*keys), computed=True), keys)
     return untouched.unionByName(final.filter(F.col(op) != "D").select(*target.columns))
 
 
@@ -42,13 +43,13 @@ def apply_feed(target: DataFrame, feed: DataFrame, keys: list[str], deletes: boo
     """Merge inserts and post-images; deletes only when asked, pre-images never."""
     kinds = ["insert", "update_postimage"] + (["delete"] if deletes else [])
     final = cut_lineage(keep_one(feed.filter(F.col("_change_type").isin(kinds)), keys, ["_commit_version"], "last"))
-    untouched = target.join(small_side(final.select(*keys), computed=True), keys, "left_anti")
+    untouched = without_keys(target, small_side(final.select(*keys), computed=True), keys)
     return untouched.unionByName(final.filter(F.col("_change_type") != "delete").select(*target.columns))
 
 
 def vanished(previous: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of the last snapshot that the current one no longer has."""
-    return previous.select(*keys).join(current.select(*keys), keys, "left_anti")
+    """Keys of the last snapshot that the current one no longer has; a NULL key is a key like others."""
+    return without_keys(previous.select(*keys), current.select(*keys), keys)
 
 
 def shrunk_rows(previous: DataFrame, current: DataFrame, container: list[str], count: str = "row_count") -> DataFrame:
@@ -77,7 +78,7 @@ def apply_tombstones(target: DataFrame, batch: DataFrame, keys: list[str], flag:
     newest = F.max_by(F.struct(*[c for c in batch.columns if c not in keys]), F.struct(*order)).alias("r")
     final = cut_lineage(batch.groupBy(*keys).agg(F.bool_or(flag).alias("_gone"), newest))
     live = final.filter(~F.coalesce("_gone", F.lit(False))).select(*keys, "r.*")
-    return target.join(small_side(final.select(*keys), computed=True), keys, "left_anti").unionByName(live.select(*target.columns))
+    return without_keys(target, small_side(final.select(*keys), computed=True), keys).unionByName(live.select(*target.columns))
 
 
 def soft_deletes(previous_keys: DataFrame, current: DataFrame, keys: list[str], flag: str = "purge_indicator") -> DataFrame:

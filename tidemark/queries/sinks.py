@@ -10,6 +10,7 @@ from tidemark.plans import sync
 from tidemark.queries.registry import query
 from tidemark.session import work_path
 from tidemark.sinks import merge as M
+from tidemark.sinks.group import Output, TableGroup, fan_out
 from tidemark.sinks.versioned import VersionedTable
 from tidemark.spec import ReadPlan, TableSpec
 
@@ -96,17 +97,26 @@ def snk05(t):
     UNION ALL SELECT 'order_tags', 2 * count(*), CAST(2 * sum(o_orderkey) AS BIGINT) FROM orders""",
 )
 def snk06(t):
-    """One landed source feeds a parent, a child and a link table."""
-    notes = F.when(F.col("o_orderstatus") != "P", F.array(F.struct(F.col("o_orderpriority").alias("text")))).otherwise(F.array().cast("array<struct<text:string>>"))
+    """One landed source feeds a parent, a child and a link table, all in one commit for each of two batches; the second
+    takes back a note and a tag of each order that the first had."""
+    notes = F.when(F.col("o_orderstatus") != "P", F.array(F.struct(F.lit(0).alias("note_no"), F.col("o_orderpriority").alias("text"))))
+    notes = notes.otherwise(F.array().cast("array<struct<note_no:int,text:string>>"))
     source = t.orders.select("o_orderkey", "o_custkey", notes.alias("notes"), F.array("o_orderstatus", "o_orderpriority").alias("tags"))
-    path = work_path(t.spark, "fanout")
-    source.write.parquet(path)
-    landed = t.spark.read.schema(source.schema).parquet(path)
-    parent = landed.select("o_orderkey")
-    child = landed.select("o_orderkey", F.explode("notes").alias("note"))
-    link = landed.select("o_orderkey", F.explode("tags").alias("tag"))
+    early = source.filter("o_orderkey % 4 = 0").withColumns(
+        {"notes": F.array(*[F.struct(F.lit(i).alias("note_no"), F.lit("draft").alias("text")) for i in (0, 1)]), "tags": F.array_append("tags", F.lit("draft"))}
+    )
+    group = TableGroup(t.spark, work_path(t.spark, "fanout"), {"orders": ["o_orderkey"], "notes": ["o_orderkey", "note_no"], "order_tags": ["o_orderkey", "tag"]})
+    outputs = {
+        "orders": Output(lambda b: b.select("o_orderkey", "o_custkey")),
+        "notes": Output(lambda b: b.select("o_orderkey", F.explode("notes").alias("note")).select("o_orderkey", "note.*"), parent=("o_orderkey",)),
+        "order_tags": Output(lambda b: b.select("o_orderkey", F.explode("tags").alias("tag")), parent=("o_orderkey",)),
+    }
+    for number, batch in enumerate((early, source)):
+        fan_out(group, batch, outputs, batch=("orders", number))
     stat = lambda name, df: df.agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum")).select(F.lit(name).alias("table_name"), "n", "key_sum")
-    return stat("orders", parent).unionByName(stat("notes", child)).unionByName(stat("order_tags", link))
+    names = ["orders", "notes", "order_tags"]
+    stats = [stat(n, df) for n, df in zip(names, group.read(*names))]
+    return stats[0].unionByName(stats[1]).unionByName(stats[2])
 
 
 @query(

@@ -23,46 +23,71 @@ WRITERS_PER_BUCKET = 4
 POSITION, DELETED = "_position", "_deleted"
 
 
-class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 16):
-        """Choose `buckets` so that one bucket is a few tasks' work at the table's full size. A table that exists
-        keeps the bucket count it was made with, and refuses other keys."""
-        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
-        current = self.manifest()
-        if current is not None:
-            if current.get("keys", self.keys) != self.keys:
-                raise ValueError(f"the table's keys are {current['keys']}, not {self.keys}")
-            self.buckets = current.get("bucket_count", self.buckets)
+class Journal:
+    """Numbered JSON documents in one folder. The newest is in force; each number is published once, by a rename."""
 
-    def _fs(self, path: str):
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        p = hadoop.Path(path)
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def path(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def manifest(self) -> dict | None:
-        fs, folder = self._fs(f"{self.path}/_manifests")
-        if not fs.exists(folder):
-            return None
-        names = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
-        return self._load(names[-1]) if names else None
-
-    def _load(self, name: str) -> dict:
-        fs, path = self._fs(f"{self.path}/_manifests/{name}")
+    def names(self) -> list[str]:
+        fs, folder = self.path(self.folder)
+        return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json")) if fs.exists(folder) else []
+
+    def latest(self) -> dict | None:
+        names = self.names()
+        return self.load(names[-1]) if names else None
+
+    def load(self, name: str) -> dict:
+        fs, path = self.path(f"{self.folder}/{name}")
         stream = fs.open(path)
         try:
             return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _publish(self, manifest: dict) -> None:
-        name = f"{manifest['version']:09d}"
-        fs, temporary = self._fs(f"{self.path}/_manifests/.{name}.tmp")
-        _, final = self._fs(f"{self.path}/_manifests/{name}.json")
-        out = fs.create(temporary, True)
-        out.write(bytearray(json.dumps(manifest).encode()))
+    def prepare(self, document: dict, suffix: str = "tmp") -> str:
+        """Write a document under a name that no other attempt has; nothing reads it yet."""
+        name = f".{document['version']:09d}-{uuid.uuid4().hex}.{suffix}"
+        fs, temporary = self.path(f"{self.folder}/{name}")
+        out = fs.create(temporary, False)
+        out.write(bytearray(json.dumps(document).encode()))
         out.close()
+        return name
+
+    def commit(self, prepared: str, version: int) -> None:
+        fs, temporary = self.path(f"{self.folder}/{prepared}")
+        _, final = self.path(f"{self.folder}/{version:09d}.json")
         if fs.exists(final) or not fs.rename(temporary, final):
-            raise RuntimeError(f"version {manifest['version']} was committed by another writer")
+            fs.delete(temporary, False)
+            raise RuntimeError(f"version {version} was committed by another writer")
+
+    def publish(self, document: dict) -> None:
+        self.commit(self.prepare(document), document["version"])
+
+    def remove(self, name: str) -> None:
+        fs, path = self.path(f"{self.folder}/{name}")
+        fs.delete(path, False)
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 16, journal: Journal | None = None):
+        """Choose `buckets` so that one bucket is a few tasks' work at the table's full size. A table that exists
+        keeps the bucket count it was made with, and refuses other keys. `journal` says where its manifests are
+        published, if not in its own folder."""
+        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+        self.journal = journal or Journal(spark, f"{self.path}/_manifests")
+        current = self.manifest()
+        if current is not None:
+            if current.get("keys", self.keys) != self.keys:
+                raise ValueError(f"the table's keys are {current['keys']}, not {self.keys}")
+            self.buckets = current.get("bucket_count", self.buckets)
+
+    def manifest(self) -> dict | None:
+        return self.journal.latest()
 
     def _bucket(self):
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
@@ -87,7 +112,7 @@ class VersionedTable:
         salt = F.pmod(F.hash(*self.keys), F.lit(WRITERS_PER_BUCKET))
         bucketed = df.withColumn("_bucket", self._bucket()).repartition("_bucket", salt)
         bucketed.write.partitionBy("_bucket").parquet(f"{self.path}/{folder}")
-        fs, written = self._fs(f"{self.path}/{folder}")
+        fs, written = self.journal.path(f"{self.path}/{folder}")
         names = [s.getPath().getName() for s in fs.listStatus(written) if s.isDirectory()]
         return {n.split("=")[1]: folder for n in names if n.startswith("_bucket=")}
 
@@ -109,24 +134,28 @@ class VersionedTable:
 
         Readers of an expired version fail, so keep more versions than a long read can outlive.
         """
-        fs, folder = self._fs(f"{self.path}/_manifests")
-        names = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
+        names = self.journal.names()
         old, kept = names[:-keep], names[-keep:]
-        used = {v for n in kept for v in self._load(n)["buckets"].values()}
+        used = {v for n in kept for v in self.journal.load(n)["buckets"].values()}
         for name in old:
-            fs.delete(self._fs(f"{self.path}/_manifests/{name}")[1], False)
-        for status in fs.listStatus(self._fs(self.path)[1]):
+            self.journal.remove(name)
+        self.drop_unused(used, int(kept[-1].split(".")[0]) if kept else 0)
+        return len(old)
+
+    def drop_unused(self, used: set[str], newest: int) -> None:
+        """Delete the folders that are not in use. Those as new as the newest version or newer may belong to a commit in
+        progress."""
+        fs, folder = self.journal.path(self.path)
+        for status in fs.listStatus(folder):
             version = status.getPath().getName()
-            # A folder as new as the newest manifest or newer belongs to a commit in progress.
-            if version.startswith("v") and version not in used and version < f"v{kept[-1].split('.')[0]}":
+            if version.startswith("v") and version not in used and version < f"v{newest:09d}":
                 fs.delete(status.getPath(), True)
-        return len(old)
 
     def replace(self, df: DataFrame, state: dict | None = None) -> None:
         """First load, or truncate and reload."""
         current = self.manifest() or {"version": 0, "state": {}}
         version = current["version"] + 1
-        self._publish(
+        self.journal.publish(
             {
                 "version": version,
                 "keys": self.keys,
@@ -184,7 +213,7 @@ class VersionedTable:
             live = live.select(*[c for c in schema.names if c in live.columns])
             merged = without_keys(old, small_side(final.select(*self.keys), computed=True), self.keys).unionByName(live, allowMissingColumns=True)
             buckets.update(self._write(merged, version))
-        self._publish(
+        self.journal.publish(
             {
                 "version": version,
                 "keys": self.keys,
