@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.plans.files import FileSpec, sync_files
+from tidemark.plans.files import FileSpec, file_tables, sync_files
+from tidemark.sources import discovery
 from tidemark.sinks.versioned import VersionedTable
 from tidemark.sources.fixed_width import FixedField
 from tidemark.sources.tables import chunk_bounds, chunk_predicates
@@ -16,37 +17,55 @@ def put(folder, name, *rows, count=None):
     (folder / name).write_text("\n".join(lines) + "\n", encoding="cp1252")
 
 
-def contents(table):
-    return {r.id: r.name for r in table.read().collect()}
+def contents(group):
+    return {r.id: r.name for r in group.read("cards").collect()}
+
+
+def load(spark, folder, group, spec):
+    return {r.file.split("/")[-1]: r.status for r in sync_files(spark, str(folder), group, "cards", spec).collect()}
 
 
 def test_incremental_files(spark, tmp_path):
     spec = FileSpec(FIELDS, r"\.txt$", 4, 5)
-    table = VersionedTable(spark, str(tmp_path / "t"), ["id"], buckets=4)
+    group = file_tables(spark, str(tmp_path / "t"), "cards", ["id"], buckets=4)
     landing = tmp_path / "in"
     put(landing, "a.txt", "0001Zoë   20240101", "0002bob   20240101")
     put(landing, "b.txt", "0002rob   20240102", count=9)
     put(landing, "c.txt", "0003ann   20240102", "0004x     2024XX02")
-    status = {k.split("/")[-1]: v for k, v in sync_files(spark, str(landing), table, spec).items()}
-    assert status == {"a.txt": "ok", "b.txt": "count_mismatch", "c.txt": "malformed"}
-    assert contents(table) == {1: "Zoë", 2: "bob"}
+    assert load(spark, landing, group, spec) == {"a.txt": "ok", "b.txt": "count_mismatch", "c.txt": "malformed"}
+    assert contents(group) == {1: "Zoë", 2: "bob"}
     put(landing, "b.txt", "0002rob   20240102")
     put(landing, "c.txt", "0003ann   20240102")
-    assert set(sync_files(spark, str(landing), table, spec).values()) == {"ok"}
-    assert contents(table) == {1: "Zoë", 2: "rob", 3: "ann"}
-    assert sync_files(spark, str(landing), table, spec) == {}
+    assert load(spark, landing, group, spec) == {"b.txt": "ok", "c.txt": "ok"}
+    assert contents(group) == {1: "Zoë", 2: "rob", 3: "ann"}
+    assert load(spark, landing, group, spec) == {}
+
+
+def test_a_backlog_is_loaded_in_batches_and_leaves_records_of_one_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(discovery, "FILES_AT_ONCE", 2)
+    spec = FileSpec(FIELDS, r"\.txt$", 4, 5)
+    group = file_tables(spark, str(tmp_path / "t"), "cards", ["id"], buckets=1)
+    sizes = []
+    for run in range(3):
+        for k in range(5):
+            put(tmp_path / "in", f"r{run}-{k}.txt", f"{k + 1:04d}n{run}    20240101", count=9 if k == 3 else None)
+        status = load(spark, tmp_path / "in", group, spec)
+        assert len(status) == 5 + run and [k for k, v in status.items() if v != "ok"] == [f"r{r}-3.txt" for r in range(run + 1)]
+        sizes.append(len(str(group.records.latest())) + len(str(group._table("files", group.records.latest()).manifest())))
+    assert contents(group) == {k: "n2" for k in (1, 2, 3, 5)} and group.read("files").count() == 12
+    assert max(sizes) - min(sizes) < 20
 
 
 def test_full_feed_marks_deletions(spark, tmp_path):
     spec = FileSpec(FIELDS, r"\.txt$", 4, 5, purge=True)
-    table = VersionedTable(spark, str(tmp_path / "t"), ["id"], buckets=4)
+    group = file_tables(spark, str(tmp_path / "t"), "cards", ["id"], buckets=4)
     put(tmp_path / "one", "a.txt", "0001ann   20240101", "0002bob   20240101")
     put(tmp_path / "two", "a.txt", "0001ann   20240101", "0003eve   00000000")
     put(tmp_path / "gap", "a.txt", "0003eve   20240101")
     put(tmp_path / "gap", "b.txt", "0001ann   20240101", count=77)
     for run in ("one", "two", "gap"):
-        sync_files(spark, str(tmp_path / run), table, spec)
-    rows = {r.id: (r.name, r.purge_indicator) for r in table.read().collect()}
+        load(spark, tmp_path / run, group, spec)
+    rows = {r.id: (r.name, r.purge_indicator) for r in group.read("cards").collect()}
     assert rows == {1: ("ann", False), 2: (None, True), 3: ("eve", False)}
 
 
@@ -122,13 +141,13 @@ def test_last_line_of_a_file_wins_and_splits_may_change(spark, tmp_path):
     from tidemark.sources.lines import detail_lines, read_lines
 
     spec = FileSpec(FIELDS, r"\.txt$", 4, 5)
-    table = VersionedTable(spark, str(tmp_path / "t"), ["id"], buckets=4)
+    group = file_tables(spark, str(tmp_path / "t"), "cards", ["id"], buckets=4)
     put(tmp_path / "in", "a.txt", *[f"0001v{i:05d}20240101" for i in range(200)])
-    sync_files(spark, str(tmp_path / "in"), table, spec)
-    assert contents(table) == {1: "v00199"}
+    load(spark, tmp_path / "in", group, spec)
+    assert contents(group) == {1: "v00199"}
     put(tmp_path / "in", "b.txt", "0001b1    20240101", "0001b2    20240101")
-    sync_files(spark, str(tmp_path / "in"), table, spec)
-    assert contents(table) == {1: "b2"} and table.read().columns == ["id", "name", "day"]
+    load(spark, tmp_path / "in", group, spec)
+    assert contents(group) == {1: "b2"} and group.read("cards").columns == ["id", "name", "day"]
     put(tmp_path / "big", "c.txt", *[f"{i:04d}" for i in range(3000)])
     keys = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
     spark.conf.set(keys[1], "1")

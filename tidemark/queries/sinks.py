@@ -192,18 +192,18 @@ def sync_orders(t):
 )
 def sync_files_query(t):
     """Two full feeds in turn: the second misses a segment, which becomes soft-deleted rows."""
-    from tidemark.plans.files import FileSpec, sync_files
+    from tidemark.plans.files import FileSpec, file_tables, sync_files
     from tidemark.sources.fixed_width import FixedField
 
     spec = FileSpec(
         (FixedField("uid", 1, 10, "STRING"), FixedField("name", 11, 22), FixedField("balance", 33, 11, "FLOAT", 2)), r"^part-.*\.txt$", 4, 12, purge=True
     )
-    table = VersionedTable(t.spark, work_path(t.spark, "cards"), ["uid"])
+    group = file_tables(t.spark, work_path(t.spark, "cards"), "cards", ["uid"])
     for number, rows in enumerate((t.customer, t.customer.filter(F.col("c_mktsegment") != "BUILDING"))):
         folder = work_path(t.spark, f"cards-{number}")
         write_card_files(rows, folder)
-        sync_files(t.spark, folder, table, spec)
-    return table.read().withColumn("uid", F.col("uid").cast("long"))
+        sync_files(t.spark, folder, group, "cards", spec)
+    return group.read("cards").withColumn("uid", F.col("uid").cast("long"))
 
 
 def write_card_files(customers, folder: str) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.dates import iso_text
 from tidemark.operators.ordering import keep_one
@@ -499,15 +501,15 @@ def src21(t):
     "SELECT n_nationkey AS nation, count(*) AS rows FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey <> 1 GROUP BY n_nationkey",
 )
 def src22(t):
-    """A folder per nation; the nations of one region were processed before."""
+    """A folder per nation; the nations of one region were processed before, and their files are not opened."""
     path = work_path(t.spark, "landing")
     t.supplier.select(F.col("s_nationkey").alias("nation"), F.to_json(F.struct("s_suppkey", "s_name")).alias("value")).write.partitionBy("nation").text(path)
-    files = discovery.listing(t.spark, path, r"\.txt$")
-    folders = files.select(F.regexp_extract("path", r"nation=(\d+)", 1).alias("name")).distinct()
+    nation = lambda c: F.regexp_extract(c, r"nation=(\d+)", 1)
+    files = discovery.listing(t.spark, path, r"\.txt$").withColumn("name", nation(F.col("path")))
     processed = t.nation.filter(F.col("n_regionkey") == 1).select(F.col("n_nationkey").cast("string").alias("name"))
-    unseen = discovery.unseen_files(folders, processed).select(F.col("name").cast("int").alias("nation"))
-    rows = t.spark.read.schema("value string, nation int").text(path)
-    return rows.join(unseen, "nation", "left_semi").groupBy("nation").agg(F.count(F.lit(1)).alias("rows"))
+    reads = [t.spark.read.text(paths).select(nation(F.col("_metadata.file_path")).cast("int").alias("nation")) for paths in discovery.path_batches(discovery.unseen_files(files, processed))]
+    rows = reduce(DataFrame.unionByName, reads) if reads else t.spark.createDataFrame([], "nation int")
+    return rows.groupBy("nation").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query(
