@@ -195,3 +195,25 @@ def test_members_go_by_header_names(spark, tmp_path):
     write(tmp_path, "g/7f-1_Contacts.csv.gz", gzip.compress(b"name,id\neve,5\n"))
     with pytest.raises(Exception):
         archive.gz_csv(spark, str(tmp_path / "g"), "id int, name string").collect()
+
+
+def test_each_zip_member_is_a_partition(spark, tmp_path, monkeypatch):
+    """Members of one archive are read by tasks of their own, longer ones in several batches; empty folders give no rows."""
+    for name, sizes in (("a", (25_001, 3)), ("deep/b", (0, 1))):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as out:
+            out.writestr("sub/", "")
+            for i, n in enumerate(sizes):
+                out.writestr("sub/People.csv", "\ufeffid,name\r\n" + "".join(f'{k},"n\n{i}"\r\n' for k in range(n)))
+        write(tmp_path, f"z/{name}.zip", buffer.getvalue())
+    for folder in (str(tmp_path / "z"), f"file://{tmp_path}/z"):
+        found = archive.zip_records(spark, folder)
+        assert found.rdd.getNumPartitions() == 4
+        counts = found.groupBy("archive", "table_name").agg(F.count("*").alias("n"), F.max("record_no").alias("last")).collect()
+        assert sorted(tuple(r) for r in counts) == [("a.zip", "sub/people", 25_004, 25_001), ("b.zip", "sub/people", 1, 1)]
+        rows = archive.named_members(found, "sub/people", {"id": ("id", "int"), "name": ("name", "string")})
+        assert rows.filter("name = 'n\n0'").count() == 25_001 and rows.agg(F.max("id")).first()[0] == 25_000
+    (tmp_path / "none").mkdir()
+    assert archive.zip_lines(spark, str(tmp_path / "none")).collect() == []
+    plan = archive.zip_records(spark, str(tmp_path / "z"))._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan

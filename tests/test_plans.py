@@ -8,7 +8,7 @@ from tidemark.queries.registry import load_all
 from tidemark.sources.tables import Tables
 
 PYTHON = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDTF")
-USES_PYTHON = {"src07_zip_members", "enr01_budgeted_rows", "enr03_structured_answers", "enr04_consensus", "udf01_user_hooks", "udf01_line_udtf"}
+USES_PYTHON = {"src07_zip_members", "src07_zip_archives", "enr01_budgeted_rows", "enr03_structured_answers", "enr04_consensus", "udf01_user_hooks", "udf01_line_udtf"}
 # These run jobs while they are built; their shapes are covered by the operators' own tests.
 EAGER = ("stm", "src", "snk", "sync")
 

@@ -146,26 +146,38 @@ def src07(t):
     return rows.select("p_partkey", "p_name", table_name_of(folder).alias("table_name"))
 
 
-@query(
-    "src07_zip_members",
-    "SELECT s_suppkey, s_name, CAST(n_nationkey AS INTEGER) AS nation FROM supplier JOIN nation ON s_nationkey = n_nationkey",
-)
-def src07_zip(t):
-    """Zips of one nation and at most 10,000 supplier keys, built and opened inside tasks; every second nation's members
-    have their columns in another order, and names have a line break."""
+def write_zips(rows, folder: str, name) -> None:
+    """A zip in `folder` for each `archive` of `rows` (archive, line, others); `name` gives the member and its header from a
+    row. Tasks write the zips themselves."""
     import io
     import zipfile
 
     import pandas as pd
 
     def bundle(frame: pd.DataFrame) -> pd.DataFrame:
+        member, header = name(frame.iloc[0])
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as out:
-            names = "name,id,nation" if frame["turned"].iloc[0] else "id,name,nation"
-            out.writestr("0f-9_Suppliers.csv", names + "\n" + "".join(frame["line"] + "\n"))
-            out.writestr("Notes.csv", "id\nignored\n")
-        return pd.DataFrame({"archive": [frame["archive"].iloc[0]], "content": [buffer.getvalue()]})
+            out.writestr(member, header + "\n" + "".join(frame["line"] + "\n"))
+            out.writestr("extra/", "")
+            out.writestr("extra/Notes.csv", "id\nignored\n")
+        files, root = archive.file_system(folder)
+        files.create_dir(root)
+        # a task that is run again writes the same file
+        with files.open_output_stream(f"{root}/{frame['archive'].iloc[0]}.zip") as stream:
+            stream.write(buffer.getvalue())
+        return frame[["archive"]].head(1)
 
+    rows.groupBy("archive").applyInPandas(bundle, "archive string").write.format("noop").mode("overwrite").save()
+
+
+@query(
+    "src07_zip_members",
+    "SELECT s_suppkey, s_name, CAST(n_nationkey AS INTEGER) AS nation FROM supplier JOIN nation ON s_nationkey = n_nationkey",
+)
+def src07_zip(t):
+    """Zips of one nation and at most 10,000 supplier keys; every second nation's members have their columns in another
+    order, and names have a line break."""
     turned, key = F.col("s_nationkey") % 2 == 1, F.col("s_suppkey").cast("string")
     name = F.concat(F.lit('"'), "s_name", F.lit('\n!"'))
     rows = t.supplier.select(
@@ -173,11 +185,32 @@ def src07_zip(t):
         F.concat_ws(",", F.when(turned, name).otherwise(key), F.when(turned, key).otherwise(name), F.col("s_nationkey").cast("string")).alias("line"),
         turned.alias("turned"),
     )
-    bundles = rows.groupBy("archive").applyInPandas(bundle, "archive string, content binary")
-    out = archive.named_members(archive.member_records(bundles), "suppliers", {"s_suppkey": ("id", "long"), "s_name": ("name", "string"), "nation": ("nation", "int")})
+    path = work_path(t.spark, "zips")
+    write_zips(rows, path, lambda row: ("0f-9_Suppliers.csv", "name,id,nation" if row["turned"] else "id,name,nation"))
+    out = archive.named_members(archive.zip_records(t.spark, path), "suppliers", {"s_suppkey": ("id", "long"), "s_name": ("name", "string"), "nation": ("nation", "int")})
     return out.select("s_suppkey", F.regexp_replace("s_name", "\n!$", "").alias("s_name"), "nation")
 
 
+@query(
+    "src07_zip_archives",
+    """SELECT 'lines_' || (l_orderkey // 8000) || '.zip' AS archive, l_returnflag, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS key_sum, min(l_quantity) AS low, max(l_extendedprice) AS high
+    FROM lineitem GROUP BY 1, 2""",
+)
+def src07_archives(t):
+    """A zip for each 8,000 orders, whose lines are one member that is longer than a batch."""
+    rows = t.lineitem.select(
+        F.concat(F.lit("lines_"), F.floor(F.col("l_orderkey") / 8000).cast("string")).alias("archive"),
+        F.concat_ws(",", "l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag").alias("line"),
+    )
+    path = work_path(t.spark, "zips")
+    write_zips(rows, path, lambda row: ("Line Items.csv", "order,quantity,price,flag"))
+    columns = {"o": ("order", "long"), "q": ("quantity", "double"), "p": ("price", "double"), "l_returnflag": ("flag", "string")}
+    found = archive.named_members(archive.zip_records(t.spark, path), "line_items", columns)
+    return found.groupBy("archive", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o").alias("key_sum"), F.min("q").alias("low"), F.max("p").alias("high")
+    )
+
+
 CARD_FIELDS = [
     fixed_width.FixedField("uid", 1, 12, "LONG"),
     fixed_width.FixedField("name", 13, 22),
