@@ -42,11 +42,19 @@ def test_compound_cursor_bound_is_pushed(spark, folder):
     assert "GreaterThanOrEqual(o_orderdate" in details(load_all()["inc03_compound_cursor"](spark, folder))
 
 
+@pytest.mark.parametrize("name", ["win01_global_row_ids", "win01_row_ids_per_group", "win03_carry_forward", "inc15_offset_cursor", "srt02_deep_page", "src02_chunk_bounds"])
+def test_ordered_scans_write_no_table_in_between(name, spark, folder, monkeypatch):
+    monkeypatch.setattr(O, "PAGE_LIMIT", 10)
+    text = plan(load_all()[name](spark, folder))
+    assert "ExistingRDD" not in text.replace("Scan ExistingRDD[_part", "") and "rangepartitioning" not in text
+
+
 def test_row_numbers_use_no_single_task_over_rows(spark, folder):
     rows = O.global_row_number(Tables(spark, folder).events.select("ts", "event_id"), ["ts", "event_id"])
-    assert "rangepartitioning" not in plan(rows), "the only row shuffle is behind the checkpoint"
     single = [line for line in plan(rows).splitlines() if "SinglePartition" in line]
-    assert len(single) <= 1, "only the per-partition counts meet in one task"
+    assert len(single) <= 1, "only the per-slice counts meet in one task"
+    shuffles = [line for line in plan(rows).splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 2, "the slices' counts, and the rows once"
 
 
 def test_top_n_cuts_groups_before_the_shuffle(spark, folder):

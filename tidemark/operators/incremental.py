@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.operators.ordering import global_row_number, keep_one
+from tidemark.operators.ordering import keep_one, rows_between
 
 # Preferred change-timestamp columns, best first.
 PREFERRED_CURSORS = [
@@ -134,7 +134,7 @@ def best_cursor(df: DataFrame) -> str | None:
 
 def from_offset(df: DataFrame, order: list[str], offset: int) -> DataFrame:
     """Rows past a row offset in a stable order."""
-    return global_row_number(df, order, "row_no").filter(F.col("row_no") > offset)
+    return rows_between(df, order, offset + 1, None)
 
 
 def initial_bound(state_cursor: Column, now: Column, lookback: str) -> Column:

@@ -8,12 +8,16 @@ again to hand values over to later blocks.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.session import cut_lineage, small_side
 
-_POSITION_BITS = 33
 PAGE_LIMIT = 10_000
+#: Slices of an order for each task of a shuffle, and sampled keys for each slice.
+BLOCKS_PER_TASK = 4
+SAMPLE_PER_BLOCK = 16
 
 
 def _order_struct(order: list[str]) -> Column:
@@ -90,17 +94,74 @@ def running_total(
     return joined.select(*df.columns, (F.col("_before") + F.col("_local")).alias(name))
 
 
-def range_blocks(df: DataFrame, keys: list, slices: int | None = None) -> DataFrame:
-    """Rows in balanced consecutive slices of the order: adds `_part` (the slice) and `_pos`.
+def _directions(order: list) -> list[tuple[Column, bool, bool]]:
+    """(value, descending, nulls first) of each item of an order: a column name or a column with a direction."""
+    out = []
+    for item in order:
+        found = re.fullmatch(r"Column<'(.+) (ASC|DESC) NULLS (FIRST|LAST)'>", str(item), re.DOTALL)
+        if found:
+            out.append((F.expr(found[1]), found[2] == "DESC", found[3] == "FIRST"))
+        else:
+            out.append((F.col(item) if isinstance(item, str) else item, False, True))
+    return out
+
+
+def _precedes(bound: Column, order: list) -> Column:
+    """Whether the fields of `bound` come before the row in the order."""
+    before, same = F.lit(False), F.lit(True)
+    for i, (value, descending, nulls_first) in enumerate(_directions(order)):
+        edge = bound[f"k{i}"]
+        less = F.coalesce(edge > value if descending else edge < value, edge.isNull() if nulls_first else value.isNull()) & ~(edge.isNull() & value.isNull())
+        before, same = before | (same & less), same & edge.eqNullSafe(value)
+    return before
+
 
-    For groups without a natural bounded block. The split comes from a sample of the full keys, so a
-    group, or one moment of it, that holds most rows is spread over many slices. Their number is
-    `spark.sql.shuffle.partitions` unless given.
+def _block_of(bounds: list, order: list, types: list) -> Column:
+    """How many of the sorted bounds come before the row, by bisection in an array of literals."""
+    if not bounds:
+        return F.lit(0).cast("long")
+    edges = F.array(*[F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(row, types))]) for row in bounds])
+    steps = F.array(*[F.lit(i) for i in range(len(bounds).bit_length())])
+
+    def halve(a: Column, _: Column) -> Column:
+        middle = F.floor((a["low"] + a["high"]) / 2).cast("int")
+        above = F.struct((middle + 1).alias("low"), a["high"].alias("high"))
+        below = F.struct(a["low"].alias("low"), middle.alias("high"))
+        return F.when(a["low"] >= a["high"], a).when(_precedes(F.get(edges, middle), order), above).otherwise(below)
+
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+    return F.aggregate(steps, start, halve, lambda a: a["low"].cast("long"))
+
+
+def range_blocks(df: DataFrame, order: list, blocks: int | None = None) -> DataFrame:
+    """Adds `_part`, the row's slice of the order, counted from 0.
+
+    For groups without a natural bounded block. The slices' bounds are literals from one random sample of the whole keys, so a
+    group, or one moment of it, that holds most rows is spread over many slices, and every job that computes
+    `_part` again finds the same slices without a table in between. Keys must be of atomic types. There are
+    BLOCKS_PER_TASK times `spark.sql.shuffle.partitions` slices unless told otherwise.
     """
-    ranged = df.repartitionByRange(slices, *keys) if slices else df.repartitionByRange(*keys)
-    placed = cut_lineage(ranged.sortWithinPartitions(*keys))
-    placed = placed.withColumn("_pos", F.monotonically_increasing_id())
-    return placed.withColumn("_part", F.shiftright("_pos", _POSITION_BITS))
+    blocks = blocks or BLOCKS_PER_TASK * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.select(*[value.alias(f"k{i}") for i, (value, _, _) in enumerate(_directions(order))])
+    sides = [(F.desc_nulls_first if nulls else F.desc_nulls_last) if down else (F.asc_nulls_first if nulls else F.asc_nulls_last) for _, down, nulls in _directions(order)]
+    sample = keys.orderBy(F.rand(11)).limit(SAMPLE_PER_BLOCK * blocks).orderBy(*[side(f"k{i}") for i, side in enumerate(sides)]).collect()
+    bounds = [tuple(sample[len(sample) * i // blocks]) for i in range(1, blocks)] if sample else []
+    return df.withColumn("_part", _block_of(list(dict.fromkeys(bounds)), order, [f.dataType for f in keys.schema.fields]))
+
+
+def block_offsets(placed: DataFrame, value: Column) -> DataFrame:
+    """(_part, _before): the sum of `value` in all earlier slices; as many rows as slices."""
+    totals = placed.groupBy("_part").agg(F.sum(value).alias("_total"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"), "_total")
+
+
+def running_in_blocks(placed: DataFrame, offsets: DataFrame, order: list, value: Column, name: str) -> DataFrame:
+    """The running sum over the whole order: within each slice, and on top of what the earlier slices hold."""
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.withColumn("_local", F.sum(value).over(inside))
+    joined = local.join(F.broadcast(offsets.drop("_total")), "_part")
+    return joined.withColumn(name, F.col("_before") + F.col("_local")).drop("_part", "_local", "_before")
 
 
 def number_in_group(
@@ -111,35 +172,30 @@ def number_in_group(
 
 
 def global_running_total(df: DataFrame, order: list, value: Column, name: str) -> DataFrame:
-    """Running sum over the whole table in a total order.
-
-    Range partitioning splits the order over all tasks and the checkpoint fixes the split, so the
-    per-partition totals and the rows they are added to can never disagree after a retry.
-    """
-    placed = range_blocks(df.withColumn("_v", value), order)
-    totals = placed.groupBy("_part").agg(F.sum("_v").alias("_total"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range partition, so this small window is bounded by the partition count.
-    before = totals.select("_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    local = placed.withColumn("_local", F.sum("_v").over(inside))
-    joined = local.join(F.broadcast(before), "_part")
-    return joined.select(*df.columns, (F.col("_before") + F.col("_local")).alias(name))
+    """Running sum over the whole table in a total order. Rows are shuffled once, by slice of the order."""
+    placed = range_blocks(df, order)
+    return running_in_blocks(placed, block_offsets(placed, value), order, value, name)
 
 
 def global_row_number(df: DataFrame, order: list, name: str = "row_no") -> DataFrame:
-    """1-based row number over the whole table in a total order, without a one-task window.
+    """1-based row number over the whole table in a total order, without a one-task window."""
+    return global_running_total(df, order, F.lit(1).cast("bigint"), name)
 
-    The position inside a sorted, checkpointed partition comes from the id counter, so rows are
-    shuffled once; only per-partition counts are joined back.
-    """
+
+def rows_between(df: DataFrame, order: list, low: int, high: int | None, name: str = "row_no") -> DataFrame:
+    """The rows numbered low..high (to the end without `high`) in a total order, with their numbers. Slices are counted first;
+    only those that hold such rows are shuffled and put in order."""
     placed = range_blocks(df, order)
-    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    local = F.col("_pos").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    joined = placed.join(F.broadcast(before), "_part")
-    return joined.select(*df.columns, (F.col("_before") + local + 1).alias(name))
+    one = F.lit(1).cast("bigint")
+    # as many rows as slices
+    counted = block_offsets(placed, one).collect()
+    wanted = [r for r in counted if r["_before"] + r["_total"] >= low and (high is None or r["_before"] < high)]
+    if not wanted:
+        return df.limit(0).withColumn(name, one)
+    first, last = min(r["_part"] for r in wanted), max(r["_part"] for r in wanted)
+    offsets = df.sparkSession.createDataFrame([(r["_part"], r["_before"], r["_total"]) for r in wanted], "_part long, _before long, _total long")
+    numbered = running_in_blocks(placed.filter(F.col("_part").between(first, last)), offsets, order, one, name)
+    return numbered.filter((F.col(name) >= low) if high is None else F.col(name).between(low, high))
 
 
 def keep_one(df: DataFrame, keys: list[str], order: list, keep: str = "first") -> DataFrame:
@@ -216,11 +272,10 @@ def gather_records(
 
 
 def page(df: DataFrame, order: list, offset: int, size: int) -> DataFrame:
-    """LIMIT/OFFSET page. Shallow pages are a top-N; deep ones go through global row numbers."""
+    """LIMIT/OFFSET page. Shallow pages are a top-N; deep ones order only the slices that the page lies in."""
     if offset + size <= PAGE_LIMIT:
         return df.orderBy(*order).offset(offset).limit(size)
-    numbered = global_row_number(df, order, "_row_no")
-    return numbered.filter(F.col("_row_no").between(offset + 1, offset + size)).drop("_row_no")
+    return rows_between(df, order, offset + 1, offset + size, "_row_no").drop("_row_no")
 
 
 def tie_complete_prefix(df: DataFrame, key: str, n: int) -> DataFrame:

@@ -24,7 +24,7 @@ def win01(t):
 )
 def win01_group(t):
     rows = O.range_blocks(t.events.select("event_id", "event_type", "ts"), ["event_type", "ts", "event_id"])
-    return O.number_in_group(rows, ["event_type"], ["_pos"], F.col("_part")).select("event_id", "event_type", "row_no")
+    return O.number_in_group(rows, ["event_type"], ["ts", "event_id"], F.col("_part")).select("event_id", "event_type", "row_no")
 
 
 @query(
@@ -50,7 +50,7 @@ def win03(t):
         "last_signup": F.when(F.col("event_type") == "signup", F.col("user_id")),
         "last_error": F.when(F.col("event_type") == "error", F.col("value")),
     }
-    out = O.carry_forward(rows, ["week"], ["_pos"], F.col("_part"), values)
+    out = O.carry_forward(rows, ["week"], ["ts", "event_id"], F.col("_part"), values)
     return out.select("event_id", "last_signup", "last_error")
 
 

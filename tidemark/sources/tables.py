@@ -6,7 +6,7 @@ import datetime
 import decimal
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.operators.ordering import global_running_total
+from tidemark.operators.ordering import block_offsets, range_blocks, running_in_blocks
 
 # Declared layouts, so no scan infers its schema.
 SCHEMAS = {
@@ -52,13 +52,21 @@ def jdbc_table(spark: SparkSession, url: str, table: str, properties: dict, pred
     return spark.read.jdbc(url, table, properties=properties)
 
 
-def chunk_bounds(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """Half-open key ranges `(low, high]` of about `rows` rows; ties stay together, the last is open.
+def _ranked_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(key, _n, _upto): how many rows each key has, and all keys up to it; and the slices' offsets.
 
-    Keys are counted first, so a repeated key is one row before any ordering is done.
+    Slices are counted on the rows themselves and keys only within their slice, so a repeated key is one row before it
+    is put in order.
     """
-    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = global_running_total(counted, [key], F.col("_n"), "_upto")
+    placed = range_blocks(df.filter(F.col(key).isNotNull()).select(key), [key])
+    offsets = block_offsets(placed, F.lit(1).cast("bigint"))
+    counted = placed.groupBy("_part", key).agg(F.count(F.lit(1)).alias("_n"))
+    return running_in_blocks(counted, offsets, [key], F.col("_n"), "_upto"), offsets
+
+
+def chunk_bounds(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """Half-open key ranges `(low, high]` of about `rows` rows; ties stay together, the last is open."""
+    ranked, _ = _ranked_keys(df, key)
     chunk = F.floor((F.col("_upto") - F.col("_n")) / F.lit(rows)).alias("chunk")
     ranges = ranked.groupBy(chunk).agg(F.max(key).alias("high"), F.sum("_n").alias("row_count"))
     before = ranges.select((F.col("chunk") + 1).alias("chunk"), F.col("high").alias("low"))
@@ -70,9 +78,8 @@ def chunk_bounds(df: DataFrame, key: str, rows: int) -> DataFrame:
 def quantile_bounds(df: DataFrame, key: str, chunks: int) -> DataFrame:
     """About equal key ranges, exact at any size: the bounds are the smallest keys up to which at least the share
     i / chunks of the rows lies. Repeated bounds of a hot key collapse into one."""
-    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = global_running_total(counted, [key], F.col("_n"), "_upto")
-    total = F.lit(counted.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0])
+    ranked, offsets = _ranked_keys(df, key)
+    total = F.lit(offsets.agg(F.coalesce(F.sum("_total"), F.lit(0))).first()[0])
     wanted = F.array(*[F.ceil(total * i / chunks) for i in range(1, chunks)]) if chunks > 1 else F.array().cast("array<bigint>")
     met = F.exists(wanted, lambda rank: (rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_n")))
     edges = ranked.filter(met).agg(F.sort_array(F.collect_list(key)).alias("cuts"))  # fewer than `chunks` keys
