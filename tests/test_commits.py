@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import changes as G
+from tidemark.sinks.snapshots import KeySnapshot
 from tidemark.sinks.group import Output, TableGroup, fan_out
 from tidemark.sinks.versioned import VersionedTable
 
@@ -98,3 +99,23 @@ def test_expired_records(spark, tmp_path):
     assert group.expire(keep=2) == 3 and [rows(df) for df in group.read(*KEYS)] == now
     fan_out(group, spark.createDataFrame([(7, "x", [], [])], BATCH), OUTPUTS)
     assert group.read("orders").filter("id = 7").count() == 1
+
+
+def test_snapshots_open_only_buckets_that_changed(spark, tmp_path):
+    snapshot = KeySnapshot(spark, str(tmp_path / "k"), ["a", "b"], buckets=32)
+    keys = lambda values: spark.createDataFrame([(v, str(v), 1) for v in values], "a long, b string, x int")
+    first = [*range(2000), None]
+    assert snapshot.advance(keys(first)) is None
+    same = snapshot.advance(keys(first[::-1]))
+    assert same.buckets == set() and rows(same.vanished) == rows(same.new) == []
+    second = [v for v in first if v not in (5, 77)] + [9001]
+    found = snapshot.advance(keys(second))
+    assert rows(found.vanished) == [(5, "5"), (77, "77")] and rows(found.new) == [(9001, "9001")]
+    assert 1 <= len(found.buckets) <= 3
+    opened = {f.split("_bucket=")[1].split("/")[0] for f in found.vanished.inputFiles() if "_bucket=" in f}
+    assert opened == {str(b) for b in found.buckets}
+    # repeated keys touch their bucket and change nothing
+    again = snapshot.advance(keys([*second, 9001, 9001]))
+    assert len(again.buckets) == 1 and rows(again.vanished) == rows(again.new) == []
+    gone = snapshot.advance(keys([]))
+    assert gone.vanished.count() == len(second) and snapshot.advance(keys([1])).new.count() == 1

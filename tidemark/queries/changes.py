@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import changes as G
 from tidemark.queries.registry import query
+from tidemark.session import work_path
+from tidemark.sinks.snapshots import KeySnapshot
 
 ts = lambda text: F.lit(text).cast("timestamp")
 
@@ -61,6 +63,20 @@ def chg03(t):
     return G.vanished(t.customer, current, ["c_custkey"])
 
 
+@query(
+    "chg03_digest_diff",
+    """SELECT o_orderkey, 'gone' AS change FROM orders WHERE o_orderkey % 2999 = 7 UNION ALL SELECT -o_orderkey - 1, 'new' FROM orders WHERE o_orderkey % 4999 = 11""",
+)
+def chg03_digests(t):
+    """A snapshot that lost and gained a few keys: only the buckets whose digests differ are read again and joined."""
+    keys = t.orders.select("o_orderkey")
+    snapshot = KeySnapshot(t.spark, work_path(t.spark, "keys"), ["o_orderkey"])
+    snapshot.advance(keys)
+    gained = keys.filter("o_orderkey % 4999 = 11").select((-F.col("o_orderkey") - 1).alias("o_orderkey"))
+    found = snapshot.advance(keys.filter("o_orderkey % 2999 <> 7").unionByName(gained))
+    return found.vanished.withColumn("change", F.lit("gone")).unionByName(found.new.withColumn("change", F.lit("new")))
+
+
 @query(
     "chg04_shrunk_containers",
     """WITH p AS (SELECT l_orderkey, count(*) AS c FROM lineitem GROUP BY l_orderkey), n AS (SELECT l_orderkey, count(*) AS c FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_orderkey)

@@ -167,6 +167,26 @@ class VersionedTable:
             }
         )
 
+    def rewrite(self, rows: DataFrame, buckets: set[int], state: dict | None = None) -> None:
+        """Replace what some buckets hold by `rows`, which all belong to them; the others stay as they are."""
+        current = self.manifest()
+        if current is None:
+            raise LookupError("load the table with replace() first")
+        version = current["version"] + 1
+        kept = {b: v for b, v in current["buckets"].items() if int(b) not in buckets}
+        written = self._write(rows, version) if buckets else {}
+        self.journal.publish(
+            {**current, "version": version, "buckets": {**kept, **written}, "state": current["state"] if state is None else {**current["state"], **state}}
+        )
+
+    def read_buckets(self, buckets: set[int]) -> DataFrame:
+        """Only the rows of some buckets; the files of the others are not opened."""
+        return self._read(self.manifest(), buckets)
+
+    def bucket(self):
+        """The column that says in which bucket a row's key belongs."""
+        return self._bucket()
+
     def merge(
         self,
         rows: DataFrame,
