@@ -3,7 +3,7 @@
 import pytest
 
 from tidemark.llm.decontaminate import _fingerprints, contamination
-from tidemark.llm.html_text import main_text
+from tidemark.llm.html_text import extract, main_text
 from tidemark.llm.pii import KINDS, find, find_disguised
 
 
@@ -58,6 +58,41 @@ def test_main_text_keeps_every_content_region(body, lines):
     assert main_text(PAGE % body).split("\n") == [" ".join(x.split()) for x in lines]
 
 
+@pytest.mark.parametrize("name", ["social-history", "related-work", "search-methods"])
+def test_articles_keep_elements_whose_names_only_begin_like_excluded_ones(name):
+    body = f"<article>{paragraphs(A)}<p class={name}>{C[0]}</p><div class={name}>{paragraphs(C[1:2])}</div><div class=ad>Buy</div></article>"
+    assert main_text(PAGE % body).split("\n") == [" ".join(x.split()) for x in A + C[:2]]
+
+
+def test_a_list_article_beside_prose_is_kept():
+    items = [f"item {k}" for k in range(200)]
+    body = f"<article><ul>{''.join(f'<li><b>{x}</b></li>' for x in items)}</ul></article><div class=story>{paragraphs(LONG)}</div>"
+    assert main_text(PAGE % body).split("\n") == items + [" ".join(x.split()) for x in LONG]
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 90_000 + "some text of the page" + "</div>" * 90_000,
+    "<b>" * 90_000 + "<div>some text of the page</div>" * 20_000,
+    "<b>" * 60_000 + "<p>some text of the page</i></u>" * 20_000,
+    "<i><div>" + "<b>" * 60_000 + "some text of the page" + "</i>" * 60_000,
+    "<p>some text of the page" * 40_000,
+])
+def test_deep_and_long_pages_take_linear_time(page):
+    import time
+
+    start = time.process_time()
+    assert "some text of the page" in main_text(page)
+    assert time.process_time() - start < 12
+
+
+def test_pages_of_an_empty_table_and_clashing_columns(spark):
+    schema = "page_id long, url string, html string, text string, n_chars string, region int"
+    assert extract(spark.createDataFrame([], schema)).collect() == []
+    rows = [(1, "u", "<p>one two</p>", "x", "y", 3), (1, None, None, "x", "y", 3), (None, "u", "", None, None, None)]
+    got = extract(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted([(1, "u", "one two", 7), (1, None, "", 0), (None, "u", "", 0)], key=str)
+
+
 def test_very_long_benchmark_items(spark):
     long, equal = " ".join(f"v{k}" for k in range(70_000)), "same " * 40_000
     items = spark.createDataFrame([(1, long), (2, equal), (3, "some short item of seven words here")], "item_id long, text string")

@@ -9,9 +9,9 @@ paragraphs beside the regions are the text, but for those inside menus, asides,
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,30 +33,54 @@ _NAMES = re.compile(
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 
 
+class _Open(NamedTuple):
+    """An open element: left out, the innermost region, the place of the innermost block, whether in an article."""
+
+    tag: str
+    out: bool
+    region: int
+    block: int
+    article: bool
+
+
+class _Line(NamedTuple):
+    text: str
+    tags: int
+    region: int
+    out: bool
+    prose: bool
+
+
 class _Lines(HTMLParser):
-    """Lines (text, tags, regions around it, left out, heading or paragraph), in page order."""
+    """Lines in page order, and the regions around them: each one's element and the region it stands in, -1 if none.
+
+    Nothing here looks through all open elements, so deep pages cost no more than flat ones.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...], bool, bool]] = []
-        self.stack: list[tuple[str, bool, tuple[int, ...]]] = [("", False, ())]
-        self.names: dict[int, str] = {}
-        self.above: dict[int, tuple[int, ...]] = {}
+        self.lines: list[_Line] = []
+        self.stack: list[_Open] = [_Open("", False, -1, 0, False)]
+        self.places: dict[str, list[int]] = {}
+        self.names: list[str] = []
+        self.above: list[int] = []
         self.parts: list[str] = []
         self.tags = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text or self.tags:
-            _, out, regions = self.stack[-1]
-            block = next((tag for tag, *_ in reversed(self.stack) if tag in _BLOCK), "")
-            self.lines.append((text, self.tags, regions, out, block in _PROSE))
+            top = self.stack[-1]
+            self.lines.append(_Line(text, self.tags, top.region, top.out, self.stack[top.block].tag in _PROSE))
         self.parts, self.tags = [], 0
 
+    def close_to(self, place: int) -> None:
+        while len(self.stack) > place:
+            self.places[self.stack.pop().tag].pop()
+
     def left_out(self, tag: str, attrs: list) -> bool:
-        if tag in _NO_TEXT:
-            return True
-        if tag == "header" and not any(self.names[r] in ("article", "main") for r in self.stack[-1][2]):
+        article = self.stack[-1].article
+        if tag in _NO_TEXT or tag == "header" and not article:
             return True
         for key, value in attrs:
             if key in ("hidden",) or key == "aria-hidden" and value == "true" or key == "role" and (value or "").lower() in _ROLES:
@@ -64,8 +88,11 @@ class _Lines(HTMLParser):
             if key == "style" and re.search(r"display\s*:\s*none", value or "", re.I):
                 return True
             if key in ("class", "id") and tag not in ("html", "body", "article", "main"):
-                if any(_NAMES.match(w) for name in (value or "").split() for w in (name, *re.split(r"[-_]+", name)[:1], *re.split(r"[-_]+", name)[-1:])):
-                    return True
+                for name in (value or "").split():
+                    # in an article only a whole name says so: social-history or related-work may be its subject
+                    parts = [name] if article else [name, *re.split(r"[-_]+", name)[:1], *re.split(r"[-_]+", name)[-1:]]
+                    if any(_NAMES.match(w) for w in parts):
+                        return True
         return False
 
     def handle_starttag(self, tag, attrs):
@@ -73,23 +100,22 @@ class _Lines(HTMLParser):
             self.flush()
             if tag in _PARAGRAPH_LIKE or tag in _REGION or tag in ("ul", "ol", "table"):
                 # an open paragraph ends here, with whatever was left open inside
-                for k in range(len(self.stack) - 1, 0, -1):
-                    if self.stack[k][0] == "p" or self.stack[k][0] == tag and tag in _PARAGRAPH_LIKE:
-                        del self.stack[k:]
-                        break
-                    if self.stack[k][0] in _BLOCK:
-                        break
+                place = self.stack[-1].block
+                if place and (self.stack[place].tag == "p" or self.stack[place].tag == tag and tag in _PARAGRAPH_LIKE):
+                    self.close_to(place)
         self.tags += 1
         if tag == "br":
             self.parts.append(" ")
         if tag in _VOID:
             return
-        _, out, regions = self.stack[-1]
+        top, region = self.stack[-1], self.stack[-1].region
         if tag in _REGION:
             region = len(self.names)
-            self.names[region], self.above[region] = tag, regions
-            regions = (*regions, region)
-        self.stack.append((tag, out or self.left_out(tag, attrs), regions))
+            self.names.append(tag)
+            self.above.append(top.region)
+        out = top.out or self.left_out(tag, attrs)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(_Open(tag, out, region, len(self.stack) if tag in _BLOCK else top.block, top.article or tag in ("article", "main")))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -100,15 +126,13 @@ class _Lines(HTMLParser):
         if tag in _BLOCK:
             self.flush()
         self.tags += 1
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k][0] == tag:
-                del self.stack[k:]
-                break
-            if tag not in _BLOCK and self.stack[k][0] in _BLOCK:
-                break
+        places = self.places.get(tag)
+        # an inline element does not end outside its block
+        if places and (tag in _BLOCK or places[-1] > self.stack[-1].block):
+            self.close_to(places[-1])
 
     def handle_data(self, data):
-        if not self.stack[-1][1]:
+        if not self.stack[-1].out:
             self.parts.append(data)
 
 
@@ -139,34 +163,57 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    lines = [x for x in parser.lines if x[0] and not x[3]]
+    lines = [x for x in parser.lines if x.text and not x.out]
     if not lines:
         return ""
-    ratio = _smoothed(np.array([len(text) / max(tags, 1) for text, tags, *_ in lines]), sigma)
+    names, parent = parser.names, parser.above
+    ratio = _smoothed(np.array([len(x.text) / max(x.tags, 1) for x in lines]), sigma)
     cut = _threshold(ratio)
-    upper = [(regions, len(text)) for (text, _, regions, *_), value in zip(lines, ratio) if value >= cut]
-    weight: Counter = Counter()
-    for regions, n in upper:
-        for r in regions:
-            weight[r] += n
-    if not weight:
-        return "\n".join(text for text, *_ in lines)
-    # every marked article with content lines; where these hold less than half, the innermost element with nearly all
-    kept = {r for r in weight if parser.names[r] in ("article", "main")}
-    marked = 2 * sum(n for regions, n in upper if not kept.isdisjoint(regions)) >= sum(n for _, n in upper)
+    upper = [x for x, value in zip(lines, ratio) if value >= cut]
+    # regions are numbered in page order, so a region comes after the one it stands in
+    weight = [0] * len(names)
+    for x in upper:
+        if x.region >= 0:
+            weight[x.region] += len(x.text)
+    for r in range(len(names) - 1, -1, -1):
+        if parent[r] >= 0:
+            weight[parent[r]] += weight[r]
+    if not any(weight):
+        return "\n".join(x.text for x in lines)
+
+    def inside(kept: set[int]) -> list[bool]:
+        """Of each region, whether it is in `kept` or in a region that is; the last entry is for lines in no region."""
+        found = [False] * len(names) + [False]
+        for r in range(len(names)):
+            found[r] = r in kept or found[parent[r]]
+        return found
+
+    def around(kept: set[int]) -> list[bool]:
+        """Of each region, whether one of `kept` stands in it; lines in no region count as around all."""
+        found = [False] * len(names) + [True]
+        for r in range(len(names) - 1, -1, -1):
+            if (r in kept or found[r]) and parent[r] >= 0:
+                found[parent[r]] = True
+        return found
+
+    # every marked article; where these hold less than half of the content lines, the innermost element with nearly all
+    kept = {r for r in range(len(names)) if names[r] in ("article", "main")}
+    held = inside(kept)
+    marked = 2 * sum(len(x.text) for x in upper if held[x.region]) >= sum(len(x.text) for x in upper)
     if not marked:
-        kept.add(max(r for r in weight if weight[r] >= 0.95 * max(weight.values())))
-    above = {a for r in kept for a in parser.above[r]}
+        enough = 0.95 * max(weight)
+        kept.add(max(r for r in range(len(names)) if weight[r] >= enough))
+        held = inside(kept)
     # other content lines bring the element they stand in
-    more = {regions[-1] for regions, _ in upper if regions and kept.isdisjoint(regions)} - above
-    above |= {a for r in more for a in parser.above[r]}
-    kept |= more
+    above = around(kept)
+    kept |= {x.region for x in upper if x.region >= 0 and not held[x.region] and not above[x.region]}
+    held, above = inside(kept), around(kept)
 
-    def beside(regions: tuple[int, ...]) -> bool:
+    def beside(region: int) -> bool:
         """In an element around a content region, or without marked articles in one next to it."""
-        return above.issuperset(regions if marked else regions[:-1])
+        return above[region if marked or region < 0 else parent[region]]
 
-    return "\n".join(text for (text, _, regions, _, prose), value in zip(lines, ratio) if value >= cut or not kept.isdisjoint(regions) or prose and beside(regions))
+    return "\n".join(x.text for x, value in zip(lines, ratio) if value >= cut or held[x.region] or x.prose and beside(x.region))
 
 
 def extract(df: DataFrame) -> DataFrame:
