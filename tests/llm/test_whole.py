@@ -32,6 +32,29 @@ def test_odd_cases_of_digit_words(word):
     assert [(KINDS[k], text[a:b]) for a, k, b in find_disguised(text, find(text))] == [("phone", text[5:-1])]
 
 
+@pytest.mark.parametrize("text", [
+    " ".join(str(i % 997) for i in range(250_000)), "dot " + "-" * 1_000_000, "dot x" + " " * 1_000_000 + "at", "a dot " * 170_000 + "b at c dot d",
+    "dot " + "a at b " * 140_000, "plus " * 200_000, "one " * 60_000,
+], ids=["numbers", "dashes", "blanks", "dots", "ats", "plus", "words"])
+def test_a_megabyte_takes_seconds(text):
+    import time
+
+    start = time.process_time()
+    find_disguised(text, find(text))
+    assert time.process_time() - start < 8
+
+
+@pytest.mark.parametrize("text, spans", [
+    ("joe at AT at mail dot com", ["AT at mail dot com"]),
+    ("éa dot b-c at mail dot com", ["b-c at mail dot com"]),
+    ("x dot y dot z at mail dot com dot", ["x dot y dot z at mail dot com"]),
+    ("call plus one two\nthree four five six seven eight nine one two", ["plus one two\nthree four five six seven eight nine one two"]),
+    ("at dot com", []),
+])
+def test_where_bare_addresses_begin(text, spans):
+    assert [text[a:b] for a, _, b in find_disguised(text, find(text))] == spans
+
+
 def story(name, n):
     return [f"{name}{i} " + "words of the story that go on for quite a while, " * 5 + "end." for i in range(n)]
 

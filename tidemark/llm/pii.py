@@ -33,10 +33,13 @@ _UNSEEN = "­​‌‍⁠﻿"
 _DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 
 _DIGIT = "(?:" + "|".join(_DIGIT_WORDS) + ")"
-_SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:[0-9]+[\x20.-])*{_DIGIT}(?:(?:[\x20.-]{{1,2}}|\x20dot\x20)(?:{_DIGIT}(?![A-Za-z])|[0-9]+))+", re.I)
-_SPELLED_PART = re.compile(rf"({_DIGIT})(\x20(?={_DIGIT}))?|\x20(dot)\x20", re.I)
+# numbers before the first digit word are digits already
+_SPELLED = re.compile(rf"(?<![A-Za-z0-9]){_DIGIT}(?:(?:[\s.-]{{1,2}}|\x20dot\x20)(?:{_DIGIT}(?![A-Za-z])|[0-9]+))+", re.I)
+_SPELLED_PART = re.compile(rf"({_DIGIT})(\s(?={_DIGIT}))?|\x20(dot)\x20", re.I)
 _SIGN = re.compile(r"[(\[{<]\s*(at|dot|punkt|arroba|punto|point|[@.])\s*[)\]}>]\s*", re.I)
-_BARE = re.compile(r"(?<![\w@.])((?:[A-Za-z0-9_%+-]+\s+dot\s+)*)[A-Za-z0-9._%+-]+(\s+at\s+)[A-Za-z0-9-]+((?:\s+dot\s+[A-Za-z0-9-]+)+)(?!\w)", re.I)
+_BARE_AT = re.compile(r"(?<!\s)\s+at(?=(\s+)[A-Za-z0-9-])", re.I)
+_BARE_DOMAIN = re.compile(r"[A-Za-z0-9-]+((?:\s+dot\s+[A-Za-z0-9-]+)+)(?!\w)", re.I)
+_DOT_WORD = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-")
 _BARE_DOTS = re.compile(r"(?<=[A-Za-z0-9._%+-])@[A-Za-z0-9.-]+((?:(?<=[A-Za-z0-9])\s+(?i:dot)\s+(?=[A-Za-z0-9])[A-Za-z0-9.-]+)+)")
 _OTHER = re.compile(rf"[^\x00-ɏ]|[{_UNSEEN}ı]")
 _FOLDED = str.maketrans("ſİı", "sii")  # what matches s and i without regard to case
@@ -132,6 +135,33 @@ def _spelled(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _dots_before(text: str, last: int, at: int) -> list[tuple[int, int]] | None:
+    """Places of the bare "dot"s in the words that end at `at`, none before `last`; null if no address can begin there.
+    An address begins after a sign in its first word, or where no letter, dot or "@" stands before that word."""
+    dots, enough, letters = [], None, _LOCAL
+    while True:
+        start = at
+        while start > last and text[start - 1] in letters:
+            start -= 1
+        if start == at:
+            break
+        before = text[start - 1] if start else " "
+        if not (before.isalnum() or before in "_@.") or any(c in "%+-" for c in text[start : at - 1]):
+            enough = len(dots)
+        # "word dot " before it
+        end = start
+        while end > last and text[end - 1].isspace():
+            end -= 1
+        if end == start or end - 3 <= last or text[end - 3 : end].lower() != "dot" or not text[end - 4].isspace():
+            break
+        at = end - 3
+        while at > last and text[at - 1].isspace():
+            at -= 1
+        dots.append((at, start))
+        letters = _DOT_WORD
+    return None if enough is None else dots[:enough]
+
+
 def _signs(text: str) -> list[tuple[int, int, str]]:
     out, last, low = [], 0, text.lower()
     for m in _SIGN.finditer(text):
@@ -140,9 +170,14 @@ def _signs(text: str) -> list[tuple[int, int, str]]:
             a -= 1
         last = m.end()
         out.append((a, last, "@" if m[1].lower() in ("at", "arroba", "@") else "."))
-    for m in _BARE.finditer(text) if "dot" in low else ():
-        out.append((m.start(2), m.end(2), "@"))
-        out += [(m.start(g) + d.start(), m.start(g) + d.end(), ".") for g in (1, 3) for d in re.finditer(r"\s+dot\s+", m[g], re.I)]
+    last = 0
+    for m in _BARE_AT.finditer(text) if "dot" in low else ():
+        domain = _BARE_DOMAIN.match(text, m.end(1)) if m.start() > last else None
+        dots = _dots_before(text, last, m.start()) if domain else None
+        if dots is not None:
+            last = domain.end()
+            out += [(m.start(), m.end(1), "@"), *[(a, b, ".") for a, b in dots]]
+            out += [(domain.start(1) + d.start(), domain.start(1) + d.end(), ".") for d in re.finditer(r"\s+dot\s+", domain[1], re.I)]
     if "plus" in low:
         out += [(m.start(), m.end(), "+") for m in re.finditer(r"\bplus\s+(?=[0-9])", text, re.I)]
     kept, last = [], 0

@@ -133,7 +133,7 @@ def _burst(turns: DataFrame, sequences: DataFrame) -> tuple[DataFrame, DataFrame
     """Paths: rep, n, turns, depth, the head (a, b) at that depth, its parent head (pa, pb) and the words of its last turn.
     Containers: rep, n, turns, the head (a, b), its depth, and how many sequences share it. Staged."""
     zero = F.lit(0).cast("long")
-    active = sequences.select("rep", "n", "turns", zero.alias("a"), zero.alias("b"))
+    active = staged(sequences.select("rep", "n", "turns", zero.alias("a"), zero.alias("b")), "root")
     paths = active.select("*", zero.alias("depth"), zero.alias("pa"), zero.alias("pb"), zero.alias("words"))
     done, depth, stride, rounds = None, 0, 1, 0
     while True:
