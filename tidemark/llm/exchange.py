@@ -127,6 +127,8 @@ def _rows(batches: Iterator[pa.RecordBatch], n_rounds: int) -> Iterator[tuple[di
     for batch in batches:
         for row in batch.to_pylist():
             yield row, _texts(row), [Answers(row[f"replies{k}"] or []) for k in range(n_rounds)]
+    # workers live on for other stages; the memory of this one's batches goes back
+    pa.default_memory_pool().release_unused()
 
 
 class Corpus:
