@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import configure, small_side, work_path
@@ -46,6 +49,28 @@ def released(*frames: DataFrame) -> None:
             if "/tidemark/" in folder:
                 path = jvm.org.apache.hadoop.fs.Path(folder)
                 path.getFileSystem(conf).delete(path, True)
+    # plans that nothing refers to take their shuffle files and broadcasts with them
+    for df in frames[:1]:
+        df.sparkSession._jvm.System.gc()
+
+
+def give_back() -> None:
+    """Return a Python worker's free memory to the system. Workers live on idle while stages of the JVM run, and would
+    keep the most that any of their batches took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function for mapInArrow, which returns its worker's free memory when a task ends."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
 
 
 def small(df: DataFrame, computed: bool = False) -> DataFrame:

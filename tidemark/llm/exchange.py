@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import arrow_rows, own_columns, released, staged, text_or_empty
+from tidemark.llm.common import arrow_rows, give_back, giving_back, own_columns, released, staged, text_or_empty
 from tidemark.llm.rolling import Texts
 
 BLOCK_BYTES = 2_000_000
@@ -49,7 +49,7 @@ def pack(df: DataFrame) -> DataFrame:
             [pa.array([ids], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([pa.compress(b"".join(texts), codec, asbytes=True)], pa.binary())], ["doc_ids", "sizes", "data"])
 
     rows = own_columns(df, "doc_id", "text").select(F.col("doc_id").cast("long"), text_or_empty().cast("binary").alias("text"))
-    blocks = rows.mapInArrow(packed, "doc_ids array<long>, sizes array<long>, data binary")
+    blocks = rows.mapInArrow(giving_back(packed), "doc_ids array<long>, sizes array<long>, data binary")
     with arrow_rows(df.sparkSession):
         return staged(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
 
@@ -127,8 +127,7 @@ def _rows(batches: Iterator[pa.RecordBatch], n_rounds: int) -> Iterator[tuple[di
     for batch in batches:
         for row in batch.to_pylist():
             yield row, _texts(row), [Answers(row[f"replies{k}"] or []) for k in range(n_rounds)]
-    # workers live on for other stages; the memory of this one's batches goes back
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 class Corpus:

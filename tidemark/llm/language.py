@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import arrow_rows, own_columns
+from tidemark.llm.common import arrow_rows, giving_back, own_columns
 
 BINS = 1 << 16
 GRAMS = (1, 2, 3)
@@ -97,7 +97,7 @@ def learn(df: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.nd
 
     spark = df.sparkSession
     with arrow_rows(spark):
-        table = chosen.mapInArrow(count, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas()
+        table = chosen.mapInArrow(giving_back(count), "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(table["lang"].unique().tolist())
     counts, priors = np.zeros((BINS, len(langs))), np.zeros(len(langs))
     place = table["lang"].map({v: i for i, v in enumerate(langs)}).to_numpy(dtype=np.int64)
@@ -136,7 +136,7 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], colu
             yield pa.RecordBatch.from_arrays(
                 [*out, pa.array(chosen, pa.string()), pa.array(np.where(known, posterior, 0.0), pa.float64())], [*[f.name for f in fields], *names])
 
-    return source.mapInArrow(score, schema)
+    return source.mapInArrow(giving_back(score), schema)
 
 
 def held_out() -> Column:

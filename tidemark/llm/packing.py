@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import arrow_rows, own_columns, staged, text_or_empty
+from tidemark.llm.common import arrow_rows, giving_back, own_columns, staged, text_or_empty
 from tidemark.llm.numbering import numbered
 
 CAPACITY = 2048
@@ -79,7 +79,7 @@ def pieces(df: DataFrame, capacity: int = CAPACITY, json_path: str | None = None
 
     source = own_columns(df, "doc_id", "text").select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     with arrow_rows(df.sparkSession):
-        return staged(source.mapInArrow(cut, schema).withColumn("row", F.monotonically_increasing_id()), "pieces")
+        return staged(source.mapInArrow(giving_back(cut), schema).withColumn("row", F.monotonically_increasing_id()), "pieces")
 
 
 def _priced(lengths: np.ndarray, weight: np.ndarray, capacity: int) -> np.ndarray:
