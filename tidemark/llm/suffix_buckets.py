@@ -1,11 +1,11 @@
-"""Exact removal of repeated byte strings by bucket-pointer refinement of suffixes.
+"""Exact removal of repeated byte strings by buckets of suffixes.
 
 Suffixes are bucketed by their first 100 bytes, at sampled places: the smallest 16-byte-gram hash among every 301
 consecutive starts. Any 400-byte string holds such a place with its 100 bytes inside, chosen from the string alone,
-so equal strings share a bucket there. A suffix alone in its bucket is final. The starts whose sampled suffix shares a
-bucket are refined: the bucket at depth 200 is the pair of buckets at offsets 0 and 100, that at depth 400 the pair of
-depth-200 buckets at offsets 0 and 200, so each level reuses the identifiers the level before made. Identifiers are
-64-bit content hashes, the same in every block (the first round's also tell which whole texts are equal), so only the question "is it alone" needs a shuffle.
+so equal strings share a bucket there. A suffix alone in its bucket is final. For the starts whose sampled suffix shares a
+bucket, the hashes of their four 100-byte slices are paired to one of depth 400 within the task, and one more round
+asks which of these occur elsewhere; no buckets of depth 200 are counted. Hashes have 64 bits and depend on the content
+alone (the first round's also tell which whole texts are equal), so only the question "is it alone" needs a shuffle.
 """
 
 from __future__ import annotations
