@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates as A, enrich as N, hooks, joins as J, ordering as O
@@ -99,6 +101,16 @@ def udf01(t):
     return hooks.apply_hook(t.conversations, hook, "conv_id long, turn long, lines long")
 
 
+@query("udf01_batch_hooks", "SELECT event_id, upper(event_type) AS kind, value * 2 AS doubled FROM events WHERE value >= 10")
+def udf01_batches(t):
+    """The hook gets whole Arrow batches."""
+    def hook(batch: pa.RecordBatch) -> pa.Table:
+        rows = pa.Table.from_batches([batch]).filter(pc.field("value") >= 10)
+        return pa.table({"doubled": pc.multiply(rows["value"], 2), "kind": pc.utf8_upper(rows["event_type"]), "event_id": rows["event_id"]})
+
+    return hooks.apply_batch_hook(t.events.select("event_id", "event_type", "value"), hook, "event_id long, kind string, doubled double")
+
+
 @query(
     "udf01_line_udtf",
     "SELECT c_custkey AS uid, upper(c_name) AS name FROM customer WHERE c_acctbal >= 0",

@@ -343,6 +343,22 @@ def src09_files(t):
     return out.withColumns({c: F.col(c).cast("string") for c in ("file_date", "as_of_date")}).select(*BANK_COLUMNS)
 
 
+@query(
+    "src10_json_documents",
+    "SELECT event_id AS id, event_type AS kind, value FROM events UNION ALL SELECT event_id, event_type, value FROM events WHERE event_id % 500 = 0",
+)
+def src10_documents(t):
+    """Landed pages of up to 500 records, printed over many lines; a page of one record holds it without a list."""
+    path = work_path(t.spark, "pages")
+    item = F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind"), "value")
+    rows = t.events.select(F.floor(F.col("event_id") / 500).alias("page"), (F.col("event_id") % 500 == 0).alias("first"), item.alias("item"))
+    lists = rows.groupBy("page").agg(F.collect_list("item").alias("data"))
+    printed = lambda data: F.to_json(F.struct(F.lit("ok").alias("status"), F.col(data).alias("data")), {"pretty": "true"}).alias("value")
+    pages = lists.select(printed("data")).unionAll(rows.where("first").select(printed("item")))
+    pages.write.option("maxRecordsPerFile", 1).text(path)
+    return nested.read_json_documents(t.spark, path, "data", "id:bigint, kind:string, value:double").drop("page")
+
+
 @query(
     "src10_json_envelopes",
     """SELECT event_id AS page, CAST(json_extract_string(props, '$.k') AS INTEGER) AS id, event_type AS kind FROM events UNION ALL SELECT event_id, -1, 'pad' FROM events WHERE event_type = 'view'""",

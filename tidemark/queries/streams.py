@@ -10,6 +10,7 @@ from tidemark.session import work_path
 from tidemark.sinks.versioned import VersionedTable
 from tidemark.sources.tables import SCHEMAS
 from tidemark.streaming import streams as ST
+from tidemark.streaming.idle import idle_keys, keyed_state
 
 ts = lambda text: F.lit(text).cast("timestamp")
 
@@ -96,6 +97,44 @@ def stm04_late(t):
     return ST.late_rows(t.events.select("event_id", "ts", arrival.alias("arrival")), "ts", "arrival", "2 HOURS").select("event_id")
 
 
+IDLE_SQL = """e AS (SELECT event_id, user_id, ts, date_trunc('week', CASE WHEN event_type = 'error' THEN ts + INTERVAL 1 DAY ELSE ts END) AS lot FROM events),
+    a AS (SELECT lot, max(max(ts)) OVER (ORDER BY lot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM e GROUP BY lot),
+    m AS (SELECT event_id, user_id, ts, coalesce(date_trunc('milliseconds', ts) < date_trunc('milliseconds', seen) - INTERVAL 2 HOUR, false) AS late FROM e JOIN a USING (lot))"""
+
+
+def idle_run(t):
+    """Events land by weeks, errors a day late; a run drains each landing and the checkpoint carries the state on."""
+    base = work_path(t.spark, "idle")
+    arrival = F.when(F.col("event_type") == "error", F.col("ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("ts"))
+    rows = t.events.withColumn("lot", F.date_trunc("week", arrival))
+    # as many lots as the calendar has weeks
+    lots = sorted(r[0] for r in rows.select("lot").distinct().collect())
+    for lot in lots:
+        rows.where(F.col("lot") == F.lit(lot)).drop("lot").write.mode("append").parquet(f"{base}/topic")
+        out = idle_keys(ST.topic(t.spark, f"{base}/topic", SCHEMAS["events"]), ["user_id"], "ts", ["event_id"], "12 HOURS", "2 hours")
+        with keyed_state(t.spark):
+            ST.drain(out, f"{base}/data", f"{base}/checkpoint")
+    return t.spark.read.schema(out.schema).parquet(f"{base}/data") if lots else t.spark.createDataFrame([], "kind string, user_id long, event_id long, first timestamp, last timestamp, n long")
+
+
+@query(
+    "stm06_idle_spans",
+    f"""WITH {IDLE_SQL}, g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 12 HOUR THEN 0 ELSE 1 END AS fresh FROM m WHERE NOT late WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS span FROM g)
+    SELECT user_id, min(ts) AS first, max(ts) AS last, count(*) AS n FROM s GROUP BY user_id, span
+    HAVING date_trunc('milliseconds', max(ts)) + INTERVAL 12 HOUR < (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 HOUR FROM events)""",
+)
+def stm06_idle(t):
+    """A user's state times out: spans come out after twelve idle hours, those still open stay in the state."""
+    return idle_run(t).where("kind = 'idle'").select("user_id", "first", "last", "n")
+
+
+@query("stm04_stream_late_rows", f"WITH {IDLE_SQL} SELECT event_id, user_id FROM m WHERE late")
+def stm04_stream_late(t):
+    """The same stream hands out the rows its watermark leaves out."""
+    return idle_run(t).where("kind = 'late'").select("event_id", "user_id")
+
+
 @query("stm05_hourly_counts", "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stm05(t):
     """Update mode: every change of a count is merged into a keyed table."""

@@ -21,6 +21,15 @@ def read_json_pages(spark: SparkSession, path: str, schema: str, key: str) -> Da
     return pages.select(F.explode(key).alias("_item")).select("_item.*")
 
 
+def read_json_documents(spark: SparkSession, path: str, key: str, item: str) -> DataFrame:
+    """Records of landed pages, one JSON document per file, printed on one line or many: `page` is the file's name.
+
+    The records lie under `key` as a list or as one object; a page without them has no rows.
+    """
+    pages = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("page"), "value")
+    return envelope_rows(pages, "value", key, item)
+
+
 def read_xml_rows(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
     """Each `row_tag` element is a row, each child tag a text column; a missing text is ''."""
     rows = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
