@@ -118,6 +118,18 @@ def test_budget_keeps_null_and_tied_keys(spark):
         assert inside.count() == min(budget, 5) and inside.count() + outside.count() == 7
 
 
+def test_a_large_budget_is_cut_in_one_slice(spark, monkeypatch):
+    from tidemark.operators import enrich, ordering
+
+    monkeypatch.setattr(ordering, "PAGE_LIMIT", 10)
+    df = spark.range(500).selectExpr("CASE WHEN id % 50 > 0 THEN id % 7 END AS k", "id % 90 AS v")
+    for budget in (11, 200, 489, 490, 600):
+        inside, outside = enrich.within_budget(df, "k", budget)
+        assert inside.count() == min(budget, 490) and inside.count() + outside.count() == 500
+        rest = outside.agg({"k": "min"}).first()[0]
+        assert rest is None or inside.agg({"k": "max"}).first()[0] <= rest
+
+
 def test_changes_in_any_order_keep_the_newest(spark, tmp_path):
     from itertools import permutations
 

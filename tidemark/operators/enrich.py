@@ -10,25 +10,30 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import json_in_prose
+from tidemark.operators.ordering import page
 from tidemark.session import small_side
 
 
 def within_budget(df: DataFrame, key: str, budget: int) -> tuple[DataFrame, DataFrame]:
     """(the first `budget` rows by key, the rest); rows without a key are in the rest. Rows with one key are ordered by
-    a hash of their content, so a retry picks the same rows; of equal rows it does not matter which."""
-    place = F.struct(F.col(key).alias("k"), F.xxhash64(F.to_json(F.struct("*"))).alias("h"))
-    rows = df.withColumn("_place", place)
-    keyed = rows.filter(F.col(key).isNotNull())
-    first = keyed.select("_place").orderBy("_place").limit(budget)
-    cut = first.agg(F.max("_place").alias("p"), F.count(F.lit(1)).alias("n")).first()
-    if cut["p"] is None:
+    a hash of their content, so a retry picks the same rows; of equal rows it does not matter which.
+
+    One row is looked up, the last inside; a large budget orders only the slice of the keys that holds it."""
+    rows = df.withColumns({"_key": F.col(key), "_hash": F.xxhash64(F.to_json(F.struct("*")))})
+    keyed = rows.filter(F.col("_key").isNotNull())
+    if budget <= 0:
         return df.filter(F.lit(False)), df
-    at = F.struct(F.lit(cut["p"]["k"]).cast(df.schema[key].dataType).alias("k"), F.lit(cut["p"]["h"]).alias("h"))
-    same = keyed.filter(F.col("_place") == at)
-    room = cut["n"] - first.filter(F.col("_place") < at).count()
-    inside = keyed.filter(F.col("_place") < at).unionByName(same.limit(room))
-    outside = keyed.filter(F.col("_place") > at).unionByName(same.offset(room)).unionByName(rows.filter(F.col(key).isNull()))
-    return inside.drop("_place"), outside.drop("_place")
+    cut = page(keyed.select("_key", "_hash"), ["_key", "_hash"], budget - 1, 1).first()
+    if cut is None:
+        return keyed.drop("_key", "_hash"), rows.filter(F.col("_key").isNull()).drop("_key", "_hash")
+    at, level = F.lit(cut["_key"]).cast(df.schema[key].dataType), F.lit(cut["_hash"])
+    before = (F.col("_key") < at) | ((F.col("_key") == at) & (F.col("_hash") < level))
+    same = keyed.filter((F.col("_key") == at) & (F.col("_hash") == level))
+    room = budget - keyed.filter(before).count()
+    inside = keyed.filter(before).unionByName(same.limit(room))
+    after = keyed.filter((F.col("_key") > at) | ((F.col("_key") == at) & (F.col("_hash") > level)))
+    outside = after.unionByName(same.offset(room)).unionByName(rows.filter(F.col("_key").isNull()))
+    return inside.drop("_key", "_hash"), outside.drop("_key", "_hash")
 
 
 def enrich(df: DataFrame, key: str, budget: int, name: str, scorer: Callable[[Column], Column], source: str) -> DataFrame:
