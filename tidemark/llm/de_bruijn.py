@@ -1,10 +1,15 @@
 """Removal of repeated word runs through a compacted De Bruijn graph of the repeated 35-word edges.
 
-An edge is a run of 35 words, its ends are runs of 34. Edges that can repeat are found by nine-word minimizers (any
-35-word run holds one, chosen from the run alone), and a second round tells which edges occur twice and where first.
-Each repeated edge belongs to its first place in the corpus; neighbours that share a place form a path. Paths are cut
-at branching nodes, and where a path's end node has one edge in and one out, Spark joins hook the two paths together;
-pointer doubling gives each chain one id. Source coordinates then give the spans to remove.
+An edge is a run of 35 words, its ends are nodes, runs of 34. Edges that can repeat are found by nine-word minimizers
+(any 35-word run holds one, chosen from the run alone), and a second round tells which edges occur twice. Consecutive
+repeated edges of a document are a walk through the graph. A third round sends the nodes of all walks with the words
+before and after; a node with two such contexts branches, and the ends of walks count as contexts of their own. Walks are
+cut at branching nodes into paths. As walks' ends branch too, a path lies whole wherever one of its edges does, so a path
+is compared as one: its words are read at its source coordinates, and a fourth round tells which paths' words, by a digest
+that does not depend on the edges' hashes, start elsewhere too. These paths' coordinates are the spans to remove.
+
+unitigs() joins paths further: where only the end of a walk cut them, a node has one path in and one out, and Spark joins
+hook the two together; pointer doubling gives each chain one id.
 """
 
 from __future__ import annotations
@@ -17,10 +22,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import own_columns, small, staged
 from tidemark.llm.exchange import Answers, Corpus
-from tidemark.llm.rolling import Slices, Texts, fits, minimizers
+from tidemark.llm.rolling import Slices, Texts, U, fits, minimizers
 
 WINDOW = 35
 GRAM = 9
+#: Contexts of nodes where a walk begins or ends; others are hashes of the node with the words beside it.
+WALK_BEGINS, WALK_ENDS = 0, 1
 
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string, span_starts array<long>, span_ends array<long>, paths array<struct<head:long,tail:long,first_edge:long,edges:long,start:long>>"
 _PATH = pa.list_(pa.struct([("head", pa.int64()), ("tail", pa.int64()), ("first_edge", pa.int64()), ("edges", pa.int64()), ("start", pa.int64())]))
@@ -50,37 +57,55 @@ def _edges(texts: Texts, answers: list[Answers]) -> tuple:
     return starts, slices.of(starts, starts + WINDOW), slices, where
 
 
-def _owned(texts: Texts, answers: list[Answers]) -> tuple:
-    """Starts of the repeated edges whose first place is here, where each path begins, and the paths' node starts."""
+def _walks(texts: Texts, answers: list[Answers]) -> tuple:
+    """Starts of the repeated edges, whether a walk begins or ends there, hashes of slices and where words lie."""
     starts, edges, slices, where = _edges(texts, answers)
-    repeated, first = answers[1].about(edges)
-    own = starts[repeated & first]
-    begins = where[2]
-    doc = np.searchsorted(begins, own, side="right")
-    fresh = np.r_[True, (own[1:] != own[:-1] + 1) | (doc[1:] != doc[:-1])] if len(own) else np.zeros(0, bool)
-    lasts = np.r_[fresh[1:], True] if len(own) else fresh
+    own = starts[answers[1].about(edges)[0]]
+    fresh = np.ones(len(own), bool)
+    fresh[1:] = own[1:] != own[:-1] + 1  # a text's last edge and the next one's first are never neighbours
+    return own, fresh, np.r_[fresh[1:], True][: len(own)], slices, where
+
+
+def _nodes(texts: Texts, answers: list[Answers]) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the walks: first the one before each edge, then each walk's last; and their contexts."""
+    own, fresh, lasts, slices, _ = _walks(texts, answers)
     nodes = np.concatenate([own, own[lasts] + 1])
-    return starts, edges, slices, where, repeated, own, fresh, lasts, slices.of(nodes, nodes + WINDOW - 1)
+    contexts = np.full(len(nodes), WALK_ENDS, np.uint32)
+    contexts[: len(own)] = WALK_BEGINS
+    inner = own[~fresh]
+    contexts[: len(own)][~fresh] = slices.of(inner - 1, inner + WINDOW).astype(np.uint32)
+    return slices.of(nodes, nodes + WINDOW - 1), contexts
+
 
+def _paths(texts: Texts, answers: list[Answers]) -> tuple:
+    """First and last node of each path, a digest of its words, hashes of slices and where words lie."""
+    own, fresh, lasts, slices, where = _walks(texts, answers)
+    branching, _ = answers[2].about(_nodes(texts, answers)[0])
+    cut = fresh | branching[: len(own)]
+    heads, tails = own[cut], own[np.r_[cut[1:], True][: len(own)]] + 1
+    data, (start, end, _) = texts.data.tobytes(), where
+    digests = np.zeros(len(heads), U)
+    for k, (a, b) in enumerate(zip(heads.tolist(), (tails + WINDOW - 1).tolist())):
+        words = b" ".join([data[i:j] for i, j in zip(start[a:b].tolist(), end[a:b].tolist())])
+        digests[k] = int.from_bytes(hashlib.blake2b(words, digest_size=8).digest(), "little")
+    return heads, tails, digests, slices, where
 
-def _nodes(texts: Texts, answers: list[Answers]) -> np.ndarray:
-    return _owned(texts, answers)[8]
+
+def _digests(texts: Texts, answers: list[Answers]) -> np.ndarray:
+    return _paths(texts, answers)[2]
 
 
 def _finish(ids: list, texts: Texts, answers: list[Answers]) -> dict:
-    starts, edges, slices, (word_start, word_end, begins), repeated, own, fresh, lasts, nodes = _owned(texts, answers)
-    met, _ = answers[2].about(nodes)
-    cut = fresh | met[: len(own)]
-    stop = np.r_[cut[1:], True] | lasts if len(own) else lasts
-    heads, tails = own[cut], own[stop] + 1
-    ends = slices.of(heads, heads + WINDOW - 1).view(np.int64), slices.of(tails, tails + WINDOW - 1).view(np.int64)
-    firsts = slices.of(heads, heads + WINDOW).view(np.int64)
+    heads, tails, digests, slices, (word_start, word_end, begins) = _paths(texts, answers)
+    verified, first = answers[3].about(digests)
     total = int(begins[-1])
     marks = np.zeros(total + 1, np.int32)
-    hit = starts[repeated]
-    np.add.at(marks, hit, 1)
-    np.add.at(marks, hit + WINDOW, -1)
+    np.add.at(marks, heads[verified], 1)
+    np.add.at(marks, tails[verified] + WINDOW - 1, -1)
     covered = np.cumsum(marks)[:total] > 0
+    heads, tails = heads[verified & first], tails[verified & first]
+    ends = slices.of(heads, heads + WINDOW - 1).view(np.int64), slices.of(tails, tails + WINDOW - 1).view(np.int64)
+    firsts = slices.of(heads, heads + WINDOW).view(np.int64)
     data, b = texts.data.tobytes(), begins.tolist()
     out = {f.name: [] for f in _ARROW}
     for k, doc in enumerate(ids):
@@ -108,11 +133,15 @@ def repeated_words(df: DataFrame) -> DataFrame:
     Null texts have no words. Documents under 35 words lose nothing. A null or repeated doc_id is kept, one result for
     each row; an empty table gives none. `paths` are the unbranched paths of the graph that lie here first; word
     offsets, end exclusive.
+
+    Edges, nodes and paths are equal by 64-bit hashes; a span is removed only if a second 64-bit digest of its path's
+    words agrees with that of another place.
     """
     corpus = Corpus(df)
     corpus.ask(_grams)
     corpus.ask(lambda texts, answers: _edges(texts, answers)[1])
     corpus.ask(_nodes)
+    corpus.ask(_digests)
     return corpus.each(_finish, SCHEMA, _ARROW)
 
 

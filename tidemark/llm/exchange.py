@@ -2,8 +2,8 @@
 
 Documents are packed into blocks of about two megabytes. A round sends each block's distinct hashes to buckets by
 hash range, packed into one binary row for each block and bucket; the bucket answers with two bits a hash: "it occurs
-elsewhere or twice here" and "this block is the first that has it". A hash that every document has is sent once a
-block, so no bucket is hot. Blocks are staged in the shared folder and each round's answers too; whatever is lost is
+elsewhere or twice here" and "this block is the first that has it". Where a step sends contexts with its hashes, the first
+bit says "it occurs with two contexts" instead. A hash that every document has is sent once a block, so no bucket is hot. Blocks are staged in the shared folder and each round's answers too; whatever is lost is
 computed again from there.
 """
 
@@ -23,8 +23,9 @@ BLOCK_ROWS = 4
 #: Bytes of hashes that one bucket may hold in memory, if every byte of the corpus sent one.
 BUCKET_BYTES = 48_000_000
 
-#: A step gets the texts and the answers of all earlier rounds and gives the hashes to send.
-Step = Callable[[Texts, list["Answers"]], np.ndarray]
+#: A step gets the texts and the answers of all earlier rounds and gives the hashes to send, or hashes and a 32-bit
+#: context for each.
+Step = Callable[[Texts, list["Answers"]], np.ndarray | tuple[np.ndarray, np.ndarray]]
 
 
 def pack(df: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ class Answers:
         self.repeated, self.first = flags[:, 0], flags[:, 1]
 
     def about(self, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each hash sent, in order: it is repeated; this is its first place in the corpus."""
+        """For each hash sent, in order: it is repeated (or has two contexts); this is its first place in the corpus."""
         if not len(items):
             return np.zeros(0, bool), np.zeros(0, bool)
         _, place, inverse = np.unique(items, return_index=True, return_inverse=True)
@@ -76,28 +77,42 @@ def _bucket(sorted_items: np.ndarray, buckets: int) -> np.ndarray:
     return ((sorted_items >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def _sent(items: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, int]]:
-    distinct, counts = np.unique(items, return_counts=True)
+def _sent(made: np.ndarray | tuple[np.ndarray, np.ndarray], buckets: int) -> Iterator[tuple[int, bytes, int]]:
+    items, contexts = made if isinstance(made, tuple) else (made, None)
+    distinct, place, inverse, counts = np.unique(items, return_index=True, return_inverse=True, return_counts=True)
+    many, kept = counts > 1, None
+    if contexts is not None:
+        kept = contexts[place].astype(np.uint32)
+        many = np.zeros(len(distinct), bool)
+        many[inverse[contexts != kept[inverse]]] = True
     at = _bucket(distinct, buckets)
     edges = np.flatnonzero(np.r_[True, at[1:] != at[:-1], True]) if len(at) else []
     for a, b in zip(edges[:-1], edges[1:]):
-        yield int(at[a]), distinct[a:b].tobytes() + np.packbits(counts[a:b] > 1).tobytes(), int(b - a)
+        yield int(at[a]), distinct[a:b].tobytes() + np.packbits(many[a:b]).tobytes() + (b"" if kept is None else kept[a:b].tobytes()), int(b - a)
 
 
 def _judged(group: pa.Table) -> pa.Table:
     """One bucket: the flags for each block that sent something to it."""
     blocks, counts = group.column("block").to_numpy(), group.column("n").to_numpy()
-    parts, many = [], []
+    parts, many, contexts = [], [], []
     for payload, n in zip(group.column("items").to_pylist(), counts.tolist()):
+        bits = 8 * n + -(-n // 8)
         parts.append(np.frombuffer(payload, np.uint64, count=n))
-        many.append(np.unpackbits(np.frombuffer(payload, np.uint8, offset=8 * n), count=n))
+        many.append(np.unpackbits(np.frombuffer(payload, np.uint8, offset=8 * n, count=bits - 8 * n), count=n))
+        if len(payload) > bits:
+            contexts.append(np.frombuffer(payload[bits:], np.uint32))
     items, twice, owner = np.concatenate(parts), np.concatenate(many).astype(bool), np.repeat(blocks, counts)
     order = np.lexsort((owner, items))
     ranked = items[order]
     first = np.r_[True, ranked[1:] != ranked[:-1]]
     group_no = np.cumsum(first) - 1
-    size = np.bincount(group_no)
-    repeated = (size > 1) | np.logical_or.reduceat(twice[order], np.flatnonzero(first))
+    begins = np.flatnonzero(first)
+    repeated = np.logical_or.reduceat(twice[order], begins)
+    if contexts:
+        context = np.concatenate(contexts)[order]
+        repeated |= np.minimum.reduceat(context, begins) != np.maximum.reduceat(context, begins)
+    else:
+        repeated |= np.bincount(group_no) > 1
     flags = np.empty((len(items), 2), np.uint8)
     flags[order, 0], flags[order, 1] = repeated[group_no], first
     ends = np.cumsum(counts)
