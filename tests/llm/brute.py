@@ -65,28 +65,34 @@ def similar(rows: list[tuple]) -> list[tuple]:
     return [(doc, len(sets[i]), least.get(root(i))) for i, (doc, _) in enumerate(rows)]
 
 
-def leaked(rows: list[tuple], items: list[tuple]) -> list[bool]:
-    """Whether any window of an item's length is similar to it, by weighted Jaccard of five-word shingles."""
+def leaks(text: str | None, items: list[tuple]) -> list[tuple]:
+    """(item_id, similarity) of the items that a window of their length is similar to, by weighted Jaccard of five-word
+    shingles; the similarity is that of the best window."""
     def grams(words, n):
-        return [tuple(words[k : k + n]) for k in range(len(words) - n + 1)]
-
-    out = []
-    for _, text in rows:
-        words, hit = (text or "").lower().split(), False
-        for _, item in items:
-            w = (item or "").lower().split()
-            if not w or not words:
-                continue
-            n = min(5, len(w))
-            want = Counter(grams(w, n))
-            for s in range(max(1, len(words) - len(w) + 1)):
-                have = Counter(grams(words[s : s + len(w)], n))
-                both, union = sum((have & want).values()), sum((have | want).values())
-                hit = hit or 100 * both >= 80 * union
-        out.append(hit)
+        return Counter(tuple(words[k : k + n]) for k in range(len(words) - n + 1))
+
+    words, out = (text or "").lower().split(), []
+    for item_id, item in dict.fromkeys(items):
+        w = (item or "").lower().split()
+        if not w or not words:
+            continue
+        n, best = min(5, len(w)), (0, 1)
+        want = grams(w, n)
+        for s in range(max(1, len(words) - len(w) + 1)):
+            have = grams(words[s : s + len(w)], n)
+            both, union = (have & want).total(), (have | want).total()
+            if both * best[1] > best[0] * union:
+                best = both, union
+        if 100 * best[0] >= 80 * best[1]:
+            out.append((item_id, best[0] / best[1]))
     return out
 
 
+def leaked(rows: list[tuple], items: list[tuple]) -> list[bool]:
+    """Whether any window of an item's length is similar to it."""
+    return [bool(leaks(text, items)) for _, text in rows]
+
+
 _KINDS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
 
 

@@ -92,6 +92,42 @@ def test_contamination_matches_brute_force(spark, frame, odd_rows):
     assert contamination(frame(rows[:3]), bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_items_and_similarities_match_brute_force(spark, frame):
+    """Windows with few and with many changes, items that contain each other, ties, repeated items and rows, empty texts."""
+    rng = random.Random(31)
+    word = lambda: f"v{rng.randrange(300)}"
+    items = [(k, " ".join(word() for _ in range(rng.choice([2, 5, 8, 20, 60, 90, 120])))) for k in range(24)]
+    items += [(30, items[3][1]), (31, " ".join(items[4][1].split()[:-1])), items[5], (32, ""), (None, items[6][1])]
+    rows = [(900, None), (901, ""), (902, " \n"), (903, items[7][1]), (903, items[7][1])]
+    for k in range(150):
+        words = items[k % 24][1].split()
+        for _ in range(rng.randrange(1 + len(words) // 20)):
+            words[rng.randrange(len(words))] = word()
+        rows.append((k, " ".join([word() for _ in range(rng.randrange(30))] + words + [word() for _ in range(rng.randrange(30))])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    expected = []
+    for i, text in rows:
+        found = brute.leaks(text, items)
+        best = min(((-s, item is not None, item or 0, item) for item, s in found), default=(0.0, None, None, None))
+        expected.append((i, bool(found), len(found), best[3], round(-best[0], 9)))
+    assert sum(x[2] for x in expected) > 90 and sum(0.8 <= x[4] < 0.95 for x in expected) > 10
+    got = [(r.doc_id, r.contaminated, r.n_items, r.item_id, round(r.similarity, 9)) for r in contamination(frame(rows), bench).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_copies_share_a_shard_where_there_is_room(frame):
+    """Forty groups of five and one that fills most of a shard: none is cut, as each fits."""
+    rows = [(i, f"text {i}") for i in range(600)] + [(1000 + i, f"group {i % 40}") for i in range(200)] + [(2000 + i, "larger group") for i in range(60)]
+    text = dict(rows)
+    got = shard_documents(frame(rows)).collect()
+    held = {}
+    for r in got:
+        held.setdefault(text[r.doc_id], set()).add(r.shard)
+    assert all(len(shards) == 1 for shards in held.values())
+    counts = [sum(r.shard == s for r in got) for s in range(8)]
+    assert sum(counts) == len(rows) and max(counts) - min(counts) <= 1
+
+
 def test_similar_documents_match_all_pairs(frame, odd_rows):
     df = frame(odd_rows)
     expected = brute.similar(odd_rows)

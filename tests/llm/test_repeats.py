@@ -1,7 +1,14 @@
+from collections import defaultdict
+
 import brute
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tidemark.llm import de_bruijn
 from tidemark.llm.de_bruijn import repeated_words, unitigs
+from tidemark.llm.exchange import Answers, _judged, _sent
+from tidemark.llm.rolling import Slices, Texts
 from tidemark.llm.suffix_buckets import repeated_bytes
 
 
@@ -45,3 +52,55 @@ def test_unitigs_hold_each_repeated_edge_once(frame, odd_rows):
         if len(before) == 1 and len(out.get(node, [])) == 1:
             group[root(before[0])] = root(out[node][0])
     assert found.select("unitig").distinct().count() == len({root(e) for e in edges})
+
+
+def rounds_by_hand(rows, size, steps, finish):
+    """The rounds of the exchange over blocks of `size` texts, in this process."""
+    blocks = []
+    for k in range(0, len(rows), size):
+        texts = [(t or "").encode() for _, t in rows[k : k + size]]
+        blocks.append(([i for i, _ in rows[k : k + size]], Texts(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))))
+    answers = [[] for _ in blocks]
+    for step in steps:
+        buckets, replies = defaultdict(list), defaultdict(list)
+        for k, (_, texts) in enumerate(blocks):
+            for bucket, items, n in _sent(step(texts, answers[k]), 4):
+                buckets[bucket].append(dict(block=k, bucket=bucket, n=n, items=items))
+        for sent in buckets.values():
+            for reply in _judged(pa.Table.from_pylist(sent)).to_pylist():
+                replies[reply["block"]].append(reply)
+        for k in range(len(blocks)):
+            answers[k].append(Answers(replies[k]))
+    made = [finish(ids, texts, answers[k]) for k, (ids, texts) in enumerate(blocks)]
+    return [row for m in made for row in zip(m["doc_id"], m["n_words"], m["n_removed"], m["kept_sha256"])]
+
+
+def test_paths_are_verified_by_their_words(odd_rows, monkeypatch):
+    """With edges of eight bits nearly all count as repeated; their words decide."""
+    of = Slices.of
+
+    def weak(self, start, end):
+        hashes = of(self, start, end)
+        return hashes & np.uint64(255) if len(start) and (end - start == de_bruijn.WINDOW).all() else hashes
+
+    steps = [de_bruijn._grams, lambda texts, answers: de_bruijn._edges(texts, answers)[1], de_bruijn._nodes, de_bruijn._digests]
+    expected = sorted(brute.word_repeats(odd_rows), key=str)
+    for size in (1, 7, len(odd_rows)):
+        assert sorted(rounds_by_hand(odd_rows, size, steps, de_bruijn._finish), key=str) == expected
+    monkeypatch.setattr(Slices, "of", weak)
+    assert sorted(rounds_by_hand(odd_rows, 7, steps, de_bruijn._finish), key=str) == expected
+
+
+def test_a_path_lies_whole_in_each_place(frame, odd_rows):
+    """No place of a path's first edge is without the rest of the path."""
+    docs = {i: brute.WORD.findall((t or "").encode()) for i, t in odd_rows if i is not None}
+    sets = [brute.WORD.findall((t or "").encode()) for _, t in odd_rows]
+    for row in repeated_words(frame([r for r in odd_rows if r[0] not in (407, 3)])).collect():
+        for path in row.paths:
+            if row.doc_id is None:
+                continue
+            words = docs[row.doc_id][path.start : path.start + path.edges + 34]
+            for other in sets:
+                for p in range(len(other) - 34):
+                    if other[p : p + 35] == words[:35]:
+                        assert other[p : p + len(words)] == words
