@@ -3,9 +3,10 @@
 import datetime
 
 import numpy as np
+import pandas as pd
 
 from tidemark.streaming import streams as ST
-from tidemark.streaming.idle import idle_keys, keyed_state, merge_spans
+from tidemark.streaming.idle import _Spans, idle_keys, keyed_state, merge_spans
 
 SCHEMA = "id long, user long, ts timestamp"
 at = lambda hour, minute=0: datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=hour, minutes=minute)
@@ -47,3 +48,43 @@ def test_spans_do_not_hang_on_how_rows_are_cut():
             held = merge_spans(held, part, 10)
         assert held == whole and sum(n for *_, n in held) == len(times)
         assert all(b[0] - a[1] > 10 for a, b in zip(held, held[1:]))
+
+
+class _Handle:
+    """State of one bucket, with its calls counted."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    getValueState = lambda self, *_: self
+    exists = lambda self: self.value is not None
+    get = lambda self: self._called(self.value)
+    update = lambda self, value: self._called(setattr(self, "value", value))
+    clear = lambda self: self._called(setattr(self, "value", None))
+    registerTimer = lambda self, at: self._called(self.timers.add(at))
+    deleteTimer = lambda self, at: self._called(self.timers.discard(at))
+
+    def _called(self, result):
+        self.calls += 1
+        return result
+
+
+def test_calls_for_state_do_not_grow_with_keys():
+    handle, state = _Handle(), _Spans(10)
+    state.init(handle)
+    rng = np.random.default_rng(5)
+    mark = type("Mark", (), {"at": 0, "getCurrentWatermarkInMs": lambda self: self.at})()
+    keys = np.array([f"k{i}" for i in range(500)] + [None], object)
+    times, ended = {k: [] for k in keys}, []
+    for _ in range(3):
+        frame = pd.DataFrame({"bucket": 0, "key": rng.choice(keys, 4000), "row": "{}", "at_us": rng.integers(0, 400_000, 4000)})
+        for k, at in zip(frame["key"], frame["at_us"]):
+            times[k].append(at)
+        assert list(state.handleInputRows((0,), iter([frame[:1500], frame[1500:]]), mark)) == []
+    assert handle.calls <= 10 and len(handle.timers) == 1
+    while handle.timers:
+        mark.at = handle.timers.pop()
+        for out in state.handleExpiredTimer((0,), mark, None):
+            ended += out[["key", "first_us", "last_us", "n"]].itertuples(index=False, name=None)
+    assert handle.value is None
+    assert sorted(ended, key=str) == sorted(((k, *s) for k in keys for s in merge_spans([], np.array(times[k]), 10_000)), key=str)

@@ -13,6 +13,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Stands for no time; state is handed over as whole numbers, which have no NULL there.
 UNDATED = -(1 << 63)
+#: State is kept and fetched for so many buckets of keys. A checkpoint holds to the number, so it must not change.
+BUCKETS = 1024
 JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
@@ -28,31 +30,35 @@ def keyed_state(spark: SparkSession):
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+def merged(frame: pd.DataFrame, idle: int) -> pd.DataFrame:
+    """Spans (key, first, last, n) of many keys at once, in no order: those of one key at most `idle` apart become one."""
+    if frame.empty:
+        return frame
+    frame = frame.assign(code=pd.factorize(frame["key"], use_na_sentinel=False)[0])
+    frame = frame.sort_values(["code", "first"], ignore_index=True)
+    code, first, n = (frame[c].to_numpy(np.int64) for c in ("code", "first", "n"))
+    reach = frame.groupby("code")["last"].cummax().to_numpy(np.int64)
+    begins = np.r_[0, np.flatnonzero((np.diff(code) != 0) | (first[1:] - reach[:-1] > idle)) + 1]
+    ends = np.r_[begins[1:], len(code)] - 1
+    return pd.DataFrame({"key": frame["key"].to_numpy(object)[begins], "first": first[begins], "last": reach[ends], "n": np.add.reduceat(n, begins)})
+
+
 def merge_spans(spans: list[tuple[int, int, int]], times: np.ndarray, idle: int) -> list[tuple[int, int, int]]:
-    """(first, last, rows) of the spans with new times taken in; those at most `idle` apart are one."""
-    if len(times):
-        times = np.sort(times)
-        cuts = np.flatnonzero(np.diff(times) > idle) + 1
-        begins, ends = np.r_[0, cuts], np.r_[cuts, len(times)]
-        spans = spans + list(zip(times[begins].tolist(), times[ends - 1].tolist(), (ends - begins).tolist()))
-    out: list[tuple[int, int, int]] = []
-    for first, last, n in sorted(spans):
-        if out and first - out[-1][1] <= idle:
-            out[-1] = (out[-1][0], max(out[-1][1], last), out[-1][2] + n)
-        else:
-            out.append((first, last, n))
-    return out
+    """(first, last, rows) of one key's spans with new times taken in; those at most `idle` apart are one."""
+    rows = [*spans, *((at, at, 1) for at in np.asarray(times).tolist())]
+    out = merged(pd.DataFrame(rows, columns=["first", "last", "n"], dtype=np.int64).assign(key=""), idle)
+    return list(zip(*(out[c].tolist() for c in ("first", "last", "n"))))
 
 
 class _Spans(StatefulProcessor):
-    """State of a key: its open spans, by time. A timer stands at the end of the first one."""
+    """State of a bucket of keys: their open spans. A timer stands at the end of the first one."""
 
     def __init__(self, idle_ms: int):
         self.idle_ms = idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.spans = handle.getListState("spans", "first long, last long, n long")
+        self.spans = handle.getValueState("spans", "key array<string>, first array<long>, last array<long>, n array<long>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs()
@@ -63,44 +69,48 @@ class _Spans(StatefulProcessor):
             undated = at == UNDATED
             late = ~undated & (at // 1000 < mark) & (mark > 0)
             aside = late | undated
-            spans = merge_spans(spans, at[~aside], self.idle_ms * 1000)
+            if not aside.all():
+                fresh = pd.DataFrame({"key": frame["key"].to_numpy(object)[~aside], "first": at[~aside], "last": at[~aside], "n": 1})
+                spans = merged(pd.concat([spans, fresh]) if len(spans) else fresh, self.idle_ms * 1000)
             if aside.any():
-                out = pd.DataFrame({"kind": np.where(undated, "undated", "late")[aside], "key": key[0], "row": frame["row"].to_numpy(object)[aside]})
+                out = frame.loc[aside, ["key", "row"]]
+                out.insert(0, "kind", np.where(undated, "undated", "late")[aside])
                 yield out.assign(first_us=None, last_us=None, n=None)
-        if spans != held:
+        if spans is not held:
             self._keep(held, spans)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs()
         held = self._open()
-        ended = [s for s in held if self._due(s) <= mark]
+        over = self._due(held["last"]) <= mark
         # the caller deletes the timer that went off
-        self._keep([], held[len(ended):])
-        if ended:
-            out = pd.DataFrame(ended, columns=["first_us", "last_us", "n"])
+        self._keep(held[:0], held[~over])
+        if over.any():
+            out = held[over].rename(columns={"first": "first_us", "last": "last_us"})
             out.insert(0, "kind", "idle")
-            out.insert(1, "key", key[0])
             out.insert(2, "row", None)
             yield out
 
     def close(self) -> None:
         pass
 
-    def _open(self) -> list[tuple[int, int, int]]:
-        return [tuple(row) for row in self.spans.get()] if self.spans.exists() else []
+    def _open(self) -> pd.DataFrame:
+        key, *numbers = self.spans.get() if self.spans.exists() else ([], [], [], [])
+        return pd.DataFrame({"key": np.array(key, object), **{c: np.array(v, np.int64) for c, v in zip(("first", "last", "n"), numbers)}})
 
-    def _due(self, span: tuple[int, int, int]) -> int:
-        """The first watermark at which no row that is in time can reach the span."""
-        return span[1] // 1000 + self.idle_ms + 1
+    def _due(self, last):
+        """The first watermark at which no row that is in time can reach a span."""
+        return last // 1000 + self.idle_ms + 1
 
-    def _keep(self, before: list, spans: list) -> None:
-        if before and (not spans or self._due(before[0]) != self._due(spans[0])):
-            self.handle.deleteTimer(self._due(before[0]))
-        if spans:
-            self.spans.put(spans)
-            self.handle.registerTimer(self._due(spans[0]))
-        else:
+    def _keep(self, before: pd.DataFrame, spans: pd.DataFrame) -> None:
+        old, new = (int(self._due(s["last"].min())) if len(s) else None for s in (before, spans))
+        if old is not None and old != new:
+            self.handle.deleteTimer(old)
+        if new is None:
             self.spans.clear()
+        else:
+            self.spans.update(tuple(spans[c].tolist() for c in ("key", "first", "last", "n")))
+            self.handle.registerTimer(new)
 
 
 def idle_keys(stream: DataFrame, keys: list[str], ts: str, carry: list[str], idle: str, delay: str) -> DataFrame:
@@ -110,7 +120,8 @@ def idle_keys(stream: DataFrame, keys: list[str], ts: str, carry: list[str], idl
     `kind` late, its key and its `carry` columns, and a row without a time with `kind` undated. The others make spans
     of rows at most `idle` apart. When no row that is in time can reach a span any more, it comes out with `kind` idle,
     `first`, `last` and `n`, and its state goes. So state holds only keys that were active lately, however the rows are
-    cut into micro-batches. A NULL key is a key like others. Times are compared with the watermark in milliseconds; keys
+    cut into micro-batches. Keys are dealt by hash over BUCKETS, each with its keys' spans as one value of state, so the calls
+    for state and timers do not grow with the keys. A NULL key is a key like others. Times are compared with the watermark in milliseconds; keys
     and carried columns travel as JSON, which holds plain columns exactly.
     """
     length = stream.sparkSession.range(1).select(F.expr(f"unix_millis(timestamp_millis(0) + INTERVAL {idle})")).first()[0]
@@ -119,7 +130,8 @@ def idle_keys(stream: DataFrame, keys: list[str], ts: str, carry: list[str], idl
     # a column without the watermark's mark: Spark would drop the late rows ahead of the processor
     rows = stream.withWatermark(ts, delay).select(
         text(keys).alias("key"), text(carry).alias("row"), F.coalesce(F.unix_micros(F.col(ts)), F.lit(UNDATED)).alias("at_us"))
-    out = rows.groupBy("key").transformWithStateInPandas(
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
+    out = dealt.groupBy("bucket").transformWithStateInPandas(
         _Spans(length), "kind string, key string, row string, first_us long, last_us long, n long", "Append", "EventTime")
     parsed = out.withColumns({"_key": F.from_json("key", kind(keys), JSON), "_row": F.from_json("row", kind(carry), JSON)})
     return parsed.select("kind", "_key.*", "_row.*", F.timestamp_micros("first_us").alias("first"), F.timestamp_micros("last_us").alias("last"), "n")
