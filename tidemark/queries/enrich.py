@@ -116,8 +116,9 @@ def udf01_batches(t):
     "SELECT c_custkey AS uid, upper(c_name) AS name FROM customer WHERE c_acctbal >= 0",
 )
 def udf01_udtf(t):
-    """A table function per fixed-width line, which may yield no row at all."""
-    @F.udtf(returnType="uid bigint, name string", useArrow=True)
+    """A table function per fixed-width line, which may yield no row at all. It is called line by line, so an Arrow batch
+    and a data frame for each call would be most of its cost."""
+    @F.udtf(returnType="uid bigint, name string", useArrow=False)
     class ParseLine:
         def eval(self, line: str):
             if line[0] == "+":
@@ -126,4 +127,6 @@ def udf01_udtf(t):
     t.spark.udtf.register("parse_card_line", ParseLine)
     sign = F.when(F.col("c_acctbal") < 0, "-").otherwise("+")
     rows = t.customer.select(F.concat(sign, F.lpad(F.col("c_custkey").cast("string"), 10, "0"), F.rpad("c_name", 24, " ")).alias("line"))
+    # a compact file is one or two splits, however many lines it has
+    rows = rows.repartition(t.spark.sparkContext.defaultParallelism)
     return t.spark.sql("SELECT p.uid, p.name FROM {lines} l, LATERAL parse_card_line(l.line) p", lines=rows)
