@@ -1,9 +1,12 @@
 """Plan shapes that matter at scale."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import ordering as O
+from tidemark.operators.joins import in_windows
 from tidemark.queries.registry import load_all
 from tidemark.sources.tables import Tables
 
@@ -76,3 +79,21 @@ def test_scans_shuffle_rows_once(spark, folder):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(shuffles) == 4, "rows once; block summaries for their sum, their window and the join"
+
+
+def test_a_busy_hour_is_joined_with_its_windows_in_many_tasks(spark):
+    base = datetime.datetime(2024, 1, 1)
+    rows = [(i, base + datetime.timedelta(seconds=i)) for i in range(3000)] + [(9000, None)]
+    runs = [(j, base + datetime.timedelta(seconds=200 * j), base + datetime.timedelta(seconds=200 * j + 1000)) for j in range(10)]
+    events = spark.createDataFrame(rows, "id int, ts timestamp").coalesce(1)
+    found = in_windows(events, "ts", spark.createDataFrame([*runs, (10, None, base)], "run int, gte timestamp, lt timestamp"), "hour")
+    assert found.columns == ["id", "ts", "run", "gte", "lt"]
+    got = found.select("id", "run", F.spark_partition_id()).collect()
+    assert sorted((r[0], r[1]) for r in got) == sorted((i, j) for i in range(3000) for j in range(10) if 200 * j <= i < 200 * j + 1000)
+    assert len({r[2] for r in got}) >= 8
+
+
+def test_lines_reach_the_table_function_in_many_tasks_and_as_they_are(spark, folder):
+    text = plan(load_all()["udf01_line_udtf"](spark, folder))
+    assert "ArrowEvalPythonUDTF" not in text and "BatchEvalPythonUDTF" in text
+    assert "RoundRobinPartitioning" in text

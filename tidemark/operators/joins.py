@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.operators.ordering import top_n_per
 
+#: Slices of a calendar bucket's rows in a join with windows, and its tasks for each partition of a shuffle.
+SLICES = 16
+TASKS_PER_PARTITION = 4
+
 
 def with_parent(parents: DataFrame, children: DataFrame, key: str, child_key: str) -> DataFrame:
     """Children that have a parent, with the parent's columns."""
@@ -90,12 +94,17 @@ def in_windows(df: DataFrame, ts: str, windows: DataFrame, unit: str = "day") ->
     """Rows assigned to the half-open [gte, lt) windows that hold them.
 
     Each window is spread over the calendar buckets it touches, so the join is an equi join on the
-    bucket with a range check, never a cross product.
+    bucket with a range check, never a cross product. Rows of a bucket are dealt over SLICES, each of which gets the
+    bucket's windows, so a few busy buckets keep all cores at work.
     """
     step = F.expr(f"INTERVAL 1 {unit.upper()}")
     last = F.col("lt") - F.expr("INTERVAL 1 MICROSECOND")
     buckets = F.sequence(F.date_trunc(unit, "gte"), F.date_trunc(unit, last), step)
-    spread = windows.withColumn("_bucket", F.explode(buckets))
-    keyed = df.withColumn("_bucket", F.date_trunc(unit, F.col(ts)))
+    slices = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long")))
+    spread = windows.withColumn("_bucket", F.explode(buckets)).withColumn("_slice", slices)
+    place = F.pmod(F.xxhash64(*[F.col(f.name) for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]), F.lit(SLICES)).cast("long")
+    # a number of its own, since tasks are not to be put together by their bytes: few rows make many pairs
+    tasks = TASKS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.withColumns({"_bucket": F.date_trunc(unit, F.col(ts)), "_slice": place}).repartition(tasks, "_bucket", "_slice")
     hit = (F.col(ts) >= F.col("gte")) & (F.col(ts) < F.col("lt"))
-    return keyed.join(spread, "_bucket").filter(hit).drop("_bucket")
+    return keyed.join(spread.hint("shuffle_hash"), ["_bucket", "_slice"]).filter(hit).drop("_bucket", "_slice")
