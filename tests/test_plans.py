@@ -1,6 +1,7 @@
 """Plan shapes that matter at scale."""
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import ordering as O
 from tidemark.operators.joins import in_windows
 from tidemark.queries.registry import load_all
+from tidemark.sources import bai2
 from tidemark.sources.tables import Tables
 
 PYTHON = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDTF")
@@ -97,3 +99,21 @@ def test_lines_reach_the_table_function_in_many_tasks_and_as_they_are(spark, fol
     text = plan(load_all()["udf01_line_udtf"](spark, folder))
     assert "ArrowEvalPythonUDTF" not in text and "BatchEvalPythonUDTF" in text
     assert "RoundRobinPartitioning" in text
+
+
+def _tasks(df):
+    return {int(n) for n in re.findall(r"hashpartitioning\(.*, (\d+)\), REPARTITION_BY_NUM", plan(df))}
+
+
+def test_ordered_scans_get_more_tasks_when_rows_grow(spark, monkeypatch):
+    monkeypatch.setattr(O, "ROWS_PER_TASK", 40)
+    for rows in (100, 1000):
+        pos = spark.range(rows).select(F.lit("a").alias("file"), "id", F.floor(F.col("id") / 20).alias("block"))
+        tasks = {-(-rows // 40)}
+        carried = O.carry_forward(pos, ["file"], ["id"], F.col("block"), {"x": F.when(F.col("id") % 50 == 3, F.col("id"))})
+        assert _tasks(carried) == tasks
+        assert {r["id"]: r["x"] for r in carried.collect()} == {i: None if i < 3 else (i - 3) // 50 * 50 + 3 for i in range(rows)}
+        text = F.when(F.col("id") % 4 == 0, F.concat(F.lit("16,142,"), F.col("id").cast("string"), F.lit("/"))).otherwise(F.lit("88,MORE"))
+        records = bai2.records(pos.select("file", "block", F.col("id").alias("seq"), text.alias("line")))
+        assert _tasks(records) == tasks
+        assert sorted((r["f"][1], len(r["continuations"])) for r in records.where("no > 0").collect()) == sorted((str(i), 3) for i in range(0, rows, 4))

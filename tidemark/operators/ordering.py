@@ -18,6 +18,13 @@ PAGE_LIMIT = 10_000
 #: Slices of an order for each task of a shuffle, and sampled keys for each slice.
 BLOCKS_PER_TASK = 4
 SAMPLE_PER_BLOCK = 16
+#: Rows that one task puts in order, on average: tables that grow get more tasks, not larger ones.
+ROWS_PER_TASK = 100_000
+
+
+def tasks_for(df: DataFrame) -> int:
+    """How many tasks keep to ROWS_PER_TASK rows each; counts the rows."""
+    return max(2, -(-df.count() // ROWS_PER_TASK))
 
 
 def _order_struct(order: list[str]) -> Column:
@@ -42,11 +49,13 @@ def _null_free(df: DataFrame, columns: dict[str, Column]) -> dict[str, Column]:
 
 
 def _blocked(df: DataFrame, group: list[str], block: Column, extra: dict[str, Column]) -> tuple[DataFrame, list[str], list[str]]:
-    """The rows with null-free group and block keys; returns (rows, group keys, group and block keys)."""
+    """The rows with null-free group and block keys, shuffled by them into tasks of bounded size; returns (rows, group keys,
+    group and block keys)."""
     group_keys = _null_free(df, {f"_g{i}": F.col(g) for i, g in enumerate(group)})
     block_keys = _null_free(df, {"_b": block})
-    rows = df.withColumns({**group_keys, **block_keys, "_block": block, **extra})
-    return rows, list(group_keys), [*group_keys, *block_keys]
+    keys = [*group_keys, *block_keys]
+    rows = df.withColumns({**group_keys, **block_keys, "_block": block, **extra}).repartition(tasks_for(df), *keys)
+    return rows, list(group_keys), keys
 
 
 def carry_forward(
@@ -54,8 +63,9 @@ def carry_forward(
 ) -> DataFrame:
     """Add one column per value: the last non-null value at or before each row of the group.
 
-    `block` must never decrease along the order within a group. Rows are shuffled once, by group and
-    block; the join of the block summaries reuses that partitioning and its sort.
+    `block` must never decrease along the order within a group. Rows are shuffled by group and
+    block; the join of the block summaries reuses that partitioning and its sort. The summaries are made from their own
+    columns in tasks of the same size.
     """
     staged, groups, keys = _blocked(df, group, block, {f"_set_{n}": c for n, c in values.items()})
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

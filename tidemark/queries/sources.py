@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.dates import iso_text
-from tidemark.operators.ordering import keep_one
+from tidemark.operators.ordering import keep_one, tasks_for
 from tidemark.queries.registry import query
 from tidemark.session import work_path
 from tidemark.sources import archive, bai2, delimited, discovery, fixed_width, graph, lines, nested, series, tables
@@ -333,7 +333,8 @@ def src09_files(t):
     path = work_path(t.spark, "bai")
     order = ["file", "segment", "acct", "level", "item", "sub"]
     # Range partitions cut a large report into consecutive part files, whose names keep the order.
-    rows = bank_lines(t).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = bank_lines(t)
+    rows = rows.repartitionByRange(tasks_for(rows), *order).sortWithinPartitions(*order)
     rows.select("file", "line").write.partitionBy("file").text(path)
     split = F.struct(F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_block_start").alias("start"))
     read = t.spark.read.text(path).select(

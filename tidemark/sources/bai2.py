@@ -15,7 +15,7 @@ from tidemark.functions.arrays import balance_map, debit_credit
 from tidemark.functions.coercion import implied_cents
 from tidemark.functions.dates import yymmdd
 from tidemark.functions.text import narrative_fields
-from tidemark.operators.ordering import inherited
+from tidemark.operators.ordering import inherited, tasks_for
 from tidemark.session import cut_lineage, small_side
 
 
@@ -35,7 +35,7 @@ def records(lines: DataFrame) -> DataFrame:
         "file", "block", "seq", F.struct("file", "block").alias("key"),
         F.trim(F.regexp_replace(F.substring_index(text, ",", 1), "/+$", "")).alias("code"),
         F.when(text.contains(","), F.rtrim(F.regexp_replace(F.substr(text, F.instr(text, ",") + 1), r"/\s*$", ""))).otherwise("").alias("content"),
-    )
+    ).repartition(tasks_for(lines), "key")
     continues = F.col("code") == "88"
     inside = Window.partitionBy("key").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     numbered = full.withColumn("no", F.sum(F.when(continues, 0).otherwise(1)).over(inside))
