@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import arrow_rows, giving_back, own_columns
+from tidemark.llm.common import TEXT_ROWS, arrow_rows, giving_back, own_columns
 
 BINS = 1 << 16
 GRAMS = (1, 2, 3)
@@ -17,8 +17,8 @@ GRAMS = (1, 2, 3)
 TRAIN_ROWS = 60_000
 #: Characters that are scored at a time; bounds the memory of a task whatever the length of a text.
 CHUNK = 400_000
-#: Characters times languages that are scored at a time.
-CELLS = 4_000_000
+#: Characters times languages that are scored at a time; they take 12 bytes each, in every worker of an executor.
+CELLS = 1_000_000
 #: Prediction for texts that are null or have no letter.
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -135,7 +135,7 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], colu
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         priors, matrix = shared.value
-        for batch in batches:
+        for batch in (whole.slice(at, TEXT_ROWS) for whole in batches for at in range(0, whole.num_rows, TEXT_ROWS)):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
             total = np.tile(priors, (len(texts), 1))
             for owners, pieces, counted in _chunks(texts, chunk):
