@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import brute
@@ -5,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tidemark.llm import de_bruijn
+from tidemark.llm import de_bruijn, jaccard
+from tidemark.llm.common import staged
 from tidemark.llm.de_bruijn import repeated_words, unitigs
 from tidemark.llm.exchange import Answers, _judged, _sent
 from tidemark.llm.rolling import Slices, Texts
@@ -104,3 +106,22 @@ def test_a_path_lies_whole_in_each_place(frame, odd_rows):
                 for p in range(len(other) - 34):
                     if other[p : p + 35] == words[:35]:
                         assert other[p : p + len(words)] == words
+
+
+def test_near_copies_make_one_list_for_all_tokens_that_they_share(frame, monkeypatch):
+    rng = random.Random(11)
+    texts = [[f"t{k}w{rng.randrange(10**6)}" for _ in range(200)] for k in range(12)]
+    rows = [(2 * k, " ".join(t)) for k, t in enumerate(texts)] + [(2 * k + 1, " ".join([*t[:100], "changed", *t[101:]])) for k, t in enumerate(texts)]
+    made = {}
+
+    def recorded(df, name):
+        out = staged(df, name)
+        made.setdefault(name, (out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", recorded)
+    found = {r.doc_id: r.component_id for r in jaccard.similar_documents(frame(rows)).collect()}
+    assert found == {i: i - i % 2 for i in range(24)}
+    # a list of two rows for each pair, not for each of some forty tokens of their prefixes
+    assert made["lists"][1] == 24
+    assert not {"tokens", "sketch", "long_sketch"} & set(made["prefixes"][0])

@@ -8,7 +8,7 @@ candidates falls: a longer prefix asks for more shared tokens before two sets ar
 document and a hub of a token's list; lists whose documents are in one component already are done, and the others go
 on with their next hubs, more each round, so a group of near copies costs about as many comparisons as
 it has members. Pairs whose sketches differ in more bits than sets of that similarity can are left out before; this
-loses nothing.
+loses nothing. Near copies share many tokens of their prefixes, so of tokens that the same documents have, one list is made.
 """
 
 from __future__ import annotations
@@ -107,7 +107,7 @@ def _finish(ids: list, texts: Texts, answers: list[Answers]) -> dict:
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """`sets` (row, n, tokens) with weight, matches and prefix; those that can have no partner are left out. Staged."""
+    """row, n, weight, matches and prefix of `sets` (row, n, tokens); those that can have no partner are left out. Staged."""
     tokens = sets.select("row", F.explode("tokens").alias("token"))
     often = staged(tokens.groupBy("token").agg(F.count("*").alias("often")).where("often > 1"), "frequencies")
     ordered = tokens.join(often, "token").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("ranked"))
@@ -118,30 +118,49 @@ def _prefixes(sets: DataFrame) -> DataFrame:
     costs = [s * (1 + F.col("n") / (COMPARED * (k + 1))) for k, s in enumerate(reach)]
     best = F.least(*[F.struct(c.alias("cost"), F.lit(k + 1).alias("matches")) for k, c in enumerate(costs)])
     ranked = (
-        sets.join(ordered, "row").withColumn("overlap", overlap).withColumn("plain", plain.cast("int"))
+        sets.select("row", "n").join(ordered, "row").withColumn("overlap", overlap).withColumn("plain", plain.cast("int"))
         .where((F.col("plain") > 0) & (F.size("ranked") >= F.col("overlap"))).withColumn("matches", best["matches"]))
     out = staged(ranked.select(
-        "row", "n", "tokens", "sketch", "long_sketch", "matches", F.expr("aggregate(ranked, 0L, (a, t) -> a + t.often)").alias("weight"),
+        "row", "n", "matches", F.expr("aggregate(ranked, 0L, (a, t) -> a + t.often)").alias("weight"),
         F.expr("transform(slice(ranked, 1, plain + matches - 1), t -> t.token)").alias("prefix")), "prefixes")
     released(often)
     return out
 
 
-def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _lists(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """token, row, n, weight, component and sketch for the tokens that more than one row of `docs` has in its prefix; of
+    tokens that the same rows have, one, as their lists hold the same pairs. Staged."""
+    entries = docs.select(F.explode("prefix").alias("token"), "row", "n", "weight", F.col("row").alias("component"))
+    # rows of a token are distinct, so two parities of their hashes and their number tell the set
+    digests = [F.bit_xor(F.xxhash64("row", F.lit(k))).alias(f"digest{k}") for k in range(2)]
+    spans = entries.groupBy("token").agg(F.count("*").alias("often"), *digests).where("often > 1")
+    kept = staged(spans.groupBy("often", "digest0", "digest1").agg(F.min("token").alias("token")).select("token"), "list_tokens")
+    lists = staged(entries.join(small(kept, computed=True), "token", "left_semi").join(sets.select("row", "sketch"), "row"), "lists")
+    released(kept)
+    return lists
+
+
+def _similar(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of `pairs` (row, hub, component, hub_component), the components (a, b) of those whose sets are similar. Staged.
 
     Long sketches leave out nearly all pairs below the similarity, so sets are fetched for few others."""
 
-    def with_both(found: DataFrame, *columns: str) -> DataFrame:
-        mine = docs.select("row", *columns)
-        theirs = docs.select(F.col("row").alias("hub"), *[F.col(c).alias(f"hub_{c}") for c in columns])
-        return found.join(mine, "row").join(theirs, "hub")
+    def in_pairs(found: DataFrame, rows: DataFrame) -> DataFrame:
+        # so that rows in no pair are not shuffled
+        named = found.select("row").unionAll(found.select("hub")).distinct()
+        return rows.join(small(named, computed=True), "row", "left_semi")
+
+    def with_both(found: DataFrame, rows: DataFrame) -> DataFrame:
+        theirs = rows.select(*[F.col(c).alias("hub" if c == "row" else f"hub_{c}") for c in rows.columns])
+        return found.join(rows, "row").join(theirs, "hub")
 
     differ = F.expr("aggregate(zip_with(long_sketch, hub_long_sketch, (x, y) -> bit_count(x ^ y)), 0, (a, b) -> a + b)")
-    near = with_both(pairs, "n", "long_sketch").where(_allowed(differ, F.col("n") + F.col("hub_n"))).drop("long_sketch", "hub_long_sketch")
+    sketches = in_pairs(pairs, sets.select("row", "n", "long_sketch"))
+    near = with_both(pairs, sketches).where(_allowed(differ, F.col("n") + F.col("hub_n"))).drop("long_sketch", "hub_long_sketch")
     both = F.size(F.array_intersect("tokens", "hub_tokens"))
     near = staged(near, "near")
-    met = with_both(near, "tokens", "matches", "prefix").where(F.size(F.array_intersect("prefix", "hub_prefix")) >= F.least("matches", "hub_matches"))
+    whole = in_pairs(near, sets.select("row", "tokens")).join(in_pairs(near, docs.select("row", "matches", "prefix")), "row")
+    met = with_both(near, whole).where(F.size(F.array_intersect("prefix", "hub_prefix")) >= F.least("matches", "hub_matches"))
     alike = met.where(100 * both >= PERCENT * (F.col("n") + F.col("hub_n") - both))
     links = staged(alike.select(F.col("component").alias("a"), F.col("hub_component").alias("b")).distinct(), "links")
     released(near)
@@ -179,7 +198,7 @@ def _labels(sets: DataFrame) -> DataFrame:
     """(row, label) for the rows of `sets` that can have a partner: rows have one label if similarity connects them."""
     docs = _prefixes(sets)
     known = docs.select("row", F.col("row").alias("label"))
-    lists = staged(docs.select(F.explode("prefix").alias("token"), "row", "n", "weight", "sketch", F.col("row").alias("component")), "lists")
+    lists = _lists(docs, sets)
     hubs_each = 1
     while True:
         marks = _marks(lists, hubs_each)
@@ -194,7 +213,7 @@ def _labels(sets: DataFrame) -> DataFrame:
         ids = F.transform(wanted, lambda h: F.struct(h["row"].alias("hub"), h["component"].alias("hub_component")))
         met = marked.select("row", "component", ids.alias("ids")).where(F.size("ids") > 0).groupBy("row", "component").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"))
         pairs = staged(met.select("row", "component", F.explode("ids").alias("h")).select("row", "component", "h.*"), "pairs")
-        new = _similar(pairs, docs)
+        new = _similar(pairs, docs, sets)
         # lists in one component have no mark and are done
         rest = marked.where(~F.array_contains("hubs.row", F.col("row"))).drop("hubs")
         if not new.isEmpty():
