@@ -27,6 +27,17 @@ def test_words_match_brute_force(frame, odd_rows):
     same(repeated_words(frame(odd_rows)).select("doc_id", "n_words", "n_removed", "kept_sha256"), brute.word_repeats(odd_rows))
 
 
+def test_a_shared_passage_goes_from_400_bytes_on_however_many_words_it_has(frame):
+    """Of 57 words each: the size of the text is the input's and tells nothing of what is removed."""
+    rows = []
+    for k, size in enumerate((399, 400)):
+        passage = " ".join(f"w{k}{n:04}" for n in range(57)).ljust(size, "z")
+        rows += [(10 * k + i, f"{end} before {i}{passage}{end} after {end}") for i, end in enumerate("ab")]
+    found = {r.doc_id: r for r in repeated_bytes(frame(rows)).collect()}
+    assert [(found[i].n_bytes, found[i].n_removed, found[i].n_spans) for i in (0, 1, 10, 11)] == [(418, 0, 0), (418, 0, 0), (419, 400, 1), (419, 400, 1)]
+    same(repeated_bytes(frame(rows)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), brute.byte_repeats(rows))
+
+
 def test_empty_tables(frame):
     assert repeated_bytes(frame([])).collect() == []
     spans = repeated_words(frame([]))
